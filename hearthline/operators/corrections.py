@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import holds
+from hearthline.operators.joins import broadcast_if_small
 
 
 def nullify_where(df: DataFrame, column: str, predicate: Column) -> DataFrame:
@@ -29,18 +30,13 @@ def nullify_via_join(
 ) -> DataFrame:
     """``column`` set to NULL where the row and its parent both meet their predicate.
 
-    Only the keys of doubtful rows are matched with the parent, so the usual case, few of
-    them, needs no shuffle of either table.
+    Only the keys of doubtful rows are matched with the parent. They are counted first:
+    while they are few enough to broadcast, neither table is shuffled.
     """
-    doubtful = df.where(holds(predicate)).select(on)
-    hits = (
-        parent.where(holds(parent_predicate))
-        .select(on)
-        .join(doubtful, on, "left_semi")
-        .distinct()
-        .withColumn("_hit", F.lit(True))
-    )
-    marked = df.join(hits, on, "left")
+    doubtful = df.where(holds(predicate)).select(on).distinct()
+    qualified = parent.where(holds(parent_predicate)).select(on)
+    hits = qualified.join(broadcast_if_small(doubtful), on, "left_semi").distinct()
+    marked = df.join(broadcast_if_small(hits).withColumn("_hit", F.lit(True)), on, "left")
     corrected = nullify_where(marked, column, F.col("_hit") & predicate)
     return corrected.select(*df.columns)
 
@@ -87,26 +83,40 @@ def apply_corrections(
 
 
 def decision_log(tables: dict[str, DataFrame], decisions: list[Decision]) -> DataFrame:
-    """One row per decision with the number of rows it concerns before correction."""
-    rows = []
-    for decision in decisions:
-        df = tables[decision.table]
-        if decision.grouped is not None:
-            df = decision.grouped(df)
-        concerned = df.where(holds(decision.predicate))
-        if decision.parent is not None:
-            parent, on, parent_predicate = decision.parent
-            concerned = concerned.join(
-                tables[parent].where(holds(parent_predicate)).select(on), on, "left_semi"
-            )
-        rows.append(
-            concerned.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(decision.name).alias("decision"),
-                F.lit(decision.table).alias("table_name"),
-                F.lit(decision.column).alias("column_name"),
-                F.lit(decision.action).alias("action"),
-                "n_rows",
-                F.lit(decision.why).alias("why"),
+    """One row per decision with the number of rows it concerns before correction.
+
+    Decisions on the rows of one table are counted in one pass.
+    """
+    passes: dict[tuple, list[Decision]] = {}
+    for i, decision in enumerate(decisions):
+        alone = decision.parent is not None or decision.grouped is not None
+        passes.setdefault((decision.table, i if alone else None), []).append(decision)
+    logs = []
+    for members in passes.values():
+        df = _concerned(tables, members[0])
+        cells = [
+            F.struct(
+                F.lit(d.name).alias("decision"),
+                F.lit(d.table).alias("table_name"),
+                F.lit(d.column).alias("column_name"),
+                F.lit(d.action).alias("action"),
+                F.count_if(holds(d.predicate)).alias("n_rows"),
+                F.lit(d.why).alias("why"),
             )
-        )
-    return reduce(DataFrame.unionByName, rows)
+            for d in members
+        ]
+        logs.append(df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells")))
+    return reduce(DataFrame.unionByName, logs)
+
+
+def _concerned(tables: dict[str, DataFrame], decision: Decision) -> DataFrame:
+    df = tables[decision.table]
+    if decision.grouped is not None:
+        df = decision.grouped(df)
+    if decision.parent is None:
+        return df
+    parent, on, parent_predicate = decision.parent
+    doubtful = df.where(holds(decision.predicate))
+    return doubtful.join(
+        tables[parent].where(holds(parent_predicate)).select(on), on, "left_semi"
+    )

@@ -1,8 +1,9 @@
 """Lookups, key checks and joins that cannot multiply rows.
 
-No join here carries a broadcast hint: Spark broadcasts a side when its size, estimated
-or measured at run time, is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-sorts and merges, splitting skewed partitions.
+Lookups carry no broadcast hint: Spark broadcasts a table it knows to be under
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, splitting skewed
+partitions. ``broadcast_if_small`` is for computed key sets, whose size Spark overestimates;
+it measures them first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+KEY_SET_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = KEY_SET_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its measured size allows, else unchanged.
+
+    Runs one aggregation over ``df``; persist it first if it is costly to compute.
+    """
+    size = F.lit(0)
+    for column in df.columns:
+        size = size + 8 + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    measured = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if measured <= max_bytes else df
+
+
 def lookup(facts: DataFrame, reference: DataFrame, on: str | list[str]) -> DataFrame:
     """Left join to a table unique on ``on``; facts without a match get NULLs."""
     return facts.join(reference, on, "left")

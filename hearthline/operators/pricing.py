@@ -14,6 +14,11 @@ from hearthline.functions import holds, safe_ratio
 RATIO_TYPE = "decimal(18,6)"
 
 
+def unit_price(price: str, size: str) -> Column:
+    """Price per size as a decimal, so that sums do not depend on the order of the rows."""
+    return safe_ratio(F.col(price).cast("double"), F.col(size).cast("double")).cast(RATIO_TYPE)
+
+
 def unit_price_per_sale(
     lots: DataFrame,
     keys: list[str],
@@ -36,7 +41,7 @@ def unit_price_per_sale(
         F.sum(size).alias(size),
         *[aggregate.alias(name) for name, aggregate in (carry or {}).items()],
     )
-    return sales.withColumn(ratio, _ratio(price, size))
+    return sales.withColumn(ratio, unit_price(price, size))
 
 
 def unit_price_first_lot(
@@ -55,7 +60,7 @@ def unit_price_first_lot(
         kept = kept.where(holds(scope))
     first = F.min_by(F.struct(price, attribute), F.struct(*order))
     sales = kept.groupBy(sale).agg(first.alias("_first"), F.sum(size).alias(size))
-    return sales.select(sale, "_first.*", size).withColumn(ratio, _ratio(price, size))
+    return sales.select(sale, "_first.*", size).withColumn(ratio, unit_price(price, size))
 
 
 def mean_by_group(
@@ -80,8 +85,3 @@ def mean_by_group(
 def ratio_outliers(sales: DataFrame, bound: float, ratio: str = "unit_price") -> DataFrame:
     """Sales whose ratio is above ``bound``."""
     return sales.where(F.col(ratio) > bound)
-
-
-def _ratio(price: str, size: str) -> Column:
-    # Decimal, so that sums over sales do not depend on the order of the rows.
-    return safe_ratio(F.col(price).cast("double"), F.col(size).cast("double")).cast(RATIO_TYPE)

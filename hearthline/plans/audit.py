@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import in_domain
+from hearthline.functions import holds, in_domain
 from hearthline.operators import quality
 from hearthline.operators.corrections import Decision, apply_corrections, decision_log
 from hearthline.operators.ordering import exact_quantile
+from hearthline.operators.pricing import unit_price
 from hearthline.plans.market import audited_sales
 from hearthline.schemas import (
     DWELLING_TYPES,
@@ -86,7 +87,7 @@ def relations(tables: dict[str, DataFrame]) -> list[tuple]:
 def audit(tables: dict[str, DataFrame]) -> DataFrame:
     """All five dimensions as (dimension, table_name, metric, metric_value).
 
-    Null counts and row rules of a table share one scan.
+    Null counts and row rules of a table share one scan, the sale checks one grouping.
     """
     rules = validity_rules()
     metrics = []
@@ -94,36 +95,21 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
         if name not in tables:
             continue
         found = [
-            ("completeness", f"null({c})", F.count_if(F.col(c).isNull()))
-            for c in PROFILED_COLUMNS[name]
+            ("completeness", f"null({c})", F.col(c).isNull()) for c in PROFILED_COLUMNS[name]
         ]
-        found += [
-            ("validity", r.name, F.count_if(r.predicate)) for r in rules if r.table == name
-        ]
-        found.append(("volume", "rows", F.count(F.lit(1))))
-        cells = [
-            F.struct(
-                F.lit(dimension).alias("dimension"),
-                F.lit(name).alias("table_name"),
-                F.lit(metric).alias("metric"),
-                value.alias("metric_value"),
-            )
-            for dimension, metric, value in found
-        ]
-        metrics.append(
-            tables[name].agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
-        )
+        found += [("validity", r.name, r.predicate) for r in rules if r.table == name]
+        found.append(("volume", "rows", F.lit(True)))
+        metrics.append(_counted(tables[name], name, found))
     metrics.append(_counted(
-        same_address_and_day(tables[CERTIFICATES]),
-        "uniqueness", CERTIFICATES, "same_address_and_day_groups",
+        same_address_and_day(tables[CERTIFICATES]), CERTIFICATES,
+        [("uniqueness", "same_address_and_day_groups", F.lit(True))],
     ))
     metrics.append(_counted(
-        inconsistent_sale_prices(tables[TRANSACTIONS]),
-        "uniqueness", TRANSACTIONS, "sales_with_several_prices",
-    ))
-    metrics.append(_counted(
-        audited_sales(tables[TRANSACTIONS]).where(F.col("prix_m2") > MAX_UNIT_PRICE),
-        "coherence", TRANSACTIONS, "implausible_unit_price",
+        _sales_summary(tables[TRANSACTIONS]), TRANSACTIONS,
+        [
+            ("uniqueness", "sales_with_several_prices", F.col("least") < F.col("greatest")),
+            ("coherence", "implausible_unit_price", F.col("prix_m2") > MAX_UNIT_PRICE),
+        ],
     ))
     metrics.append(
         quality.orphan_counts(relations(tables)).select(
@@ -136,18 +122,39 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, metrics)
 
 
-def _counted(df: DataFrame, dimension: str, table: str, metric: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("metric_value")).select(
-        F.lit(dimension).alias("dimension"),
-        F.lit(table).alias("table_name"),
-        F.lit(metric).alias("metric"),
-        "metric_value",
+def _counted(df: DataFrame, table: str, found: list[tuple[str, str, Column]]) -> DataFrame:
+    """Rows meeting each (dimension, metric, predicate), in one pass."""
+    cells = [
+        F.struct(
+            F.lit(dimension).alias("dimension"),
+            F.lit(table).alias("table_name"),
+            F.lit(metric).alias("metric"),
+            F.count_if(holds(predicate)).alias("metric_value"),
+        )
+        for dimension, metric, predicate in found
+    ]
+    return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+
+
+def _sales_summary(transactions: DataFrame) -> DataFrame:
+    """Per sale its price range and unit price, for both sale checks in one grouping.
+
+    A sale has several prices when its least differs from its greatest.
+    """
+    price, area = F.col("valeur_fonciere"), F.col("surface_reelle_bati")
+    built = holds(area > 0)
+    sales = transactions.groupBy("id_mutation").agg(
+        F.min(price).alias("least"),
+        F.max(price).alias("greatest"),
+        F.max(F.when(built, price)).alias("valeur_fonciere"),
+        F.sum(F.when(built, area)).alias("surface_reelle_bati"),
     )
+    return sales.withColumn("prix_m2", unit_price("valeur_fonciere", "surface_reelle_bati"))
 
 
 def decisions() -> list[Decision]:
     """What the audit found and what is done about each anomaly."""
-    unit_price = F.col("prix_m2") > MAX_UNIT_PRICE
+    too_dear = F.col("prix_m2") > MAX_UNIT_PRICE
     area = "surface_habitable_logement"
     return [
         Decision(
@@ -168,7 +175,7 @@ def decisions() -> list[Decision]:
             "keep", "old buildings exist; rarity proves no error",
         ),
         Decision(
-            "implausible_unit_price", TRANSACTIONS, "valeur_fonciere", unit_price,
+            "implausible_unit_price", TRANSACTIONS, "valeur_fonciere", too_dear,
             "keep", "each value is plausible alone; leave such sales out of means",
             grouped=audited_sales,
         ),

@@ -6,11 +6,13 @@ retried batch replaces its own rows. There must be one writer per table.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.operators.dedup import keep_last
+from hearthline.operators.joins import broadcast_if_small
 from hearthline.schemas import BIG, TEXT, struct
 from hearthline.sources.tables import read_table
 
@@ -29,10 +31,12 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def absent_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
-    The stored keys are reduced to those in the batch first: with a batch under the
-    broadcast threshold the large table is scanned, one column of it, but not shuffled.
+    The stored keys are reduced to those in the batch first: when the batch's keys are
+    few enough to broadcast, the large table is scanned, one column of it, but not
+    shuffled. Pass a persisted ``batch``, it is used three times.
     """
-    present = stored.select(key).join(batch.select(key), key, "left_semi")
+    keys = broadcast_if_small(batch.select(key))
+    present = stored.select(key).join(keys, key, "left_semi")
     return batch.join(present, key, "left_anti")
 
 
@@ -50,10 +54,15 @@ def insert_if_absent(
     ``order`` gives the arrival order within the batch. ``columns`` are those to store.
     """
     spark = batch.sparkSession
-    rows = keep_last(batch, [key], order).select(*(columns or batch.columns))
+    wanted = columns or batch.columns
+    needed = batch.select(*dict.fromkeys([*wanted, *order]))
+    rows = keep_last(needed, [key], order).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
     stored = read_keyed(spark, path, rows.schema)
     own_batch = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-    fresh = absent_rows(rows, stored.where(~own_batch), key)
     target = batch_path(path, query_id, batch_id)
-    fresh.write.mode("overwrite").parquet(target)
+    try:
+        fresh = absent_rows(rows, stored.where(~own_batch), key)
+        fresh.write.mode("overwrite").parquet(target)
+    finally:
+        rows.unpersist()
     return spark.read.schema(rows.schema).parquet(target)
