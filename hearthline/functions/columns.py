@@ -19,7 +19,11 @@ def _col(column: Column | str) -> Column:
 
 
 def holds(predicate: Column) -> Column:
-    """Two-valued truth: an unknown (NULL) outcome counts as false."""
+    """Two-valued truth: an unknown (NULL) outcome counts as false.
+
+    For negations and CASE branches. A filter drops unknown outcomes anyway and should
+    get the plain predicate, which Spark can push into the scan.
+    """
     return F.coalesce(predicate, F.lit(False))
 
 

@@ -33,8 +33,8 @@ def nullify_via_join(
     Only the keys of doubtful rows are matched with the parent. They are counted first:
     while they are few enough to broadcast, neither table is shuffled.
     """
-    doubtful = df.where(holds(predicate)).select(on).distinct()
-    qualified = parent.where(holds(parent_predicate)).select(on)
+    doubtful = df.where(predicate).select(on).distinct()
+    qualified = parent.where(parent_predicate).select(on)
     hits = qualified.join(broadcast_if_small(doubtful), on, "left_semi").distinct()
     marked = df.join(broadcast_if_small(hits).withColumn("_hit", F.lit(True)), on, "left")
     corrected = nullify_where(marked, column, F.col("_hit") & predicate)
@@ -116,7 +116,7 @@ def _concerned(tables: dict[str, DataFrame], decision: Decision) -> DataFrame:
     if decision.parent is None:
         return df
     parent, on, parent_predicate = decision.parent
-    doubtful = df.where(holds(decision.predicate))
+    doubtful = df.where(decision.predicate)
     return doubtful.join(
-        tables[parent].where(holds(parent_predicate)).select(on), on, "left_semi"
+        tables[parent].where(parent_predicate).select(on), on, "left_semi"
     )

@@ -89,8 +89,8 @@ def exact_quantile(
 
     Built-in ``percentile`` keeps every distinct value of the group in one task. Here
     values become scaled integers and each pass counts ``buckets`` equal ranges, then
-    narrows to the range holding the wanted rank; a pass divides the range by
-    ``buckets``, so a 64-bit domain needs at most six. The driver sees bounds only.
+    narrows to the range holding the wanted rank, until few distinct values are left; a
+    64-bit domain needs at most six passes. The driver sees one entry per pass.
     """
     values = (
         df.select((F.col(column) * F.lit(10**scale)).cast("long").alias("v"))
@@ -103,28 +103,38 @@ def exact_quantile(
     if not total:
         return None
     position = fraction * (total - 1)
-    ranks = [math.floor(position), math.ceil(position)]
-    found = [_value_at(values, rank, low, high, buckets) for rank in dict.fromkeys(ranks)]
-    below, above = found[0], found[-1]
-    return (below + (above - below) * (position - ranks[0])) / 10**scale
-
-
-def _value_at(values: DataFrame, rank: int, low: int, high: int, buckets: int) -> int:
-    skipped = 0
-    while low < high:
+    rank = math.floor(position)
+    below, up_to = _value_at(values, rank, low, high, buckets)
+    above = below
+    if position > rank and up_to == rank + 1:
+        above = values.where(F.col("v") > below).agg(F.min("v")).first()[0]
+    return (below + (above - below) * (position - rank)) / 10**scale
+
+
+def _value_at(
+    values: DataFrame, rank: int, low: int, high: int, buckets: int
+) -> tuple[int, int]:
+    """The value at ``rank``, counted from 0, and how many rows do not exceed it."""
+    skipped, distinct = 0, None
+    while distinct is None or distinct > buckets:
         width = -(-(high - low + 1) // buckets)
-        counted = (
-            values.where(F.col("v").between(low, high))
-            .groupBy(F.expr(f"(v - {low}L) div {width}L").alias("b"))
-            .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        )
-        upto = F.sum("n").over(Window.orderBy("b")) + skipped
-        hit = (
-            counted.withColumn("upto", upto)
-            .where(F.col("upto") > rank)
-            .orderBy("b")
-            .select("n", "lo", "hi", "upto")
-            .first()
+        bucket = F.expr(f"(v - {low}L) div {width}L")
+        counted = values.where(F.col("v").between(low, high)).groupBy(bucket.alias("b")).agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("distinct"),
+            F.min("v").alias("lo"),
+            F.max("v").alias("hi"),
         )
-        skipped, low, high = hit["upto"] - hit["n"], hit["lo"], hit["hi"]
-    return low
+        hit = _holding(counted, "b", rank - skipped)
+        skipped += hit["up_to"] - hit["n"]
+        low, high, distinct = hit["lo"], hit["hi"], hit["distinct"]
+    # At most ``buckets`` distinct values are left in the range.
+    hit = _holding(values.where(F.col("v").between(low, high)), "v", rank - skipped)
+    return hit["v"], skipped + hit["up_to"]
+
+
+def _holding(counted: DataFrame, order: str, rank: int):
+    """The first of a few counted entries whose running total passes ``rank``."""
+    running = F.sum("n").over(Window.orderBy(order))
+    passed = counted.withColumn("up_to", running).where(F.col("up_to") > rank)
+    return passed.orderBy(order).first()

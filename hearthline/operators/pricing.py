@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import holds, safe_ratio
+from hearthline.functions import safe_ratio
 
 RATIO_TYPE = "decimal(18,6)"
 
@@ -33,9 +33,9 @@ def unit_price_per_sale(
     ``scope`` selects lots first; lots without a positive size never count.
     ``carry`` adds aggregates, such as the group the sale is attributed to.
     """
-    kept = lots.where(holds(F.col(size) > 0))
+    kept = lots.where(F.col(size) > 0)
     if scope is not None:
-        kept = kept.where(holds(scope))
+        kept = kept.where(scope)
     sales = kept.groupBy(*keys).agg(
         F.max(price).alias(price),
         F.sum(size).alias(size),
@@ -55,9 +55,9 @@ def unit_price_first_lot(
     scope: Column | None = None,
 ) -> DataFrame:
     """One row per sale, priced and attributed by its first lot in ``order``."""
-    kept = lots.where(holds(F.col(size) > 0) & F.col(price).isNotNull())
+    kept = lots.where((F.col(size) > 0) & F.col(price).isNotNull())
     if scope is not None:
-        kept = kept.where(holds(scope))
+        kept = kept.where(scope)
     first = F.min_by(F.struct(price, attribute), F.struct(*order))
     sales = kept.groupBy(sale).agg(first.alias("_first"), F.sum(size).alias(size))
     return sales.select(sale, "_first.*", size).withColumn(ratio, unit_price(price, size))

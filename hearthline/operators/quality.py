@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import first_reason, holds
-from hearthline.operators.dedup import keep_first
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -32,7 +31,7 @@ def null_profile(
     """(table_name, column_name, n_null, total); one pass over each table."""
     profiles = []
     for name, (df, columns) in tables.items():
-        scoped = df if scope is None else df.where(holds(scope))
+        scoped = df if scope is None else df.where(scope)
         counts = scoped.agg(
             F.count(F.lit(1)).alias("total"),
             *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],
@@ -135,7 +134,7 @@ def rule_counts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
 
 def rule_rows(df: DataFrame, rule: Rule, columns: list[str]) -> DataFrame:
     """The rows a rule marks."""
-    return df.where(holds(rule.predicate)).select(*columns)
+    return df.where(rule.predicate).select(*columns)
 
 
 # Referential integrity
@@ -296,25 +295,31 @@ def enforce(
     if mode not in ("drop", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     judged = with_reject_reason(df, expectations)
+    for e in expectations:
+        if e.kind == "unique":
+            if not order:
+                raise ValueError("a unique constraint needs an order to say which is first")
+            judged = _reject_repeats(judged, e, order)
     accepted = judged.where("reject_reason is null").drop("reject_reason")
     rejected = judged.where("reject_reason is not null")
-    for e in expectations:
-        if e.kind != "unique":
-            continue
-        if not order:
-            raise ValueError("a unique constraint needs an order to say which row is first")
-        keyed = accepted.where(F.col(e.column).isNotNull())
-        cols = list(dict.fromkeys([e.column, *order]))
-        firsts = keep_first(keyed.select(*cols), [e.column], order)
-        firsts = firsts.toDF(*[f"_first_{c}" for c in cols])
-        same = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in cols]
-        repeated = keyed.join(firsts, same, "left_anti")
-        rejected = rejected.unionByName(repeated.withColumn("reject_reason", F.lit(e.name)))
-        unkeyed = accepted.where(F.col(e.column).isNull())
-        accepted = keep_first(keyed, [e.column], order).unionByName(unkeyed)
     return accepted, rejected if mode == "quarantine" else None
 
 
+def _reject_repeats(judged: DataFrame, e: Expectation, order: list[str]) -> DataFrame:
+    """Mark all but the first of the still accepted rows of each non-null key."""
+    place = F.struct(*order)
+    open_row = F.col("reject_reason").isNull() & F.col(e.column).isNotNull()
+    firsts = (
+        judged.where(open_row)
+        .groupBy(F.col(e.column).alias("_key"))
+        .agg(F.min(place).alias("_first"))
+    )
+    placed = judged.join(firsts, F.col(e.column) == F.col("_key"), "left")
+    repeated = open_row & ~place.eqNullSafe(F.col("_first"))
+    reason = F.when(repeated, F.lit(e.name)).otherwise(F.col("reject_reason"))
+    return placed.withColumn("reject_reason", reason).drop("_key", "_first")
+
+
 # Cleaning gates and audit comparison
 
 

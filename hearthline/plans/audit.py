@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import holds, in_domain
+from hearthline.functions import holds
 from hearthline.operators import quality
 from hearthline.operators.corrections import Decision, apply_corrections, decision_log
 from hearthline.operators.ordering import exact_quantile
@@ -34,7 +34,7 @@ PROFILED_COLUMNS = {
 
 
 def is_dwelling():
-    return in_domain("type_local", DWELLING_TYPES)
+    return F.col("type_local").isin(DWELLING_TYPES)
 
 
 def is_flat():

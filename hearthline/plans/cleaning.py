@@ -6,10 +6,10 @@ first row is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import first_reason, in_domain, lenient_date, lenient_decimal, lenient_int
+from hearthline.functions import first_reason, lenient_date, lenient_decimal, lenient_int
 from hearthline.operators.dedup import keep_first
 from hearthline.operators.joins import lookup, only_known
 from hearthline.schemas import CERTIFICATE, COMMUNE, ENERGY_LABELS, TRANSACTION
@@ -50,14 +50,14 @@ def clean_transactions(raw: DataFrame, communes: DataFrame) -> DataFrame:
     )
 
 
-def _labelled(certificates: DataFrame):
-    return in_domain("etiquette_dpe", ENERGY_LABELS) & in_domain("etiquette_ges", ENERGY_LABELS)
+def _labelled() -> Column:
+    return F.col("etiquette_dpe").isin(ENERGY_LABELS) & F.col("etiquette_ges").isin(ENERGY_LABELS)
 
 
 def clean_certificates(raw: DataFrame, communes: DataFrame, order: list[str]) -> DataFrame:
     """Certificates of known communes with two valid labels, one row per number."""
     renamed = raw.withColumnsRenamed({"code_insee_ban": "code_insee", "adresse_ban": "adresse"})
-    kept = only_known(renamed, communes, "code_insee").where(_labelled(renamed))
+    kept = only_known(renamed, communes, "code_insee").where(_labelled())
     unique = keep_first(
         kept.select(*CERTIFICATE.names, *[c for c in order if c not in CERTIFICATE.names]),
         ["numero_dpe"],

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import in_domain, ordered_category, rounded, share_pct
+from hearthline.functions import ordered_category, rounded, share_pct
 from hearthline.operators.joins import join_aggregates
 from hearthline.operators.pricing import (
     mean_by_group,
@@ -31,11 +31,11 @@ _PRICE, _AREA = "valeur_fonciere", "surface_reelle_bati"
 
 def dwelling_sales() -> Column:
     """Lots counted in prices: houses and flats that were sold."""
-    return in_domain("type_local", DWELLING_TYPES) & (F.col("nature_mutation") == SALE_NATURE)
+    return F.col("type_local").isin(DWELLING_TYPES) & (F.col("nature_mutation") == SALE_NATURE)
 
 
 def leaky() -> Column:
-    return in_domain("etiquette_dpe", LEAKY_LABELS)
+    return F.col("etiquette_dpe").isin(LEAKY_LABELS)
 
 
 def sale_prices(transactions: DataFrame) -> DataFrame:
