@@ -25,8 +25,13 @@ def clean_communes(raw: DataFrame, order: list[str]) -> DataFrame:
     return unique.select(*COMMUNE.names)
 
 
-def clean_transactions(raw: DataFrame, communes: DataFrame) -> DataFrame:
-    """Lots of known communes with a readable price; other numbers may be missing."""
+def clean_transactions(
+    raw: DataFrame, communes: DataFrame, keep: list[str] | None = None
+) -> DataFrame:
+    """Lots of known communes with a readable price; other numbers may be missing.
+
+    ``keep`` names further columns to carry along, such as the order of the file.
+    """
     lots = raw.withColumnRenamed("code_commune", "code_insee")
     return (
         only_known(lots, communes, "code_insee")
@@ -44,9 +49,10 @@ def clean_transactions(raw: DataFrame, communes: DataFrame) -> DataFrame:
             lenient_decimal("surface_terrain", 10, 2).alias("surface_terrain"),
             lenient_decimal("longitude", 9, 6).alias("longitude"),
             lenient_decimal("latitude", 9, 6).alias("latitude"),
+            *(keep or []),
         )
         .dropna(subset=["valeur_fonciere"])
-        .select(*TRANSACTION.names)
+        .select(*TRANSACTION.names, *(keep or []))
     )
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def build_session(
     app: str = "hearthline",
@@ -35,9 +37,15 @@ def configure(spark: SparkSession) -> SparkSession:
     * UTC, so minute and day buckets do not depend on the machine.
     * A skewed join is split even when an aggregation above it reuses the
       join's partitioning (one more exchange, only where skew is measured).
+    * On a cluster shuffles start with several partitions per core, since adaptive
+      execution merges small partitions but cannot add any. A value already set stays.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(_INITIAL, None) is None:
+        planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(_INITIAL, str(max(planned, 4 * context.defaultParallelism)))
     return spark
 
 

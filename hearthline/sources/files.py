@@ -9,15 +9,31 @@ from pyspark.sql import types as T
 from hearthline.schemas import all_text
 
 
+FILE_ORDER = ["_file", "_block", "_row"]
+
+
 def read_csv_text(
-    spark: SparkSession, path: str, columns: list[str], spread: int | None = None
+    spark: SparkSession,
+    path: str,
+    columns: list[str],
+    spread: int | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
     """CSV with header, every column as text; ``.csv.gz`` is recognised by its name.
 
     ``columns`` are the header's names, in the file's order. A gzip file is read by one
     task: pass ``spread`` to redistribute its rows for the work that follows.
+    ``in_order`` appends ``FILE_ORDER``, which sorts rows as they stand in the files.
     """
     df = spark.read.option("header", True).schema(all_text(columns)).csv(path)
+    if in_order:
+        # Rows of one block are read by one task, in order.
+        df = df.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     return df.repartition(spread) if spread else df
 
 

@@ -28,6 +28,19 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return read_table(spark, path, T.StructType([*schema, *_BATCH_COLUMNS]))
 
 
+def compacted_copy(
+    spark: SparkSession, path: str, target: str, schema: T.StructType, key: str
+) -> None:
+    """Rewrite a table of many small batches to ``target`` as one batch, sorted by key.
+
+    Run it between streams and go on with ``target``. A batch replayed later finds its
+    keys there and inserts nothing twice.
+    """
+    rows = read_keyed(spark, path, schema).select(*schema.names)
+    arranged = rows.repartitionByRange(key).sortWithinPartitions(key)
+    arranged.write.mode("overwrite").parquet(batch_path(target, "compacted", 0))
+
+
 def absent_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions import json_row
 from hearthline.schemas import BIG, EVENT, TEXT, WHOLE, struct
@@ -91,10 +92,23 @@ def encode(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(value) if key is None else df.select(F.col(key).alias("key"), value)
 
 
-def publish(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
-    (
-        encode(df, key).write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .save()
-    )
+def publish(
+    df: DataFrame,
+    options: dict[str, str],
+    key: str | None = None,
+    sink: str = "kafka",
+    checkpoint: str | None = None,
+    interval: str | None = None,
+) -> StreamingQuery | None:
+    """Send rows as JSON messages; ``options`` name the servers and topic, or a path.
+
+    A streaming ``df`` needs a ``checkpoint``; it returns its query, which stops once the
+    source is drained unless an ``interval`` is given.
+    """
+    rows = encode(df, key)
+    if not df.isStreaming:
+        rows.write.format(sink).options(**options).mode("append").save()
+        return None
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    writer = rows.writeStream.format(sink).options(**options)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -157,7 +157,10 @@ def process_batch(
             return batch_path(path, query_id, batch_id)
 
         raw = judged.select(*MESSAGE.names, F.current_date().alias("ingest_date"))
-        raw.write.mode("overwrite").partitionBy("ingest_date").parquet(at(lake.bronze))
+        # Static overwrite: a retry on a later day must drop the first attempt's partition.
+        raw.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "ingest_date"
+        ).parquet(at(lake.bronze))
         silver = judged.select(json_row(*EVENT.names, PRICE).alias("value"))
         silver.write.mode("overwrite").parquet(at(lake.silver))
         rejected = judged.where("reject_reason is not null")
