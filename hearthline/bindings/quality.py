@@ -12,6 +12,7 @@ from hearthline.operators.joins import orphans
 from hearthline.operators.ordering import top_k
 from hearthline.plans import audit
 from hearthline.schemas import DWELLING_TYPES
+from hearthline.session import scratch_path
 from hearthline.sources.messages import decode
 
 _ALL = ["commune", "transaction_dvf", "diagnostic_dpe", "diagnostic_dpe_flux"]
@@ -174,6 +175,13 @@ _CONSTRAINTS = {
 
 
 def _submitted(spark, sf_dir):
+    """Events as landed: stored before the checks, which read them several times."""
+    path = scratch_path(spark, "submitted")
+    _undecided(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _undecided(spark, sf_dir):
     decoded = decode(t.messages(spark, sf_dir))
     area = F.col("surface_habitable_logement").try_cast("decimal(8,2)")
     return decoded.select(

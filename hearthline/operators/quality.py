@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import first_reason, holds
+from hearthline.operators.joins import broadcast_if_small
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -259,13 +260,17 @@ def expectation_counts(df: DataFrame, expectations: list[Expectation]) -> DataFr
 def with_reject_reason(
     df: DataFrame, expectations: list[Expectation], reason: str = "reject_reason"
 ) -> DataFrame:
-    """Append the first broken row or foreign-key constraint, NULL for accepted rows."""
+    """Append the first broken row or foreign-key constraint, NULL for accepted rows.
+
+    A foreign key must reference a unique column, as in SQL. Its keys are joined as they
+    are: behind another aggregation Spark could not split a hot key of the child.
+    """
     marked, rules = df, []
     for i, e in enumerate(expectations):
         if e.by_row:
             rules.append((e.name, e.broken()))
         elif e.kind == "foreign_key":
-            known = e.parent.select(F.col(e.parent_key).alias(e.column)).distinct()
+            known = e.parent.select(F.col(e.parent_key).alias(e.column))
             marked = marked.join(known.withColumn(f"_known{i}", F.lit(True)), e.column, "left")
             rules.append(
                 (e.name, F.col(f"_known{i}").isNull() & F.col(e.column).isNotNull())
@@ -306,16 +311,25 @@ def enforce(
 
 
 def _reject_repeats(judged: DataFrame, e: Expectation, order: list[str]) -> DataFrame:
-    """Mark all but the first of the still accepted rows of each non-null key."""
+    """Mark all but the first of the still accepted rows of each non-null key.
+
+    Only keys that do repeat are joined back, one row each; while they are few, the table
+    itself is not shuffled by key.
+    """
     place = F.struct(*order)
     open_row = F.col("reject_reason").isNull() & F.col(e.column).isNotNull()
-    firsts = (
+    repeating = (
         judged.where(open_row)
         .groupBy(F.col(e.column).alias("_key"))
-        .agg(F.min(place).alias("_first"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+        .where("_n > 1")
+        .drop("_n")
+        .checkpoint()
+    )
+    placed = judged.join(
+        broadcast_if_small(repeating), F.col(e.column) == F.col("_key"), "left"
     )
-    placed = judged.join(firsts, F.col(e.column) == F.col("_key"), "left")
-    repeated = open_row & ~place.eqNullSafe(F.col("_first"))
+    repeated = open_row & F.col("_key").isNotNull() & ~place.eqNullSafe(F.col("_first"))
     reason = F.when(repeated, F.lit(e.name)).otherwise(F.col("reject_reason"))
     return placed.withColumn("reject_reason", reason).drop("_key", "_first")
 

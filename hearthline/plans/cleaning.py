@@ -78,7 +78,7 @@ def clean_certificates(raw: DataFrame, communes: DataFrame, order: list[str]) ->
 
 def transaction_outcomes(raw: DataFrame, communes: DataFrame) -> DataFrame:
     """Raw lots with the reason the cleaning drops them, NULL where they stay."""
-    known = communes.select("code_insee").distinct().withColumn("_known", F.lit(True))
+    known = communes.select("code_insee").withColumn("_known", F.lit(True))
     lots = lookup(raw.withColumnRenamed("code_commune", "code_insee"), known, "code_insee")
     reason = first_reason(
         ("unknown_commune", F.col("_known").isNull()),

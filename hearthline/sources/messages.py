@@ -54,9 +54,13 @@ def replay(
 
 
 def decode(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
-    """Payload fields beside the message columns; a malformed payload gives NULL fields."""
+    """Payload fields beside the message columns; a malformed payload gives NULL fields.
+
+    The parsed struct goes through ``inline``: otherwise a later filter on its fields would
+    be moved below the projection and parse the payload again for each field it uses.
+    """
     parsed = F.from_json(F.col("value").cast("string"), schema)
-    return messages.withColumn("_event", parsed).select(*messages.columns, "_event.*")
+    return messages.select(*messages.columns, F.inline(F.array(parsed)))
 
 
 def normalise(

@@ -47,8 +47,11 @@ def reject_rules() -> list[tuple[str, Column]]:
 
 
 def gate_events(enriched: DataFrame, communes: DataFrame) -> DataFrame:
-    """Append ``reject_reason``, NULL for events that pass; every event gets one outcome."""
-    known = communes.select("code_insee").distinct().withColumn("_known", F.lit(True))
+    """Append ``reject_reason``, NULL for events that pass; every event gets one outcome.
+
+    ``communes`` must be unique on its code, as the cleaned table is.
+    """
+    known = communes.select("code_insee").withColumn("_known", F.lit(True))
     judged = lookup(enriched, known, "code_insee")
     return judged.withColumn("reject_reason", first_reason(*reject_rules())).drop("_known")
 
