@@ -46,10 +46,13 @@ def absent_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
 
     The stored keys are reduced to those in the batch first: when the batch's keys are
     few enough to broadcast, the large table is scanned, one column of it, but not
-    shuffled. Pass a persisted ``batch``, it is used three times.
+    shuffled. Only row groups whose key range meets the batch's are read, which skips most
+    of a table whose keys grow with time or which is sorted by key. Pass a persisted
+    ``batch``, it is used several times.
     """
-    keys = broadcast_if_small(batch.select(key))
-    present = stored.select(key).join(keys, key, "left_semi")
+    least, greatest = batch.agg(F.min(key), F.max(key)).first()
+    near = stored.select(key).where(F.col(key).between(F.lit(least), F.lit(greatest)))
+    present = near.join(broadcast_if_small(batch.select(key)), key, "left_semi")
     return batch.join(present, key, "left_anti")
 
 

@@ -160,6 +160,15 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, rows):
     assert stored(spark, path, rows) == [("a", "x"), ("b", "y"), ("c", "z")]
 
 
+def test_empty_batch_inserts_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "clean")
+    batch = keyed(spark, [("a", 1, "x")])
+    keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 0)
+    none = batch.where("false")
+    assert keyed_table.insert_if_absent(none, path, "k", ["ord"], "q", 1).count() == 0
+    assert stored(spark, path, rows) == [("a", "x")]
+
+
 def test_stored_keys_are_scanned_without_a_shuffle(spark, tmp_path):
     from conftest import plan_of
 
@@ -169,4 +178,5 @@ def test_stored_keys_are_scanned_without_a_shuffle(spark, tmp_path):
     batch = keyed(spark, [("5", 1, "y"), ("z", 1, "y")]).persist()
     plan = plan_of(keyed_table.absent_rows(batch, target, "k"))
     assert "ReadSchema: struct<k:string>" in plan
+    assert "GreaterThanOrEqual(k,5)" in plan and "LessThanOrEqual(k,z)" in plan
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
