@@ -13,8 +13,6 @@ from hearthline.session import scratch_path
 from hearthline.sources import files, incremental, keyed_table, messages, pages, tables
 
 
-
-
 @query("normalise_two_shapes", t.over(["diagnostic_dpe_flux"], """
 SELECT numero_dpe, code_insee, CAST(date_reception_dpe AS VARCHAR) AS date_reception_dpe,
        etiquette_dpe, etiquette_ges,
@@ -143,7 +141,6 @@ def insert_if_absent(spark, sf_dir):
     return keyed_table.read_keyed(spark, path, lines.schema).select(*lines.columns)
 
 
-
 _CSV_SQL = t.over(["transaction_dvf"], """
 SELECT CAST(id_mutation AS VARCHAR) AS id_mutation,
        CAST(date_mutation AS VARCHAR) AS date_mutation, nature_mutation,

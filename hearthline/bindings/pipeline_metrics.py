@@ -12,7 +12,8 @@ from hearthline.streaming.gate import enrich, gate_events
 from hearthline.sources.messages import decode
 
 # Each event is a sample of the counter named by its type; a smaller value is a reset.
-_SAMPLES = "SELECT event_id, ts, event_type, user_id, CAST(value AS DECIMAL(12,2)) AS reading FROM events"
+_SAMPLES = """
+SELECT event_id, ts, event_type, user_id, CAST(value AS DECIMAL(12,2)) AS reading FROM events"""
 _GROWN = """
 SELECT *, CASE WHEN previous IS NULL THEN 0 WHEN reading < previous THEN reading
                ELSE reading - previous END AS increase

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_SHARED = "spark.checkpoint.dir"
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -37,13 +38,21 @@ def configure(spark: SparkSession) -> SparkSession:
     * UTC, so minute and day buckets do not depend on the machine.
     * A skewed join is split even when an aggregation above it reuses the
       join's partitioning (one more exchange, only where skew is measured).
+    * ``checkpoint()`` uses the shared folder (see ``shared_dir``).
     * On a cluster shuffles start with several partitions per core, since adaptive
       execution merges small partitions but cannot add any. A value already set stays.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     context = spark.sparkContext
-    if not context.master.startswith("local") and spark.conf.get(_INITIAL, None) is None:
+    local = context.master.startswith("local")
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get(_SHARED, None)
+        if named:
+            context.setCheckpointDir(named)
+        elif local:
+            shared_dir(spark)
+    if not local and spark.conf.get(_INITIAL, None) is None:
         planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.conf.set(_INITIAL, str(max(planned, 4 * context.defaultParallelism)))
     return spark
@@ -54,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get(_SHARED, None)
     if named:
         return named
     context = spark.sparkContext

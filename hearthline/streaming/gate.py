@@ -73,4 +73,3 @@ def event_audit_rules() -> list[tuple[str, Column]]:
         ("missing_price", F.col(PRICE).isNull()),
         (f"area_above_{MAX_FLAT_AREA}", area > MAX_FLAT_AREA),
     ]
-

@@ -29,7 +29,9 @@ def event(number, area, code="44109"):
 @pytest.fixture
 def tables(spark):
     return {
-        "commune": spark.createDataFrame([("44109", "Nantes", None, None, None, "44", None, None, None)], COMMUNE),
+        "commune": spark.createDataFrame(
+            [("44109", "Nantes", None, None, None, "44", None, None, None)], COMMUNE
+        ),
         "transaction_dvf": spark.createDataFrame([
             lot("s1", 100000, "Maison", 0), lot("s2", 100000, "Dépendance", 0),
             lot("s3", 100000, None, 0, None), lot("s4", 900000, "Maison", 4, "30"),
