@@ -102,7 +102,8 @@ SELECT CAST(id_mutation AS VARCHAR) AS id_mutation,
        CAST(date_mutation AS VARCHAR) AS date_mutation, nature_mutation,
        CAST(valeur_fonciere AS DOUBLE) AS valeur_fonciere, code_insee, type_local,
        CASE WHEN _line <> 5 THEN CAST(surface_reelle_bati AS DOUBLE) END AS surface_reelle_bati,
-       CASE WHEN _line <> 7 THEN nombre_pieces_principales END AS nombre_pieces_principales,
+       CAST(CASE WHEN _line <> 7 THEN nombre_pieces_principales END AS DOUBLE)
+         AS nombre_pieces_principales,
        CAST(surface_terrain AS DOUBLE) AS surface_terrain,
        CAST(longitude AS DOUBLE) AS longitude, CAST(latitude AS DOUBLE) AS latitude
 FROM transaction_dvf
@@ -116,13 +117,15 @@ def clean_sales(spark, sf_dir):
 @query("clean_events", t.over(["commune", "diagnostic_dpe"], """
 SELECT key_number AS numero_dpe, code_insee,
        CAST(date_etablissement_dpe AS VARCHAR) AS date_etablissement_dpe,
-       label AS etiquette_dpe, etiquette_ges, annee_construction, periode_construction,
+       label AS etiquette_dpe, etiquette_ges,
+       CAST(annee_construction AS DOUBLE) AS annee_construction, periode_construction,
        type_batiment, CAST(area AS DOUBLE) AS surface_habitable_logement, adresse
 FROM cleaned""", cleaned=_CLEAN_CERTIFICATES))
 def clean_events(spark, sf_dir):
-    return cleaning.clean_certificates(
+    cleaned = cleaning.clean_certificates(
         raw_certificates(spark, sf_dir), t.communes(spark, sf_dir), ["_row"]
     )
+    return cleaned.withColumn("annee_construction", F.col("annee_construction").cast("double"))
 
 
 @query("sales_outcomes", t.over(["transaction_dvf"], """

@@ -145,7 +145,8 @@ _CSV_SQL = t.over(["transaction_dvf"], """
 SELECT CAST(id_mutation AS VARCHAR) AS id_mutation,
        CAST(date_mutation AS VARCHAR) AS date_mutation, nature_mutation,
        CAST(valeur_fonciere AS DOUBLE) AS valeur_fonciere, code_insee, type_local,
-       CAST(surface_reelle_bati AS DOUBLE) AS surface_reelle_bati, nombre_pieces_principales,
+       CAST(surface_reelle_bati AS DOUBLE) AS surface_reelle_bati,
+       CAST(nombre_pieces_principales AS DOUBLE) AS nombre_pieces_principales,
        CAST(surface_terrain AS DOUBLE) AS surface_terrain,
        CAST(longitude AS DOUBLE) AS longitude, CAST(latitude AS DOUBLE) AS latitude
 FROM transaction_dvf""")

@@ -231,9 +231,10 @@ def enforce_constraints(spark, sf_dir):
 
 @query("nullify_where", t.over(["transaction_dvf"], """
 SELECT id_mutation, _line, _part, _supplier,
-       CASE WHEN nombre_pieces_principales = 0
-                 AND coalesce(type_local IN ('Maison', 'Appartement'), FALSE)
-            THEN NULL ELSE nombre_pieces_principales END AS nombre_pieces_principales
+       CAST(CASE WHEN nombre_pieces_principales = 0
+                      AND coalesce(type_local IN ('Maison', 'Appartement'), FALSE)
+                 THEN NULL ELSE nombre_pieces_principales END AS DOUBLE)
+         AS nombre_pieces_principales
 FROM transaction_dvf"""))
 def nullify_where(spark, sf_dir):
     column = "nombre_pieces_principales"

@@ -44,7 +44,11 @@ def oracles() -> dict[str, str]:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Result types every engine prints alike: decimals as double, instants as text."""
+    """Result types every engine prints alike.
+
+    Decimals and small whole numbers, which may be missing, become doubles; dates and
+    instants become text.
+    """
     columns = []
     for field in df.schema:
         value = F.col(f"`{field.name}`")
@@ -55,7 +59,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, (T.ByteType, T.ShortType)):
-            value = value.cast("int")
+            value = value.cast("double")
         columns.append(value.alias(field.name))
     return df.select(*columns)
 
