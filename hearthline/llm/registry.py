@@ -3,19 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthline.llm import bpe, token_counts
+from hearthline.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    language_id,
+    license_scan,
+    token_counts,
+)
+from hearthline.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "op5_token_counts": token_counts.op5_token_counts,
-        "op8_bpe": bpe.op8_bpe,
-    }
+    found = (
+        chat_format.op3_chat_format,
+        language_id.op4_language_id,
+        token_counts.op5_token_counts,
+        bpe.op8_bpe,
+        decontamination.op9_decontamination,
+        license_scan.op10_license_scan,
+    )
+    return {run.__name__: _ready(run) for run in found}
+
+
+def _ready(run: Query) -> Query:
+    @wraps(run)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    return query
 
 
 def oracle_sql() -> dict[str, str]:
