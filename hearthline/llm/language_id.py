@@ -8,7 +8,8 @@ language of the centroid with the largest cosine.
 
 Rejection is by distance: a text whose cosine is below what the sample's texts of its length
 reach, less a margin, is rejected, and so is one without a letter. Length classes are powers of
-two of the number of n-grams, and a shorter class never has a higher bound than a longer one.
+two of the number of n-grams; a shorter class never has a higher bound than a longer one, and a
+class with few texts in the sample rejects nothing.
 
 ``sample`` bounds the learning documents that are clustered, for all languages together; which
 ones are taken depends on a hash of their id. Everything else covers all documents.
@@ -33,6 +34,8 @@ DIMENSIONS = 4096
 CENTROIDS = 4
 SAMPLE = 4000
 MARGIN = 0.2
+#: Sample texts that a length class needs before texts of its length can be rejected.
+WELL_KNOWN = 30
 UNDETERMINED = "und"
 _LETTERS = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 _ROWS = 256
@@ -94,9 +97,12 @@ class CentroidModel:
         self.centers = np.concatenate(centers).astype(np.float32)
         self.owner = np.repeat(np.arange(len(centers)), [len(c) for c in centers])
         best = (points @ self.centers.T).max(axis=1)
+        classes: dict[int, list[float]] = {}
         for count, cosine in zip(counts, best):
-            size = length_class(count)
-            self.least[size] = min(float(cosine) - margin, self.least.get(size, 1.0))
+            classes.setdefault(length_class(count), []).append(float(cosine))
+        for size, cosines in classes.items():
+            if len(cosines) >= WELL_KNOWN:
+                self.least[size] = min(cosines) - margin
         bound = 1.0
         for size in sorted(self.least, reverse=True):
             bound = self.least[size] = min(bound, self.least[size])
@@ -115,7 +121,8 @@ class CentroidModel:
             for i, row in zip(known, cosines):
                 at = int(row.argmax())
                 score = min(1.0, max(0.0, float(row[at])))
-                least = self.least.get(min(length_class(counts[i]), max(self.least)), 0.0)
+                size = min(length_class(counts[i]), max(self.least, default=0))
+                least = self.least.get(size, 0.0)
                 results[first + i] = self.languages[self.owner[at]], score, score < least
         return results
 

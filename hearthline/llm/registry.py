@@ -13,6 +13,7 @@ from hearthline.llm import (
     decontamination,
     language_id,
     license_scan,
+    simhash,
     token_counts,
 )
 from hearthline.llm.common import ship_package
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         chat_format.op3_chat_format,
         language_id.op4_language_id,
         token_counts.op5_token_counts,
+        simhash.op7_simhash,
         bpe.op8_bpe,
         decontamination.op9_decontamination,
         license_scan.op10_license_scan,
