@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,12 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def in_portions(frame: pd.DataFrame, rows: int = 8192) -> Iterator[pd.DataFrame]:
+    """A task's result in frames that fit one Arrow batch each."""
+    for first in range(0, len(frame), rows):
+        yield frame.iloc[first : first + rows]
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, an empty one for null."""
     return F.coalesce(F.col(column), F.lit(""))

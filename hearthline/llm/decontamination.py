@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import packed, table, unpacked, whole_text
+from hearthline.llm.common import in_portions, packed, table, unpacked, whole_text
 
 N = 3
 STRIDE = 4
@@ -167,7 +167,7 @@ def gram_frequencies(docs: DataFrame, block: ItemBlock) -> dict[int, int]:
             for text in batch["text"]:
                 counts[np.unique(block.hits(block.ids(text))[1])] += 1
         gram = np.flatnonzero(counts)
-        yield pd.DataFrame({"gram": gram, "n": counts[gram]})
+        yield from in_portions(pd.DataFrame({"gram": gram, "n": counts[gram]}))
 
     held = docs.select(whole_text().alias("text")).mapInPandas(count, "gram long, n long")
     return {r["gram"]: r["n"] for r in held.groupBy("gram").agg(F.sum("n").alias("n")).collect()}

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import table, whole_text
+from hearthline.llm.common import in_portions, table, whole_text
 
 THRESHOLD = 0.9
 BLOCK_SIZES = (16, 32, 64, 128)
@@ -154,7 +154,7 @@ def word_frequencies(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
         for batch in batches:
             for text in batch["text"]:
                 counts.update(vocabulary.intersection(words_of(text)))
-        yield pd.DataFrame(list(counts.items()), columns=["word", "n"])
+        yield from in_portions(pd.DataFrame(list(counts.items()), columns=["word", "n"]))
 
     held = docs.select(whole_text().alias("text")).mapInPandas(count, "word string, n long")
     return {r["word"]: r["n"] for r in held.groupBy("word").agg(F.sum("n").alias("n")).collect()}

@@ -11,8 +11,10 @@ from hearthline.llm import (
     bpe,
     chat_format,
     decontamination,
+    fingerprints,
     language_id,
     license_scan,
+    secret_scan,
     simhash,
     token_counts,
 )
@@ -23,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     found = (
+        fingerprints.op1_imatch,
+        secret_scan.op2_secret_scan,
         chat_format.op3_chat_format,
         language_id.op4_language_id,
         token_counts.op5_token_counts,

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import packed, table, unpacked, whole_text, written
+from hearthline.llm.common import in_portions, packed, table, unpacked, whole_text, written
 
 SHINGLE = 3
 DISTANCE = 3
@@ -240,10 +240,14 @@ def links(nodes: DataFrame, distance: int, fingerprints: int) -> DataFrame:
             rest = rows.iloc[whole:]
             if whole:
                 words = rows["fp"].to_numpy()[:whole].view(np.uint64)
-                yield local_links(turns[:whole], fronts[:whole], words, distance)
+                yield from in_portions(
+                    local_links(turns[:whole], fronts[:whole], words, distance)
+                )
         if rest is not None:
             words = rest["fp"].to_numpy().copy().view(np.uint64)
-            yield local_links(rest["turn"].to_numpy(), rest["front"].to_numpy(), words, distance)
+            yield from in_portions(
+                local_links(rest["turn"].to_numpy(), rest["front"].to_numpy(), words, distance)
+            )
 
     ordered = (
         gray_orders(nodes, distance, bit_blocks(fingerprints, distance))
