@@ -7,9 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from hearthline.llm import (
     bpe,
     chat_format,
+    cotraining,
     decontamination,
     fingerprints,
     language_id,
@@ -30,12 +32,14 @@ def queries() -> dict[str, Query]:
         chat_format.op3_chat_format,
         language_id.op4_language_id,
         token_counts.op5_token_counts,
+        cotraining.op6_cotraining,
         simhash.op7_simhash,
         bpe.op8_bpe,
         decontamination.op9_decontamination,
         license_scan.op10_license_scan,
     )
-    return {run.__name__: _ready(run) for run in found}
+    named = {run.__name__: run for run in found} | {"pipeline": corpus_pipeline.run}
+    return {name: _ready(run) for name, run in named.items()}
 
 
 def _ready(run: Query) -> Query:
@@ -48,4 +52,4 @@ def _ready(run: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
