@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from hearthline.llm.common import in_portions, packed, table, unpacked, whole_text
 
 N = 3
-STRIDE = 4
+STRIDE = 2
 THRESHOLD = 0.5
 #: Words of the items that meet the documents at once.
 BLOCK_WORDS = 200_000
