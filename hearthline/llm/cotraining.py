@@ -34,6 +34,8 @@ from hearthline.llm.common import table, whole_text
 
 DIMENSIONS = 4096
 BUCKETS = 64
+#: Layout numbers of the metadata view.
+LAYOUT = 12
 LABELLED, POOL = 3000, 3000
 ROUNDS, EXCHANGED = 4, 150
 TARGETS = ("quality", "toxic")
@@ -110,15 +112,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _platt(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset that make log odds fit the labels (Newton steps on smoothed targets)."""
+    """Slope and offset that make log odds fit the labels (bounded Newton steps, smoothed targets)."""
     ones = labels.sum()
     target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
     x = np.stack([odds, np.ones_like(odds)], axis=1)
     fitted = np.array([1.0, 0.0])
-    for _ in range(30):
+    for _ in range(50):
         p = _sigmoid(x @ fitted)
-        curve = x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-        fitted = fitted - np.linalg.solve(curve, x.T @ (p - target) + 1e-3 * (fitted - [1, 0]))
+        curve = x.T @ (x * (p * (1 - p))[:, None]) + np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (p - target) + fitted - [1, 0])
+        fitted = fitted - step / max(1.0, float(np.abs(step).max()) / 0.5)
     return max(1e-3, float(fitted[0])), float(fitted[1])
 
 
@@ -183,7 +186,7 @@ def _drawn(salt: str, share: float) -> Column:
 def _views(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     text = np.array([np.frombuffer(t, "<u4") for t in rows["text_view"]]).reshape(-1, DIMENSIONS)
     meta = np.array([np.frombuffer(m, "<f8") for m in rows["metadata_view"]])
-    return text, meta.reshape(len(rows), -1)
+    return text, meta.reshape(-1, LAYOUT + 2 * BUCKETS)
 
 
 def _both_views() -> Column:

@@ -290,14 +290,14 @@ def stars(found: DataFrame) -> DataFrame:
 
 
 def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, component_id) for a written table of (doc_id, fp)."""
+    """(fp, root, component_id) for a written table of (doc_id, fp); ``root`` names the class."""
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     joined = stars(links(nodes.select("fp"), distance, nodes.count()))
     rooted = nodes.join(joined, nodes["fp"] == joined["a"], "left").select(
         "fp", "least", F.coalesce("b", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "component_id")
+    return rooted.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(
@@ -307,7 +307,8 @@ def near_duplicates(
     prints = written(
         docs.select("doc_id", fingerprint_column(whole_text(), shingle).alias("fp")), "prints"
     )
-    return prints.join(components(prints, distance), "fp")
+    classes = components(prints, distance).select("fp", "component_id")
+    return prints.join(classes, "fp")
 
 
 def deduplicated(
@@ -327,7 +328,7 @@ def deduplicated(
     leaders = (
         prints.join(components(prints, distance), "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id").agg(F.min("text_hash").alias("first_hash"))
+        .groupBy("root", "component_id").agg(F.min("text_hash").alias("first_hash"))
     )
     # Joined and numbered on the same key: the texts are shuffled once.
     kept = rows.join(
