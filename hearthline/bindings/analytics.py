@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.bindings import tables as t
 from hearthline.bindings.registry import query
 from hearthline.operators.metrics import row_count
 from hearthline.plans import audit, market, verification
+from hearthline.schemas import CONSTRUCTION_PERIODS
 
 # Sale-level definitions shared by several oracles.
 _SALES = """
@@ -34,6 +36,13 @@ SELECT id_mutation, MAX(valeur_fonciere) AS valeur_fonciere,
 FROM transaction_dvf WHERE surface_reelle_bati > 0 GROUP BY id_mutation"""
 
 
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """The place of each row in an ordered list of one row per commune or period."""
+    placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.orderBy("_at")).cast("bigint")
+    return placed.withColumn("position", nth).drop("_at")
+
+
 @query("table_counts", """
 SELECT 'orders' AS table_name, COUNT(*) AS n_rows FROM orders
 UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem
@@ -57,39 +66,51 @@ def facts_per_dim_topk(spark, sf_dir):
 
 
 @query("mean_unit_price", t.over(["commune", "transaction_dvf"], """
-SELECT nom_commune, nb_mutations, ROUND(prix_moyen_m2, 0) AS prix_moyen_m2
+SELECT nom_commune, nb_mutations, ROUND(prix_moyen_m2, 0) AS prix_moyen_m2,
+       row_number() OVER (ORDER BY ROUND(prix_moyen_m2, 0) DESC NULLS FIRST, nom_commune)
+         AS position
 FROM prices JOIN commune USING (code_insee)""", sales=_SALES, prices=_PRICES))
 def mean_unit_price(spark, sf_dir):
-    return market.price_by_commune(t.transactions(spark, sf_dir), t.communes(spark, sf_dir))
+    return _numbered(
+        market.price_by_commune(t.transactions(spark, sf_dir), t.communes(spark, sf_dir))
+    )
 
 
 @query("category_share", t.over(["commune", "diagnostic_dpe"], """
-SELECT nom_commune, nb_diagnostics, ROUND(pct_f_g, 1) AS pct_f_g
+SELECT nom_commune, nb_diagnostics, ROUND(pct_f_g, 1) AS pct_f_g,
+       row_number() OVER (ORDER BY ROUND(pct_f_g, 1) DESC NULLS FIRST, nom_commune) AS position
 FROM shares JOIN commune USING (code_insee)""", shares=_SHARES))
 def category_share(spark, sf_dir):
-    return market.leaky_share_by_commune(
+    return _numbered(market.leaky_share_by_commune(
         t.certificates(spark, sf_dir), t.communes(spark, sf_dir)
-    )
+    ))
 
 
 @query("price_vs_share", t.over(["commune", "transaction_dvf", "diagnostic_dpe"], """
 SELECT nom_commune, nb_mutations, ROUND(prix_moyen_m2, 0) AS prix_moyen_m2,
-       nb_diagnostics, ROUND(pct_f_g, 1) AS pct_f_g
+       nb_diagnostics, ROUND(pct_f_g, 1) AS pct_f_g,
+       row_number() OVER (ORDER BY ROUND(prix_moyen_m2, 0) DESC NULLS FIRST, nom_commune)
+         AS position
 FROM prices JOIN shares USING (code_insee) JOIN commune USING (code_insee)""",
     sales=_SALES, prices=_PRICES, shares=_SHARES))
 def price_vs_share(spark, sf_dir):
-    return market.price_and_leaky_share(
+    return _numbered(market.price_and_leaky_share(
         t.transactions(spark, sf_dir), t.certificates(spark, sf_dir), t.communes(spark, sf_dir)
-    )
+    ))
+
+
+_PERIODS = ", ".join(f"'{p}'" for p in CONSTRUCTION_PERIODS)
 
 
-@query("share_by_period", t.over(["diagnostic_dpe"], """
+@query("share_by_period", t.over(["diagnostic_dpe"], f"""
 SELECT periode_construction, COUNT(*) AS nb_diagnostics,
        ROUND(100.0::DOUBLE * COUNT(*) FILTER (WHERE etiquette_dpe IN ('F', 'G')) / COUNT(*), 1)
-         AS pct_f_g
+         AS pct_f_g,
+       row_number() OVER (ORDER BY list_position([{_PERIODS}], periode_construction) NULLS LAST)
+         AS position
 FROM diagnostic_dpe GROUP BY periode_construction"""))
 def share_by_period(spark, sf_dir):
-    return market.leaky_share_by_period(t.certificates(spark, sf_dir))
+    return _numbered(market.leaky_share_by_period(t.certificates(spark, sf_dir)))
 
 
 @query("unit_price_first_pick", t.over(["transaction_dvf"], """

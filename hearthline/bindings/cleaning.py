@@ -128,6 +128,33 @@ def clean_events(spark, sf_dir):
     return cleaned.withColumn("annee_construction", F.col("annee_construction").cast("double"))
 
 
+@query("commune_outcomes", """
+SELECT CASE WHEN n_nationkey = 7 THEN 'missing_code' WHEN copy > 0 THEN 'repeated_code'
+            ELSE 'accepted' END AS reject_reason, COUNT(*) AS n_rows
+FROM (SELECT n_nationkey, unnest(range(n_nationkey % 3 + 1)) AS copy FROM nation) n GROUP BY 1""")
+def commune_outcomes(spark, sf_dir):
+    return reason_counts(cleaning.commune_outcomes(raw_communes(spark, sf_dir), ["_copy"]))
+
+
+@query("certificate_outcomes", t.over(["commune", "diagnostic_dpe"], """
+SELECT reject_reason, COUNT(*) AS n_rows FROM (
+  SELECT CASE WHEN reason IS NULL AND row_number() OVER (
+                PARTITION BY reason, key_number ORDER BY number) > 1 THEN 'repeated_number'
+              ELSE coalesce(reason, 'accepted') END AS reject_reason
+  FROM (SELECT CAST(numero_dpe AS BIGINT) AS number,
+               number - CASE WHEN number % 7 = 3 THEN 1 ELSE 0 END AS key_number,
+               CASE WHEN code_insee NOT IN (SELECT code_insee FROM commune)
+                      THEN 'unknown_commune'
+                    WHEN number % 31 IN (0, 1) OR etiquette_dpe IS NULL THEN 'bad_label'
+               END AS reason FROM diagnostic_dpe) r) o
+GROUP BY 1"""))
+def certificate_outcomes(spark, sf_dir):
+    judged = cleaning.certificate_outcomes(
+        raw_certificates(spark, sf_dir), t.communes(spark, sf_dir), ["_row"]
+    )
+    return reason_counts(judged)
+
+
 @query("sales_outcomes", t.over(["transaction_dvf"], """
 SELECT CASE WHEN _supplier % 10 = 3 THEN 'unknown_commune'
             WHEN id_mutation % 97 = 0 OR id_mutation % 89 = 0 THEN 'no_price'

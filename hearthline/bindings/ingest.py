@@ -11,6 +11,7 @@ from hearthline.operators.ordering import with_dense_ids
 from hearthline.schemas import EVENT, LIVE_EVENT_COLUMNS, TRANSACTION
 from hearthline.session import scratch_path
 from hearthline.sources import files, incremental, keyed_table, messages, pages, tables
+from hearthline.streaming import producer
 
 
 @query("normalise_two_shapes", t.over(["diagnostic_dpe_flux"], """
@@ -133,14 +134,64 @@ SELECT line_key, l_partkey, l_suppkey, l_returnflag FROM (
                l_partkey, l_suppkey, l_returnflag FROM lineitem) k) r
 WHERE nth = 1""")
 def insert_if_absent(spark, sf_dir):
-    """All line items in three batches, one per return flag; the middle one runs twice."""
+    """All line items in three batches by return flag; the middle one runs twice.
+
+    The last batch takes every row that is in no other, whatever its flag.
+    """
     lines, path = _keyed_lines(spark, sf_dir), scratch_path(spark, "keyed")
-    for batch_id, flag in [(0, "A"), (1, "N"), (1, "N"), (2, "R")]:
-        batch = lines.where(F.col("l_returnflag") == flag)
+    place = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1)
+    for batch_id in (0, 1, 1, 2):
+        batch = lines.where(F.coalesce(place, F.lit(2)) == batch_id)
         keyed_table.insert_if_absent(batch, path, "line_key", _ROWS, "lines", batch_id)
     return keyed_table.read_keyed(spark, path, lines.schema).select(*lines.columns)
 
 
+@query("insert_null_keys", """
+SELECT line_key, l_partkey, l_suppkey, l_returnflag FROM (
+  SELECT *, row_number() OVER (PARTITION BY line_key ORDER BY l_partkey DESC, l_suppkey DESC)
+           AS nth
+  FROM (SELECT CASE WHEN l_linenumber > 1 THEN
+                 CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END
+                 AS line_key, l_partkey, l_suppkey, l_returnflag FROM lineitem) k
+  WHERE line_key IS NOT NULL) r
+WHERE nth = 1""")
+def insert_null_keys(spark, sf_dir):
+    """The same rows in two batches; those without a key are never stored."""
+    lines, path = _keyed_lines(spark, sf_dir), scratch_path(spark, "null-keys")
+    lines = lines.withColumn("line_key", F.when(~F.col("line_key").endswith("-1"), F.col("line_key")))
+    for batch_id in (0, 1):
+        keyed_table.insert_if_absent(lines, path, "line_key", _ROWS, "lines", batch_id)
+    return keyed_table.read_keyed(spark, path, lines.schema).select(*lines.columns)
+
+
+@query("poll_to_end", """
+SELECT CAST(event_id AS VARCHAR) AS numero_dpe,
+       CASE WHEN event_id % 10 <> 0 THEN
+         CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) END AS date_reception_dpe
+FROM events""")
+def poll_to_end(spark, sf_dir):
+    """All events by polling through a stored cursor, though months hold more than a page.
+
+    Rows that were sent again at a boundary count once, as in the keyed table downstream.
+    """
+    events = t.read(spark, sf_dir, "events").withColumns({
+        "date_reception_dpe": F.when(
+            F.col("event_id") % 10 != 0, F.date_trunc("month", "ts").cast("date").cast("string")
+        ),
+        "numero_dpe": F.col("event_id").cast("string"),
+    })
+    rows = events.select(
+        "numero_dpe", "date_reception_dpe",
+        *(F.lit(None).cast("string").alias(c) for c in LIVE_EVENT_COLUMNS
+          if c not in ("numero_dpe", "date_reception_dpe")),
+    )
+    page = max(1, -(-rows.count() // 9))
+    state, sent = scratch_path(spark, "cursor"), scratch_path(spark, "topic")
+    producer.poll_to_end(rows, state, {"path": sent}, "parquet", page)
+    topic = spark.read.parquet(sent).select(F.from_json("value", EVENT).alias("event"))
+    return topic.select("event.numero_dpe", "event.date_reception_dpe").distinct()
+
+
 _CSV_SQL = t.over(["transaction_dvf"], """
 SELECT CAST(id_mutation AS VARCHAR) AS id_mutation,
        CAST(date_mutation AS VARCHAR) AS date_mutation, nature_mutation,
@@ -164,15 +215,17 @@ def csv_roundtrip(spark, sf_dir):
 
 @query("csv_text_gzip", t.over(["diagnostic_dpe"], """
 SELECT numero_dpe, code_insee,
-       CAST(surface_habitable_logement AS VARCHAR) AS surface_habitable_logement, adresse
+       CAST(surface_habitable_logement AS VARCHAR) AS surface_habitable_logement,
+       '"a, ""b""\\ ' || adresse || chr(10) || '\\' AS adresse
 FROM diagnostic_dpe"""))
 def csv_text_gzip(spark, sf_dir):
-    """Compressed CSV read back with every column as text."""
+    """Compressed CSV with quotes, commas, backslashes and line ends, read back as text."""
     columns = ["numero_dpe", "code_insee", "surface_habitable_logement", "adresse"]
     path = scratch_path(spark, "gzip")
     rows = t.certificates(spark, sf_dir).select(*columns)
-    rows.write.option("header", True).option("compression", "gzip").csv(path)
-    return files.read_csv_text(spark, path, columns)
+    awkward = F.concat(F.lit('"a, ""b""\\ '), "adresse", F.lit("\n\\"))
+    files.write_csv(rows.withColumn("adresse", awkward), path, "gzip")
+    return files.read_csv_text(spark, path, columns, multi_line=True)
 
 
 @query("raw_lines_copy", """

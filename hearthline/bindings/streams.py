@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthline.bindings import tables as t
@@ -32,19 +32,45 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run(spark: SparkSession, sf_dir: str) -> EventLake:
     """Stream all events through the pipeline into a new lake and wait until done.
 
-    The name pattern matches the events whether they are one file or a folder of files.
+    The pattern matches that one name, whether it is a file or a folder of files.
     """
     schema = t.read(spark, sf_dir, "events").schema
-    events = replay(spark, f"{sf_dir}/events*", schema, max_files=1000)
+    events = replay(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
     lake = EventLake(scratch_path(spark, "lake"))
+    _drain(t.as_messages(events), lake, sf_dir)
+    return lake
+
+
+def _drain(messages: DataFrame, lake: EventLake, sf_dir: str) -> None:
+    """Run the stream until its source is empty; every reference row is given twice."""
     running = start(
-        t.as_messages(events),
+        messages,
         lake,
-        communes=lambda s: t.communes(s, sf_dir),
-        prices=lambda s: t.prices(s, sf_dir),
+        communes=lambda s: t.communes(s, sf_dir).union(t.communes(s, sf_dir)),
+        prices=lambda s: t.prices(s, sf_dir).union(
+            t.prices(s, sf_dir).withColumns({
+                "nb_mutations": F.lit(1).cast("bigint"), "prix_m2_moyen": F.lit(1.0),
+            })
+        ),
         interval=None,
     )
     running.awaitTermination()
+
+
+def _run_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> EventLake:
+    """The events in several files, each taken in by a run of its own behind the checkpoint.
+
+    A run in the middle finds a file without rows, the last one nothing new.
+    """
+    events = t.read(spark, sf_dir, "events")
+    source, lake = scratch_path(spark, "parts"), EventLake(scratch_path(spark, "lake"))
+    part = F.col("event_id") % parts
+    taken = [events.where(part == n) for n in range(parts)]
+    for rows in (*taken[:-1], events.limit(0), taken[-1], None):
+        if rows is not None:
+            rows.write.mode("append").parquet(source)
+        stream = replay(spark, source, events.schema, max_files=1_000_000)
+        _drain(t.as_messages(stream), lake, sf_dir)
     return lake
 
 
@@ -68,6 +94,47 @@ def stream_pipeline(spark, sf_dir):
     return _run(spark, sf_dir).read_clean(spark).select(*CLEAN_COLUMNS)
 
 
+@query("stream_many_batches", t.over(["gated"], """
+SELECT numero_dpe, code_insee, etiquette_dpe, CAST(_number AS DOUBLE) AS surface_habitable_logement,
+       CAST(dense_rank() OVER (ORDER BY event_id % 3) AS BIGINT) AS nth_batch
+FROM (SELECT *, row_number() OVER (PARTITION BY numero_dpe
+                 ORDER BY event_id % 3, _partition DESC, event_id DESC) AS nth
+      FROM gated WHERE reject_reason IS NULL) g
+WHERE nth = 1"""))
+def stream_many_batches(spark, sf_dir):
+    """First batch wins, last row in a batch wins, over runs that stop and go on."""
+    rows = _run_in_parts(spark, sf_dir).read_clean(spark)
+    nth = F.dense_rank().over(Window.orderBy("batch_id"))
+    order = rows.select("batch_id").distinct().withColumn("nth_batch", nth.cast("bigint"))
+    return rows.join(order, "batch_id").select(
+        "numero_dpe", "code_insee", "etiquette_dpe",
+        F.col("surface_habitable_logement").cast("double").alias("surface_habitable_logement"),
+        "nth_batch",
+    )
+
+
+@query("stream_silver", t.over(["gated"], f"""
+SELECT numero_dpe, etiquette_dpe, CAST(prix_m2_commune_reference AS DOUBLE) AS {PRICE}
+FROM gated"""))
+def stream_silver(spark, sf_dir):
+    """The enriched events of the silver layer, before cleaning."""
+    value = F.from_json("value", f"numero_dpe string, etiquette_dpe string, {PRICE} double")
+    return _run(spark, sf_dir).read_silver(spark).select(value.alias("event")).select("event.*")
+
+
+@query("stream_processing_time", """
+SELECT CAST(0 AS BIGINT) AS without_time, CAST(1 AS BIGINT) AS times_per_batch""")
+def stream_processing_time(spark, sf_dir):
+    """Every stored row has a processing time, one per batch."""
+    batches = _run_in_parts(spark, sf_dir).read_clean(spark).groupBy("batch_id").agg(
+        F.count_if(F.col("traite_le").isNull()).alias("without_time"),
+        F.count_distinct("traite_le").alias("times"),
+    )
+    return batches.agg(
+        F.sum("without_time").alias("without_time"), F.max("times").alias("times_per_batch")
+    )
+
+
 @query("stream_quarantine", t.over(["gated"], """
 SELECT event_id AS "offset", reject_reason FROM gated WHERE reject_reason IS NOT NULL"""))
 def stream_quarantine(spark, sf_dir):

@@ -162,12 +162,14 @@ def as_messages(events: DataFrame) -> DataFrame:
         "numero_dpe": F.when(i % 50 == 1, "").when(i % 50 != 0, (i - (i % 5 == 4).cast("int"))
                                                    .cast("string")),
         "code_insee": F.col("_code"),
-        "date_reception_dpe": F.when(i % 71 == 0, "2024-13-45")
+        "date_reception_dpe": F.when(i % 71 == 0, "2024-13-45").when(i % 71 == 1, "2024")
+        .when(i % 71 == 2, "2024-01").when(i % 71 == 3, "2024-01-05Tx")
         .otherwise(F.col("ts").cast("date").cast("string")),
         "etiquette_dpe": F.when(i % 31 == 0, "H").when(i % 31 != 1, F.col("_label")),
         "etiquette_ges": F.col("_ges"),
         "surface_habitable_logement": F.when(k % 10 == 0, "abc").when(k % 10 == 1, "-12.5")
-        .when(k % 10 == 2, "").when(k % 10 == 3, "nan").otherwise(F.col("_area").cast("string")),
+        .when(k % 10 == 2, "").when(k % 10 == 3, "nan").when(i % 61 == 0, "123456789")
+        .otherwise(F.col("_area").cast("string")),
         "source_flux": F.when(i % 211 == 0, "other").otherwise(F.col("_origin")),
     }
     payload = F.when(i % 97 == 0, "not json {").otherwise(json_row(*EVENT.names))
@@ -272,7 +274,8 @@ SELECT event_id,
          AS numero_dpe,
        CASE WHEN event_id % 97 <> 0 THEN _code END AS code_insee,
        CASE WHEN event_id % 97 <> 0 THEN
-         CASE WHEN event_id % 71 = 0 THEN '2024-13-45' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END
+         CASE event_id % 71 WHEN 0 THEN '2024-13-45' WHEN 1 THEN '2024' WHEN 2 THEN '2024-01'
+              WHEN 3 THEN '2024-01-05Tx' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END
          END AS date_reception_dpe,
        CASE WHEN event_id % 97 <> 0 THEN
          CASE WHEN event_id % 31 = 0 THEN 'H' WHEN event_id % 31 <> 1 THEN _label END END
@@ -280,11 +283,13 @@ SELECT event_id,
        CASE WHEN event_id % 97 <> 0 THEN _ges END AS etiquette_ges,
        CASE WHEN event_id % 97 <> 0 THEN
          CASE _k % 10 WHEN 0 THEN 'abc' WHEN 1 THEN '-12.5' WHEN 2 THEN '' WHEN 3 THEN 'nan'
-              ELSE CAST(_area AS VARCHAR) END END AS surface_habitable_logement,
+              ELSE CASE WHEN event_id % 61 = 0 THEN '123456789' ELSE CAST(_area AS VARCHAR) END
+         END END AS surface_habitable_logement,
        CASE WHEN event_id % 97 <> 0 THEN
          CASE WHEN event_id % 211 = 0 THEN 'other' ELSE _origin END END AS source_flux,
-       CASE WHEN event_id % 97 <> 0 AND _k % 10 = 1 THEN CAST(-12.5 AS DECIMAL(8,2))
-            WHEN event_id % 97 <> 0 AND _k % 10 > 3 THEN _area END AS _number
+       CASE WHEN event_id % 97 <> 0 AND _k % 10 = 1 THEN CAST(-12.5 AS DECIMAL(18,2))
+            WHEN event_id % 97 <> 0 AND _k % 10 > 3 THEN
+              CASE WHEN event_id % 61 = 0 THEN 123456789 ELSE _area END END AS _number
 FROM event_fields""",
     "gated": """
 SELECT d.*,
@@ -295,8 +300,10 @@ SELECT d.*,
               OR NOT coalesce(etiquette_ges IN ('A','B','C','D','E','F','G'), FALSE)
               THEN 'bad_label'
             WHEN d.code_insee NOT IN (SELECT code_insee FROM commune) THEN 'unknown_commune'
-            WHEN date_reception_dpe = '2024-13-45' THEN 'bad_date'
+            WHEN date_reception_dpe IN ('2024-13-45', '2024', '2024-01', '2024-01-05Tx')
+              THEN 'bad_date'
             WHEN _number < 0 THEN 'negative_area'
+            WHEN _number > 999999.99 THEN 'area_too_large'
             WHEN source_flux NOT IN ('backfill', 'live') THEN 'bad_origin'
        END AS reject_reason
 FROM decoded d LEFT JOIN prix_moyen_commune p ON p.code_insee = d.code_insee""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "bucketize", "first_reason", "has_key", "holds", "in_domain", "json_row",
     "lenient_date", "lenient_decimal", "lenient_int", "minute_of", "or_empty",
-    "ordered_category", "rounded", "safe_ratio", "share_pct", "state_label",
+    "ordered_category", "overflows", "rounded", "safe_ratio", "share_pct", "state_label",
 ]
 
 
@@ -51,8 +51,17 @@ def lenient_int(column: Column | str, type_name: str = "int") -> Column:
     return F.when(number == F.floor(number), number.try_cast(type_name))
 
 
+def overflows(column: Column | str, precision: int, scale: int) -> Column:
+    """Text that is a number but does not fit the decimal type."""
+    number = _col(column).try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    return finite & lenient_decimal(column, precision, scale).isNull()
+
+
 def lenient_date(column: Column | str) -> Column:
-    return _col(column).try_cast("date")
+    """Text ``yyyy-MM-dd`` to a date; any other form and impossible days become NULL."""
+    text = _col(column).cast("string")
+    return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
 
 
 def or_empty(column: Column | str) -> Column:

@@ -262,16 +262,17 @@ def with_reject_reason(
 ) -> DataFrame:
     """Append the first broken row or foreign-key constraint, NULL for accepted rows.
 
-    A foreign key must reference a unique column, as in SQL. Its keys are joined as they
-    are: behind another aggregation Spark could not split a hot key of the child.
+    Repeated parent keys count once. The distinct keys are checkpointed before the join:
+    with their aggregation directly below it Spark could not split a hot key of the child.
     """
     marked, rules = df, []
     for i, e in enumerate(expectations):
         if e.by_row:
             rules.append((e.name, e.broken()))
         elif e.kind == "foreign_key":
-            known = e.parent.select(F.col(e.parent_key).alias(e.column))
-            marked = marked.join(known.withColumn(f"_known{i}", F.lit(True)), e.column, "left")
+            keys = e.parent.select(F.col(e.parent_key).alias(e.column)).dropna().distinct()
+            known = keys.checkpoint().withColumn(f"_known{i}", F.lit(True))
+            marked = marked.join(known, e.column, "left")
             rules.append(
                 (e.name, F.col(f"_known{i}").isNull() & F.col(e.column).isNotNull())
             )
@@ -304,33 +305,35 @@ def enforce(
         if e.kind == "unique":
             if not order:
                 raise ValueError("a unique constraint needs an order to say which is first")
-            judged = _reject_repeats(judged, e, order)
+            judged = reject_repeats(judged, e.column, e.name, order)
     accepted = judged.where("reject_reason is null").drop("reject_reason")
     rejected = judged.where("reject_reason is not null")
     return accepted, rejected if mode == "quarantine" else None
 
 
-def _reject_repeats(judged: DataFrame, e: Expectation, order: list[str]) -> DataFrame:
+def reject_repeats(
+    judged: DataFrame, column: str, name: str, order: list[str]
+) -> DataFrame:
     """Mark all but the first of the still accepted rows of each non-null key.
 
     Only keys that do repeat are joined back, one row each; while they are few, the table
     itself is not shuffled by key.
     """
     place = F.struct(*order)
-    open_row = F.col("reject_reason").isNull() & F.col(e.column).isNotNull()
+    open_row = F.col("reject_reason").isNull() & F.col(column).isNotNull()
     repeating = (
         judged.where(open_row)
-        .groupBy(F.col(e.column).alias("_key"))
+        .groupBy(F.col(column).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
         .where("_n > 1")
         .drop("_n")
         .checkpoint()
     )
     placed = judged.join(
-        broadcast_if_small(repeating), F.col(e.column) == F.col("_key"), "left"
+        broadcast_if_small(repeating), F.col(column) == F.col("_key"), "left"
     )
     repeated = open_row & F.col("_key").isNotNull() & ~place.eqNullSafe(F.col("_first"))
-    reason = F.when(repeated, F.lit(e.name)).otherwise(F.col("reject_reason"))
+    reason = F.when(repeated, F.lit(name)).otherwise(F.col("reject_reason"))
     return placed.withColumn("reject_reason", reason).drop("_key", "_first")
 
 

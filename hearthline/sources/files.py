@@ -10,6 +10,8 @@ from hearthline.schemas import all_text
 
 
 FILE_ORDER = ["_file", "_block", "_row"]
+#: Quotes inside a quoted value are doubled and backslashes are plain, as in RFC 4180.
+DIALECT = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_csv_text(
@@ -18,14 +20,19 @@ def read_csv_text(
     columns: list[str],
     spread: int | None = None,
     in_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with header, every column as text; ``.csv.gz`` is recognised by its name.
 
     ``columns`` are the header's names, in the file's order. A gzip file is read by one
     task: pass ``spread`` to redistribute its rows for the work that follows.
     ``in_order`` appends ``FILE_ORDER``, which sorts rows as they stand in the files.
+    ``multi_line`` allows line ends inside quotes; such a file is read by one task. A row with
+    too few or too many values aborts the read.
     """
-    df = spark.read.option("header", True).schema(all_text(columns)).csv(path)
+    reader = spark.read.options(**DIALECT, mode="FAILFAST", multiLine=multi_line)
+    # Without pruning each row is split in full, so its width is always checked.
+    df = reader.option("columnPruning", False).schema(all_text(columns)).csv(path)
     if in_order:
         # Rows of one block are read by one task, in order.
         df = df.select(
@@ -37,15 +44,16 @@ def read_csv_text(
     return df.repartition(spread) if spread else df
 
 
-def load_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def load_csv_typed(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """Typed CSV load that aborts on the first malformed row; empty text is NULL."""
-    return (
-        spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
-    )
+    reader = spark.read.options(**DIALECT, mode="FAILFAST", multiLine=multi_line)
+    return reader.option("columnPruning", False).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    df.write.mode("overwrite").options(**DIALECT, compression=compression).csv(path)
 
 
 def land_raw_lines(spark: SparkSession, source: str, path: str) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.schemas import TEXT, struct
+from hearthline.schemas import BIG, TEXT, struct
 from hearthline.sources.tables import read_table
 
 PAGE_ROWS = 1000
 WATERMARK = struct(watermark=TEXT)
+CURSOR = struct(turn=BIG, received=TEXT, key=TEXT)
 
 
 def pull_since(
@@ -50,3 +51,39 @@ def save_watermark(page: DataFrame, ts: str, path: str) -> None:
     """Record the page's watermark; nothing is stored for an empty page."""
     mark = next_watermark(page, ts).where("watermark is not null")
     mark.coalesce(1).write.mode("append").parquet(path)
+
+
+def with_cursor(df: DataFrame, ts: str, key: str) -> DataFrame:
+    """Append ``received`` and ``key`` as text; an unknown one is empty and so comes first."""
+    return df.withColumns({
+        "_received": F.coalesce(F.col(ts).cast("string"), F.lit("")),
+        "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+    })
+
+
+def next_page(
+    df: DataFrame, ts: str, key: str, cursor: tuple[str, str] | None, limit: int = PAGE_ROWS
+) -> DataFrame:
+    """The next page after a stored cursor, in order of (timestamp, key), undated rows first.
+
+    However many rows share one day, each page goes on behind the last one. Rows that repeat
+    both values across a page's edge are one key and are not sent twice.
+    """
+    return pull_after(with_cursor(df, ts, key), ["_received", "_key"], cursor, limit)
+
+
+def load_cursor(spark: SparkSession, path: str) -> tuple[str, str] | None:
+    stored = read_table(spark, path, CURSOR)
+    last = stored.agg(F.max(F.struct(*CURSOR.names)).alias("last")).first()["last"]
+    return None if last is None else (last["received"], last["key"])
+
+
+def save_cursor(spark: SparkSession, path: str, cursor: tuple[str, str]) -> None:
+    """Record how far the pull has come; the last record counts."""
+    turns = read_table(spark, path, CURSOR).agg(F.coalesce(F.max("turn"), F.lit(0))).first()[0]
+    row = spark.range(1).select(
+        F.lit(turns + 1).cast("bigint").alias("turn"),
+        F.lit(cursor[0]).alias("received"),
+        F.lit(cursor[1]).alias("key"),
+    )
+    row.coalesce(1).write.mode("append").parquet(path)

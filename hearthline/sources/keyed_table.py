@@ -67,11 +67,13 @@ def insert_if_absent(
 ) -> DataFrame:
     """Append the last row of each new key; returns the rows this batch inserted.
 
-    ``order`` gives the arrival order within the batch. ``columns`` are those to store.
+    ``order`` gives the arrival order within the batch. ``columns`` are those to store. As
+    under a primary key, a row without a key is not stored; the stream's gate quarantines it.
     """
     spark = batch.sparkSession
     wanted = columns or batch.columns
-    needed = batch.select(*dict.fromkeys([*wanted, *order]))
+    keyed = batch.where(F.col(key).isNotNull())
+    needed = keyed.select(*dict.fromkeys([*wanted, *order]))
     rows = keep_last(needed, [key], order).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
     stored = read_keyed(spark, path, rows.schema)
     own_batch = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)

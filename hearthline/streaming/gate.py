@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions import first_reason, has_key, in_domain, lenient_date, lenient_decimal
+from hearthline.functions import (
+    first_reason,
+    has_key,
+    in_domain,
+    lenient_date,
+    lenient_decimal,
+    overflows,
+)
 from hearthline.operators.joins import lookup
 from hearthline.schemas import (
     CERTIFICATE_FLUX,
@@ -19,11 +26,26 @@ CLEAN_COLUMNS = [c for c in CERTIFICATE_FLUX.names if c != "traite_le"]
 
 
 def enrich(events: DataFrame, prices: DataFrame) -> DataFrame:
-    """Append the commune's reference price; NULL where the commune has none."""
+    """Append the commune's reference price; NULL where the commune has none.
+
+    ``prices`` must be unique on its code (see ``one_price_each``).
+    """
     known = prices.select("code_insee", F.col("prix_m2_moyen").alias(PRICE))
     return lookup(events, known, "code_insee")
 
 
+def one_price_each(prices: DataFrame) -> DataFrame:
+    """One row per code: of several prices the one that most sales support, then the lowest."""
+    best = F.min_by("prix_m2_moyen", F.struct(-F.col("nb_mutations"), "prix_m2_moyen"))
+    priced = prices.where("code_insee is not null and prix_m2_moyen is not null")
+    return priced.groupBy("code_insee").agg(best.alias("prix_m2_moyen"))
+
+
+def known_codes(communes: DataFrame) -> DataFrame:
+    """The set of commune codes."""
+    return communes.select("code_insee").where("code_insee is not null").distinct()
+
+
 def reject_rules() -> list[tuple[str, Column]]:
     """Reasons to hold an event back, in the order they are tested.
 
@@ -42,6 +64,7 @@ def reject_rules() -> list[tuple[str, Column]]:
         ("key_too_long", F.length("numero_dpe") > 20),
         ("bad_date", (F.length(received) > 0) & lenient_date(received).isNull()),
         ("negative_area", area < 0),
+        ("area_too_large", overflows("surface_habitable_logement", 8, 2)),
         ("bad_origin", ~in_domain("source_flux", EVENT_ORIGINS)),
     ]
 
@@ -49,7 +72,7 @@ def reject_rules() -> list[tuple[str, Column]]:
 def gate_events(enriched: DataFrame, communes: DataFrame) -> DataFrame:
     """Append ``reject_reason``, NULL for events that pass; every event gets one outcome.
 
-    ``communes`` must be unique on its code, as the cleaned table is.
+    ``communes`` must be unique on its code (see ``known_codes``).
     """
     known = communes.select("code_insee").withColumn("_known", F.lit(True))
     judged = lookup(enriched, known, "code_insee")

@@ -37,6 +37,8 @@ from hearthline.streaming.gate import (
     enrich,
     event_audit_rules,
     gate_events,
+    known_codes,
+    one_price_each,
     typed,
 )
 
@@ -150,13 +152,22 @@ def process_batch(
 ) -> None:
     if batch.isEmpty():
         return
-    events = enrich(decode(batch), prices)
-    judged = gate_events(events, communes).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def at(path: str) -> str:
+        return batch_path(path, query_id, batch_id)
+
+    # One row per code, so that no event is multiplied. Kept before the join: with an
+    # aggregation directly below it Spark could not split a hot code.
+    references = [
+        reduced.persist(StorageLevel.MEMORY_AND_DISK)
+        for reduced in (one_price_each(prices), known_codes(communes))
+    ]
+    events = enrich(decode(batch), references[0])
+    judged = gate_events(events, references[1]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        def at(path: str) -> str:
-            return batch_path(path, query_id, batch_id)
-
-        raw = judged.select(*MESSAGE.names, F.current_date().alias("ingest_date"))
+        # The messages as they came, before any join.
+        raw = batch.select(*MESSAGE.names, F.current_date().alias("ingest_date"))
         # Static overwrite: a retry on a later day must drop the first attempt's partition.
         raw.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "ingest_date"
@@ -184,6 +195,8 @@ def process_batch(
         audit.coalesce(1).write.mode("overwrite").parquet(at(lake.audit_log))
     finally:
         judged.unpersist()
+        for used in (*references, batch):
+            used.unpersist()
 
 
 def _write_log(judged: DataFrame, inserted: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.schemas import CERTIFICATE, all_text
@@ -40,16 +41,42 @@ def poll(
 ) -> int:
     """One polling cycle over the live rows; returns how many events were published.
 
-    Rows at the stored watermark are sent again; the keyed table drops them downstream.
+    The stored cursor goes back to the beginning of the last day sent: rows that arrive later
+    on that day are still sent, and those sent again are dropped by the keyed table downstream.
+    Only behind a full page of one single day it is the last row itself, so that a day with
+    more rows than a page is sent page by page.
     """
-    since = incremental.load_watermark(current.sparkSession, state)
+    spark = current.sparkSession
     received = "date_reception_dpe"
-    page = incremental.pull_since(current, received, since, [KEY], limit).persist()
+    cursor = incremental.load_cursor(spark, state)
+    page = incremental.next_page(current, received, KEY, cursor, limit).persist()
     try:
-        published = page.count()
-        if published:
-            publish(normalise(None, page), options, KEY, sink)
-            incremental.save_watermark(page, received, state)
-        return published
+        found = page.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("_received").alias("first_day"),
+            F.max(F.struct("_received", "_key")).alias("last"),
+        ).first()
+        if found["n"]:
+            publish(normalise(None, page.drop("_received", "_key")), options, KEY, sink)
+            day, key = found["last"]
+            inside = found["n"] >= limit and found["first_day"] == day
+            incremental.save_cursor(spark, state, (day, key if inside else ""))
+        return found["n"]
     finally:
         page.unpersist()
+
+
+def poll_to_end(
+    current: DataFrame,
+    state: str,
+    options: dict[str, str],
+    sink: str = "kafka",
+    limit: int = incremental.PAGE_ROWS,
+) -> int:
+    """Polling cycles until no row is left; returns how many events were published."""
+    total = 0
+    while True:
+        sent = poll(current, state, options, sink, limit)
+        total += sent
+        if sent < limit:
+            return total

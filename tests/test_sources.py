@@ -180,3 +180,37 @@ def test_stored_keys_are_scanned_without_a_shuffle(spark, tmp_path):
     assert "ReadSchema: struct<k:string>" in plan
     assert "GreaterThanOrEqual(k,5)" in plan and "LessThanOrEqual(k,z)" in plan
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_csv_dialect_is_that_of_other_tools(spark, tmp_path, rows):
+    import csv
+    import io
+
+    text = '1,"a ""b"", c",x\n2,"C:\\",y\n3,"line\nbreak",z\n'
+    (tmp_path / "in.csv").write_text("k,v,w\n" + text)
+    want = [tuple(r) for r in csv.reader(io.StringIO(text))]
+    read = files.read_csv_text(spark, str(tmp_path / "in.csv"), ["k", "v", "w"], multi_line=True)
+    assert rows(read) == want
+    typed = files.load_csv_typed(
+        spark, str(tmp_path / "in.csv"), struct(k=TEXT, v=TEXT, w=TEXT), multi_line=True
+    )
+    assert rows(typed) == want
+    files.write_csv(read.coalesce(1), str(tmp_path / "out"))
+    written = next((tmp_path / "out").glob("*.csv")).read_text(newline="")
+    assert sorted(map(tuple, csv.reader(io.StringIO(written, newline=""))))[:3] == want
+
+
+@pytest.mark.parametrize("line", ["1,2", "1,2,3,4"])
+def test_rows_of_wrong_width_abort(spark, tmp_path, line):
+    (tmp_path / "in.csv").write_text(f"k,v,w\na,b,c\n{line}\n")
+    read = files.read_csv_text(spark, str(tmp_path / "in.csv"), ["k", "v", "w"])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read.select("k").collect()
+
+
+def test_rows_without_a_key_are_not_inserted(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, ord int, v string"
+    batch = spark.createDataFrame([(None, 1, "x"), ("a", 1, "y")], schema)
+    for n in range(3):
+        keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", n)
+    assert [r["k"] for r in keyed_table.read_keyed(spark, path, batch.schema).collect()] == ["a"]

@@ -180,3 +180,22 @@ def test_replay_runs_once_per_checkpoint(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
     with pytest.raises(ValueError):
         replay(spark, "x", struct(v=TEXT), max_files=1, max_bytes="1m")
+
+
+@pytest.mark.parametrize("changes", [
+    {"date_reception_dpe": "2024"}, {"date_reception_dpe": "2024-01"},
+    {"date_reception_dpe": "2024-01-05Tx"}, {"surface_habitable_logement": "12345678"},
+])
+def test_gate_rejects_short_dates_and_overflow(spark, changes):
+    events = enrich(decode(message_rows(spark, [payload(**changes)])), prices(spark))
+    want = "bad_date" if "date_reception_dpe" in changes else "area_too_large"
+    assert gate_events(events, communes(spark)).first()["reject_reason"] == want
+
+
+def test_repeated_references_do_not_multiply_events(spark, tmp_path):
+    lake = EventLake(str(tmp_path / "lake"))
+    twice = prices(spark).union(prices(spark).withColumn("prix_m2_moyen", F.lit(1.0)))
+    codes = communes(spark).union(communes(spark))
+    process_batch(message_rows(spark, [payload()]), lake, codes, twice, "q", 0)
+    assert lake.read_bronze(spark).count() == lake.read_silver(spark).count() == 1
+    assert lake.read_batch_log(spark).first()["received"] == 1

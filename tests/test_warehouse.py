@@ -2,6 +2,7 @@ import gzip
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from hearthline.plans import audit, market, warehouse
 from hearthline.schemas import (
@@ -138,3 +139,19 @@ def test_compacted_copy_answers_like_the_original(spark, tmp_path, rows):
     # The last batch, replayed on the copy, adds nothing.
     keyed_table.insert_if_absent(batch, target, "k", ["v"], "q", 2)
     assert keyed_table.read_keyed(spark, target, schema).count() == 3
+
+
+def test_polling_passes_a_day_larger_than_the_page(spark, tmp_path):
+    rows = [(f"n{i:04}", "44109", "2026-01-02", "A", "B", "50") for i in range(50)]
+    rows += [("z1", "44109", "2026-01-03", "A", "B", "50"), ("u1", "44109", None, "A", "B", "50")]
+    live = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in LIVE_EVENT_COLUMNS))
+    state, topic = str(tmp_path / "state"), {"path": str(tmp_path / "topic")}
+    assert producer.poll_to_end(live, state, topic, "parquet", limit=20) >= 52
+    sent = spark.read.parquet(topic["path"]).select("key").distinct()
+    assert {r["key"] for r in sent.collect()} == {r[0] for r in rows}
+    # A row that comes later on the last day is still sent.
+    late = live.limit(1).withColumns({
+        "numero_dpe": F.lit("a0"), "date_reception_dpe": F.lit("2026-01-03"),
+    })
+    producer.poll_to_end(live.union(late), state, topic, "parquet", limit=20)
+    assert spark.read.parquet(topic["path"]).where("key = 'a0'").count() == 1
