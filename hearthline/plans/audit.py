@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthline.functions import holds
 from hearthline.operators import quality
 from hearthline.operators.corrections import Decision, apply_corrections, decision_log
+from hearthline.operators.joins import lookup
 from hearthline.operators.ordering import exact_quantile
 from hearthline.operators.pricing import unit_price
 from hearthline.plans.market import audited_sales
@@ -87,9 +88,11 @@ def relations(tables: dict[str, DataFrame]) -> list[tuple]:
 def audit(tables: dict[str, DataFrame]) -> DataFrame:
     """All five dimensions as (dimension, table_name, metric, metric_value).
 
-    Null counts and row rules of a table share one scan, the sale checks one grouping.
+    Null counts, row rules and orphans of a table share one scan, the sale checks one
+    grouping. The communes must be unique on their code, as the cleaned table is.
     """
     rules = validity_rules()
+    known = tables[COMMUNES].select("code_insee").withColumn("_known", F.lit(True))
     metrics = []
     for name in (TRANSACTIONS, CERTIFICATES, FLUX):
         if name not in tables:
@@ -99,7 +102,8 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
         ]
         found += [("validity", r.name, r.predicate) for r in rules if r.table == name]
         found.append(("volume", "rows", F.lit(True)))
-        metrics.append(_counted(tables[name], name, found))
+        found.append(("integrity", "orphans", F.col("_known").isNull()))
+        metrics.append(_counted(lookup(tables[name], known, "code_insee"), name, found))
     metrics.append(_counted(
         same_address_and_day(tables[CERTIFICATES]), CERTIFICATES,
         [("uniqueness", "same_address_and_day_groups", F.lit(True))],
@@ -111,14 +115,6 @@ def audit(tables: dict[str, DataFrame]) -> DataFrame:
             ("coherence", "implausible_unit_price", F.col("prix_m2") > MAX_UNIT_PRICE),
         ],
     ))
-    metrics.append(
-        quality.orphan_counts(relations(tables)).select(
-            F.lit("integrity").alias("dimension"),
-            F.split("relation", " -> ")[0].alias("table_name"),
-            F.lit("orphans").alias("metric"),
-            F.col("n_orphans").alias("metric_value"),
-        )
-    )
     return reduce(DataFrame.unionByName, metrics)
 
 
