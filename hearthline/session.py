@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SHARED = "spark.checkpoint.dir"
+_SCRATCH: dict[str, list[str]] = {}
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -49,7 +50,7 @@ def configure(spark: SparkSession) -> SparkSession:
     if context.getCheckpointDir() is None:
         named = spark.conf.get(_SHARED, None)
         if named:
-            context.setCheckpointDir(named)
+            context.setCheckpointDir(shared_dir(spark))
         elif local:
             shared_dir(spark)
     if not local and spark.conf.get(_INITIAL, None) is None:
@@ -64,9 +65,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder.
     """
     named = spark.conf.get(_SHARED, None)
+    context = spark.sparkContext
     if named:
+        if "://" not in named and not context.master.startswith("local"):
+            raise RuntimeError(f"{_SHARED} must name a shared file system, not {named!r}")
         return named
-    context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
         if not context.master.startswith("local"):
@@ -78,4 +81,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/hearthline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/hearthline/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the scratch tables of this application; frames that read them end with them."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        removed += path.getFileSystem(conf).delete(path, True)
+    return removed

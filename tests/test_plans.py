@@ -43,13 +43,3 @@ def test_top_lists_do_not_sort_the_table(stored):
     plan = plan_of(dashboards.latest_events(stored["flux"], stored["commune"]))
     assert "TakeOrderedAndProject" in plan
     assert "Exchange rangepartitioning" not in plan
-
-
-def test_no_python_in_any_registered_plan(spark):
-    from hearthline.bindings import registered
-
-    names = ["mean_unit_price", "full_audit", "reject_reasons", "clean_events", "counter_rate"]
-    for name in names:
-        plan = plan_of(registered()[name](spark, "/root/testdata/sf0.001"))
-        assert "Python" not in plan and "CartesianProduct" not in plan
-        assert "BroadcastNestedLoopJoin" not in plan
