@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from hearthline.bindings import tables as t
 from hearthline.bindings.registry import query
 from hearthline.operators.quality import reason_counts
-from hearthline.plans import cleaning
+from hearthline.plans import cleaning, warehouse
+from hearthline.schemas import RAW_CERTIFICATE, RAW_COMMUNE, RAW_TRANSACTION
+from hearthline.session import scratch_path
+from hearthline.sources import files
 
 # Raw extracts: the staged tables as text, with repeated keys, unknown codes and bad numbers.
 
@@ -26,7 +29,7 @@ def raw_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, keep: list[str] = ()) -> DataFrame:
     lots = t.transactions(spark, sf_dir)
     sale, rooms = F.col("id_mutation"), F.col("nombre_pieces_principales")
     text = {c: F.col(c).cast("string") for c in (
@@ -44,7 +47,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     text["code_commune"] = F.when(F.col("_supplier") % 10 == 3, "99999").otherwise(
         F.col("code_insee")
     )
-    return lots.withColumns(text).drop("code_insee", *t.LOT_ORDER)
+    return lots.withColumns(text).drop("code_insee", *(c for c in t.LOT_ORDER if c not in keep))
 
 
 def raw_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,3 +168,52 @@ def sales_outcomes(spark, sf_dir):
         raw_transactions(spark, sf_dir), t.communes(spark, sf_dir)
     )
     return reason_counts(judged)
+
+
+_LOADED_LOTS = """
+SELECT * FROM transaction_dvf
+WHERE _supplier % 10 <> 3 AND id_mutation % 97 <> 0 AND id_mutation % 89 <> 0
+  AND code_insee <> '00007'"""
+
+
+@query("warehouse_load", t.over(["commune", "transaction_dvf", "diagnostic_dpe"], """
+SELECT code_insee, ROUND(CAST(SUM(prix_m2) AS DOUBLE) / COUNT(prix_m2), 2) AS prix_m2_moyen,
+       COUNT(*) AS nb_mutations,
+       (SELECT COUNT(*) FROM commune WHERE code_insee <> '00007') AS n_communes,
+       (SELECT COUNT(*) FROM loaded) AS n_lots,
+       (SELECT COUNT(DISTINCT key_number) FROM certified) AS n_certificates
+FROM first_sales GROUP BY code_insee""", loaded=_LOADED_LOTS, certified="""
+SELECT number - CASE WHEN number % 7 = 3 THEN 1 ELSE 0 END AS key_number
+FROM (SELECT *, CAST(numero_dpe AS BIGINT) AS number FROM diagnostic_dpe) d
+WHERE code_insee IN (SELECT code_insee FROM commune) AND code_insee <> '00007'
+  AND number % 31 NOT IN (0, 1) AND etiquette_dpe IS NOT NULL""", first_sales="""
+SELECT id_mutation,
+       arg_min(code_insee, ROW(_line, _part, _supplier)) AS code_insee,
+       CAST(CAST(arg_min(valeur_fonciere, ROW(_line, _part, _supplier)) AS DOUBLE)
+            / CAST(SUM(surface_reelle_bati) AS DOUBLE) AS DECIMAL(18,6)) AS prix_m2
+FROM loaded
+WHERE type_local IN ('Maison', 'Appartement') AND surface_reelle_bati > 0 AND _line <> 5
+  AND nature_mutation = 'Vente'
+GROUP BY id_mutation"""))
+def warehouse_load(spark, sf_dir):
+    """Extracts written as text, loaded, checked, corrected and priced."""
+    at = scratch_path(spark, "extracts")
+    parts = {
+        "communes": raw_communes(spark, sf_dir).orderBy("code_postal", "_name", "_copy")
+        .select(*RAW_COMMUNE.names),
+        "transactions": raw_transactions(spark, sf_dir, keep=t.LOT_ORDER)
+        .orderBy(F.col("id_mutation").cast("bigint"), *t.LOT_ORDER).select(*RAW_TRANSACTION.names),
+        "certificates": raw_certificates(spark, sf_dir).orderBy("_row")
+        .select(*RAW_CERTIFICATE.names),
+    }
+    for name, rows in parts.items():
+        files.write_csv(rows, f"{at}/{name}")
+    extracts = warehouse.Extracts(*(f"{at}/{name}" for name in parts))
+    tables = warehouse.load(spark, extracts, scratch_path(spark, "warehouse"))
+    counts = {
+        "n_communes": tables["commune"].count(), "n_lots": tables["transaction_dvf"].count(),
+        "n_certificates": tables["diagnostic_dpe"].count(),
+    }
+    return tables[warehouse.PRICES].withColumns({
+        name: F.lit(n).cast("bigint") for name, n in counts.items()
+    })

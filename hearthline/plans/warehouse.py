@@ -29,8 +29,9 @@ def load(
 ) -> dict[str, DataFrame]:
     """Clean, check, correct and store all tables; returns them as stored.
 
-    Communes come first: their codes decide which rows of the others are kept. A broken
-    constraint aborts the load. ``spread`` redistributes rows of unsplittable files.
+    Communes come first: their codes decide which rows of the others are kept. All tables
+    are staged; a broken constraint aborts the load before any table is replaced.
+    ``spread`` redistributes rows of unsplittable files.
     """
 
     def stored(df: DataFrame, name: str) -> DataFrame:
@@ -42,7 +43,8 @@ def load(
         return read_csv_text(spark, path, schema.names, spread_rows, in_order=True)
 
     communes = stored(
-        cleaning.clean_communes(raw(extracts.communes, RAW_COMMUNE), FILE_ORDER), audit.COMMUNES
+        cleaning.clean_communes(raw(extracts.communes, RAW_COMMUNE), FILE_ORDER),
+        f"staging/{audit.COMMUNES}",
     )
     lots = cleaning.clean_transactions(
         raw(extracts.transactions, RAW_TRANSACTION, spread), communes, keep=FILE_ORDER
@@ -60,6 +62,6 @@ def load(
         enforce(df, audit.expectations(name, communes), "fail")
     wanted = [d for d in audit.decisions() if d.table in staged]
     corrected = audit.apply_corrections(staged, wanted)
-    tables = {n: stored(df, n) if n != audit.COMMUNES else df for n, df in corrected.items()}
+    tables = {name: stored(df, name) for name, df in corrected.items()}
     prices = market.reference_prices(tables[audit.TRANSACTIONS], ["id_transaction"])
     return {**tables, PRICES: stored(prices, PRICES)}
