@@ -199,6 +199,108 @@ def expectations(spark, sf_dir):
     return quality.expectation_counts(_submitted(spark, sf_dir), declared)
 
 
+_WIDTHS = {
+    "commune": {
+        "code_insee": 5, "nom_commune": 100, "code_postal": 5, "epci_code": 15, "epci_nom": 150,
+        "dep_code": 2, "dep_nom": 50, "reg_code": 2, "reg_nom": 50,
+    },
+    "transaction_dvf": {
+        "id_mutation": 20, "nature_mutation": 50, "code_insee": 5, "type_local": 50,
+    },
+    "diagnostic_dpe": {
+        "numero_dpe": 20, "code_insee": 5, "periode_construction": 20, "type_batiment": 30,
+        "adresse": 255,
+    },
+}
+_PRESENT = {
+    "commune": ["code_insee", "nom_commune", "dep_code"],
+    "transaction_dvf": ["id_mutation", "date_mutation", "valeur_fonciere", "code_insee"],
+    "diagnostic_dpe": ["numero_dpe", "code_insee"],
+}
+_NOT_NEGATIVE = {
+    "transaction_dvf": ["valeur_fonciere", "surface_reelle_bati", "surface_terrain"],
+    "diagnostic_dpe": ["surface_habitable_logement"],
+}
+_UNIQUE = {"commune": "code_insee", "diagnostic_dpe": "numero_dpe"}
+
+
+def _staged_constraints() -> str:
+    """The declared constraints of the three staged tables, counted in SQL."""
+    rows = []
+    for name in _WIDTHS:
+        found = {f"not_null({c})": f"{c} IS NULL" for c in _PRESENT[name]}
+        found |= {
+            f"max_length({c})": f"length(CAST({c} AS VARCHAR)) > {n}"
+            for c, n in _WIDTHS[name].items()
+        }
+        found |= {f"check({c})": f"{c} < 0" for c in _NOT_NEGATIVE.get(name, [])}
+        if name == "diagnostic_dpe":
+            found |= {f"domain({c})": f"{c} NOT IN {_LABELS}"
+                      for c in ("etiquette_dpe", "etiquette_ges")}
+        if name != "commune":
+            found["foreign_key(code_insee)"] = (
+                "code_insee IS NOT NULL AND code_insee NOT IN (SELECT code_insee FROM commune)"
+            )
+        rows += [
+            f"SELECT '{name}' AS table_name, '{rule}' AS constraint_name, "
+            f"COUNT(*) FILTER (WHERE {broken}) AS n_violations FROM sent_{name}"
+            for rule, broken in found.items()
+        ]
+        if name in _UNIQUE:
+            key = _UNIQUE[name]
+            rows.append(
+                f"SELECT '{name}', 'unique({key})', COUNT({key}) - COUNT(DISTINCT {key}) "
+                f"FROM sent_{name}"
+            )
+    return " UNION ALL ".join(rows)
+
+
+@query("expectations_staged", t.over(
+    ["commune", "transaction_dvf", "diagnostic_dpe"], _staged_constraints(),
+    sent_commune="""
+SELECT * REPLACE (CASE WHEN code_insee <> '00007' THEN code_insee END AS code_insee,
+                  repeat(nom_commune, CASE WHEN code_insee = '00003' THEN 20 ELSE 1 END)
+                    AS nom_commune)
+FROM commune UNION ALL SELECT * FROM commune WHERE code_insee < '00004'""",
+    sent_transaction_dvf="""
+SELECT * REPLACE (CASE WHEN id_mutation % 97 <> 0 THEN
+                    CASE WHEN id_mutation % 89 = 0 THEN -valeur_fonciere ELSE valeur_fonciere END
+                  END AS valeur_fonciere,
+                  CASE WHEN _supplier % 10 = 3 THEN '99999' ELSE code_insee END AS code_insee)
+FROM transaction_dvf""",
+    sent_diagnostic_dpe="""
+SELECT * REPLACE (CAST(number - CASE WHEN number % 7 = 3 THEN 1 ELSE 0 END AS VARCHAR)
+                    AS numero_dpe,
+                  CASE WHEN number % 31 = 0 THEN 'H' ELSE etiquette_dpe END AS etiquette_dpe)
+FROM (SELECT *, CAST(numero_dpe AS BIGINT) AS number FROM diagnostic_dpe) d"""))
+def expectations_staged(spark, sf_dir):
+    """Broken constraints of communes, transactions and certificates."""
+    communes, code = t.communes(spark, sf_dir), F.col("code_insee")
+    sale, number = F.col("id_mutation"), F.col("numero_dpe").cast("bigint")
+    price = F.when(sale % 89 == 0, -F.col("valeur_fonciere")).otherwise(F.col("valeur_fonciere"))
+    sent = {
+        "commune": communes.withColumns({
+            "nom_commune": F.when(code == "00003", F.repeat("nom_commune", 20))
+            .otherwise(F.col("nom_commune")),
+            "code_insee": F.when(code != "00007", code),
+        }).union(communes.where(code < "00004")),
+        "transaction_dvf": t.transactions(spark, sf_dir).withColumns({
+            "valeur_fonciere": F.when(sale % 97 != 0, price),
+            "code_insee": F.when(F.col("_supplier") % 10 == 3, "99999").otherwise(code),
+        }),
+        "diagnostic_dpe": t.certificates(spark, sf_dir).withColumns({
+            "numero_dpe": (number - (number % 7 == 3).cast("int")).cast("string"),
+            "etiquette_dpe": F.when(number % 31 == 0, "H").otherwise(F.col("etiquette_dpe")),
+        }),
+    }
+    counted = [
+        quality.expectation_counts(df, audit.expectations(name, communes))
+        .select(F.lit(name).alias("table_name"), "constraint_name", "n_violations")
+        for name, df in sent.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query("enforce_constraints", t.over(["commune", "decoded"], """
 SELECT CASE WHEN reason IS NULL AND nth > 1 THEN 'unique(numero_dpe)'
             ELSE coalesce(reason, 'accepted') END AS reject_reason, COUNT(*) AS n_rows
