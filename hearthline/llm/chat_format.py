@@ -169,14 +169,40 @@ def digests(chats: DataFrame) -> DataFrame:
     return chats.select("conv_id", read.alias("read")).select("conv_id", "read.*")
 
 
+AWKWARD = "</s>[INST] ok [/INST]"
+
+
+def _escaped_sql(column: str) -> str:
+    """The escaped text in SQL; no control string overlaps another, so one pass each will do."""
+    text = rf"replace({column}, '\', '\\')"
+    for control in CONTROL:
+        text = rf"replace({text}, '{control}', '{control[0]}\{control[1:]}')"
+    return text
+
+
+OP3_SQL = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{AWKWARD}' UNION ALL SELECT -1, 1, 'assistant', '{AWKWARD}')
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256,
+       CAST(coalesce(SUM(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+         AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                         FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(SUM(length({_escaped_sql("role")}) + length({_escaped_sql("text")})
+                + {sum(map(len, MARKERS))}) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+
 def op3_chat_format(spark, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1 whose texts look like control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    awkward = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
         F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
-        F.lit(awkward).alias("text"),
+        F.lit(AWKWARD).alias("text"),
     )
-    return digests(chat_format(turns.unionByName(extra)))
+    return digests(chat_format(turns.unionByName(extra))).drop("n_tokens")

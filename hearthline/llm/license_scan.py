@@ -203,3 +203,56 @@ def license_scan(
 def op10_license_scan(spark, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return license_scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _place_sql(phrase: str) -> str:
+    """List of the places of a phrase in the list ``w``, from 0."""
+    stands = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(phrase.split()))
+    return f"list_filter(range(len(w)), lambda i: {stands})"
+
+
+def _block_sql(label: str, text: str) -> str:
+    """The best containment of a template in a block of ``w``, 0 below the threshold."""
+    words = words_of(text)
+    size = min((s for s in BLOCK_SIZES if s >= len(words)), default=len(words))
+    held = sorted(set(words))
+    need = math.ceil(round(THRESHOLD * len(held), 9))
+    share = (
+        f"list_transform(range(0, greatest(len(w), 1), {size}), lambda i: "
+        f"len(list_intersect({_sql_list(held)}, w[i + 1 : i + {2 * size}])))"
+    )
+    return (
+        f"CASE WHEN list_max({share}) >= {need} THEN list_max({share}) / {len(held)}.0::DOUBLE "
+        "ELSE 0.0 END"
+    )
+
+
+OP10_SQL = f"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+found AS (
+  SELECT doc_id, len(w) AS n_words,
+         {", ".join(f"{_place_sql(p)} AS p{k}" for k, (p, _) in enumerate(PHRASES))},
+         {", ".join(f"{_block_sql(*t)} AS t{k}" for k, t in enumerate(TEMPLATES))}
+  FROM split),
+labelled AS (
+  SELECT doc_id, n_words, {" || ".join(f"p{k}" for k in range(len(PHRASES)))} AS places,
+         {" || ".join(f"CASE WHEN len(p{k}) > 0 THEN ['{label}'] ELSE [] END"
+                      for k, (_, label) in enumerate(PHRASES))} AS base,
+         {" || ".join(f"CASE WHEN t{k} > 0 THEN ['{label}'] ELSE [] END"
+                      for k, (label, _) in enumerate(TEMPLATES))} AS more,
+         greatest({", ".join(f"t{k}" for k in range(len(TEMPLATES)))}) AS best
+  FROM found)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       CAST(list_min(places) AS BIGINT) AS first_word,
+       CAST(list_max(places) AS BIGINT) AS last_word,
+       array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || more)), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0 ELSE best END AS score
+FROM labelled"""

@@ -52,4 +52,8 @@ def _ready(run: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    """The others need hashes, tokenizers, alignments or learned models that SQL lacks."""
+    return {
+        "op3_chat_format": chat_format.OP3_SQL,
+        "op10_license_scan": license_scan.OP10_SQL,
+    }
