@@ -144,9 +144,9 @@ SELECT ROUND(p99, 2) AS p99, ROUND(p99 * 1.7, 2) AS threshold,
 FROM (SELECT quantile_cont(CAST(prix_m2 AS DOUBLE), 0.99) AS p99 FROM audited) q""",
     audited=AUDITED_SALES))
 def percentile_threshold(spark, sf_dir):
-    lots = t.transactions(spark, sf_dir)
-    p99, threshold = audit.unit_price_threshold(lots)
-    above = market.audited_sales(lots).where(F.col("prix_m2").cast("double") > p99)
+    sales = market.audited_sales(t.transactions(spark, sf_dir)).select("prix_m2").checkpoint()
+    p99, threshold = audit.price_threshold(sales)
+    above = sales.where(F.col("prix_m2").cast("double") > p99)
     return row_count(above, "n_above_p99").select(
         F.round(F.lit(p99), 2).alias("p99"),
         F.round(F.lit(threshold), 2).alias("threshold"),

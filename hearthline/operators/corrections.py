@@ -30,12 +30,13 @@ def nullify_via_join(
 ) -> DataFrame:
     """``column`` set to NULL where the row and its parent both meet their predicate.
 
-    Only the keys of doubtful rows are matched with the parent. They are counted first:
-    while they are few enough to broadcast, neither table is shuffled.
+    Only the keys of doubtful rows are matched with the parent. The keys found are
+    checkpointed, then measured: while they are few enough to broadcast, the table itself is
+    not shuffled.
     """
     doubtful = df.where(predicate).select(on).distinct()
     qualified = parent.where(parent_predicate).select(on)
-    hits = qualified.join(broadcast_if_small(doubtful), on, "left_semi").distinct()
+    hits = qualified.join(doubtful, on, "left_semi").distinct().checkpoint()
     marked = df.join(broadcast_if_small(hits).withColumn("_hit", F.lit(True)), on, "left")
     corrected = nullify_where(marked, column, F.col("_hit") & predicate)
     return corrected.select(*df.columns)

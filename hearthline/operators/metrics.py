@@ -76,10 +76,13 @@ def latest_gauge(
 ) -> DataFrame:
     """Last sample of each series, optionally with its text from ``labels``.
 
-    Among samples of the same instant the greatest value is taken.
+    Among samples of the same instant the greatest value is taken. Both groupings work on
+    plain values, so that Spark hashes instead of sorting the samples.
     """
-    last = samples.groupBy(*series).agg(F.max(F.struct(ts, value)).alias("_last"))
-    result = last.select(*series, "_last.*")
+    instants = samples.groupBy(*series, ts).agg(F.max(value).alias(value))
+    result = instants.groupBy(*series).agg(
+        F.max(ts).alias(ts), F.max_by(value, ts).alias(value)
+    )
     return result.withColumn("state", state_label(value, labels)) if labels else result
 
 

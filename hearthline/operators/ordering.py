@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
 
@@ -83,17 +84,27 @@ def with_previous(
 
 
 def exact_quantile(
-    df: DataFrame, column: str, fraction: float, scale: int = 6, buckets: int = 4096
+    df: DataFrame, column: str, fraction: float, buckets: int = 4096
 ) -> float | None:
-    """Linearly interpolated quantile of a decimal column, exact at ``scale`` digits.
+    """Linearly interpolated quantile of a whole-number or decimal column, exact in all digits.
+
+    Other types, and decimals of more than 18 digits, are refused: cast them first.
 
     Built-in ``percentile`` keeps every distinct value of the group in one task. Here
     values become scaled integers and each pass counts ``buckets`` equal ranges, then
     narrows to the range holding the wanted rank, until few distinct values are left; a
     64-bit domain needs at most six passes. The driver sees one entry per pass.
     """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        scale = kind.scale
+    elif isinstance(kind, T.IntegralType):
+        scale = 0
+    else:
+        raise ValueError(f"{column} is {kind.simpleString()}; cast it to a decimal of 18 digits")
+    unscaled = (F.col(column).cast(T.DecimalType(38, scale)) * F.lit(10**scale)).cast("long")
     values = (
-        df.select((F.col(column) * F.lit(10**scale)).cast("long").alias("v"))
+        df.select(unscaled.alias("v"))
         .where("v is not null")
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -207,7 +207,14 @@ def unit_price_threshold(
     transactions: DataFrame, fraction: float = 0.99, factor: float = 1.7
 ) -> tuple[float | None, float | None]:
     """A high quantile of the unit price and the audit bound derived from it."""
-    quantile = exact_quantile(audited_sales(transactions), "prix_m2", fraction)
+    return price_threshold(audited_sales(transactions), fraction, factor)
+
+
+def price_threshold(
+    sales: DataFrame, fraction: float = 0.99, factor: float = 1.7
+) -> tuple[float | None, float | None]:
+    """The same of sales at hand, such as a stored table that is used further."""
+    quantile = exact_quantile(sales, "prix_m2", fraction)
     return quantile, None if quantile is None else quantile * factor
 
 
