@@ -36,10 +36,12 @@ DIMENSIONS = 4096
 BUCKETS = 64
 #: Layout numbers of the metadata view.
 LAYOUT = 12
-LABELLED, POOL = 3000, 3000
+LABELLED, POOL = 4000, 1000
 ROUNDS, EXCHANGED = 4, 150
 TARGETS = ("quality", "toxic")
 _SAFE = 0.9
+#: Learning rate and penalty of the text view and of the metadata view.
+_FITTING = (0.5, 1e-5), (0.05, 1e-3)
 
 
 def text_view(text: str) -> np.ndarray:
@@ -71,40 +73,36 @@ def metadata_view(text: str, lang: str | None, source: str | None) -> np.ndarray
 
 
 class Logistic:
-    """L2-regularised logistic regression on rows prepared by ``prepare``."""
+    """L2-regularised logistic regression on prepared rows, fitted by full gradients (Adam)."""
 
-    def __init__(self, kind: str, steps: int = 80):
-        self.kind, self.steps = kind, steps
+    def __init__(self, rate: float, penalty: float, steps: int = 80):
+        self.rate, self.penalty, self.steps = rate, penalty, steps
 
-    def prepare(self, rows: np.ndarray) -> np.ndarray:
-        if self.kind == "text":
-            found = np.log1p(rows.astype(np.float32))
-            return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
-        return ((rows - self.mean) / self.scale).astype(np.float32)
-
-    def fit(self, rows: np.ndarray, labels: np.ndarray) -> Logistic:
-        if self.kind != "text":
-            self.mean, self.scale = rows.mean(axis=0), np.maximum(rows.std(axis=0), 1e-6)
-        x = self.prepare(rows)
+    def fit(self, x: np.ndarray, labels: np.ndarray) -> Logistic:
         weight = np.zeros(x.shape[1], np.float32)
         share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
         bias = float(np.log(share / (1 - share)))
-        penalty = 1e-5 if self.kind == "text" else 1e-3
-        rate = 0.5 if self.kind == "text" else 0.05
         first, second = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1)
         for step in range(1, self.steps + 1):
-            error = _sigmoid(x @ weight + bias) - labels
-            slope = np.append(x.T @ error.astype(np.float32) / len(x) + penalty * weight, error.mean())
+            error = (_sigmoid(x @ weight + bias) - labels).astype(np.float32)
+            slope = np.append(x.T @ error / len(x) + self.penalty * weight, error.mean())
             first = 0.9 * first + 0.1 * slope
             second = 0.99 * second + 0.01 * slope**2
-            move = rate * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+            move = self.rate * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
             weight -= move[:-1].astype(np.float32)
             bias -= float(move[-1])
         self.weight, self.bias = weight, bias
         return self
 
-    def log_odds(self, rows: np.ndarray) -> np.ndarray:
-        return self.prepare(rows) @ self.weight + self.bias
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.weight + self.bias
+
+
+def prepared_text(rows: np.ndarray) -> np.ndarray:
+    """Logarithms of the counts, scaled to length one."""
+    found = np.log1p(rows, dtype=np.float32)
+    found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
+    return found
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -128,65 +126,83 @@ def _platt(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 class CoTrained:
     """The two views of one label after co-training and calibration."""
 
-    def __init__(self, views, labels, pool, calibration, rounds=ROUNDS, exchanged=EXCHANGED):
-        """``views`` and ``pool``: (text rows, metadata rows); ``calibration``: a row mask."""
+    def __init__(
+        self,
+        texts: np.ndarray,
+        metadata: np.ndarray,
+        labels: np.ndarray,
+        calibration: np.ndarray,
+        rounds: int = ROUNDS,
+        exchanged: int = EXCHANGED,
+    ):
+        """``texts`` are prepared rows. ``labels`` belong to the first rows of both views, the
+        other rows are the pool; ``calibration`` marks labelled rows that are not fitted on."""
         self.prior = float(labels.mean()) if len(labels) else 0.5
         self.models: list[Logistic] = []
-        fitted, held = ~calibration, calibration
-        if len(set(labels[fitted].tolist())) < 2 or len(set(labels[held].tolist())) < 2:
+        fitted, held = np.flatnonzero(~calibration), np.flatnonzero(calibration)
+        if len(set(labels[fitted])) < 2 or len(set(labels[held])) < 2:
             return
-        sets = [([v[fitted]], [labels[fitted]]) for v in views]
-        left = [np.ones(len(pool[0]), bool) for _ in views]
-        kinds = ("text", "metadata")
-        self.models = [
-            Logistic(k).fit(np.concatenate(x), np.concatenate(y)) for k, (x, y) in zip(kinds, sets)
-        ]
-        for _ in range(rounds):
-            given = [self._surest(m, p, free, exchanged) for m, p, free in zip(self.models, pool, left[::-1])]
-            for other, (rows, pseudo) in zip((1, 0), given):
-                left[other][rows] = False
-                sets[other][0].append(pool[other][rows])
-                sets[other][1].append(pseudo)
+        self.mean = metadata[fitted].mean(axis=0)
+        self.scale = np.maximum(metadata[fitted].std(axis=0), 1e-6)
+        views = texts, self._prepared_metadata(metadata)
+        # By view: the rows it is fitted on with their labels, and the pool rows still free.
+        rows, known = [fitted, fitted], [labels[fitted], labels[fitted]]
+        free = [np.arange(len(labels), len(texts)) for _ in views]
+        for turn in range(rounds + 1):
             self.models = [
-                Logistic(k).fit(np.concatenate(x), np.concatenate(y))
-                for k, (x, y) in zip(kinds, sets)
+                Logistic(rate, penalty).fit(view[r], y)
+                for view, r, y, (rate, penalty) in zip(views, rows, known, _FITTING)
             ]
+            if turn == rounds:
+                break
+            for giver, taker in ((0, 1), (1, 0)):
+                given, pseudo = self._surest(
+                    self.models[giver].log_odds(views[giver][free[taker]]), exchanged
+                )
+                rows[taker] = np.r_[rows[taker], free[taker][given]]
+                known[taker] = np.r_[known[taker], pseudo]
+                free[taker] = np.delete(free[taker], given)
         self.scales = [
-            _platt(m.log_odds(v[held]), labels[held]) for m, v in zip(self.models, views)
+            _platt(m.log_odds(view[held]), labels[held]) for m, view in zip(self.models, views)
         ]
 
-    def _surest(self, model: Logistic, rows, free, exchanged):
-        """Rows of the pool that ``model`` is surest of, and its labels for them."""
-        if not free.any():
-            return np.zeros(0, int), np.zeros(0)
-        p = _sigmoid(model.log_odds(rows))
-        ones = int(round(exchanged * self.prior))
-        order = np.flatnonzero(free)[np.argsort(-p[free], kind="stable")]
+    def _prepared_metadata(self, rows: np.ndarray) -> np.ndarray:
+        return ((rows - self.mean) / self.scale).astype(np.float32)
+
+    def _surest(self, odds: np.ndarray, exchanged: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the surest texts and the labels given to them, in the classes' proportion."""
+        p, ones = _sigmoid(odds), int(round(exchanged * self.prior))
+        order = np.argsort(-p, kind="stable")
         top = [i for i in order[:ones] if p[i] >= _SAFE]
         end = [i for i in order[::-1][: exchanged - ones] if p[i] <= 1 - _SAFE]
         return np.array(top + end, dtype=int), np.r_[np.ones(len(top)), np.zeros(len(end))]
 
-    def score(self, text_rows, metadata_rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Calibrated scores of the text view, the metadata view and both."""
+    def score(self, texts: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Calibrated scores of both views together, the text view and the metadata view."""
         if not self.models:
-            same = np.full(len(text_rows), self.prior)
+            same = np.full(len(texts), self.prior)
             return same, same, same
+        views = texts, self._prepared_metadata(metadata)
         a, b = (
-            slope * m.log_odds(rows) + offset
-            for m, rows, (slope, offset) in zip(self.models, (text_rows, metadata_rows), self.scales)
+            slope * m.log_odds(view) + offset
+            for m, view, (slope, offset) in zip(self.models, views, self.scales)
         )
         prior = np.clip(self.prior, 1e-3, 1 - 1e-3)
-        return _sigmoid(a), _sigmoid(b), _sigmoid(a + b - np.log(prior / (1 - prior)))
+        return _sigmoid(a + b - np.log(prior / (1 - prior))), _sigmoid(a), _sigmoid(b)
 
 
 def _drawn(salt: str, share: float) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
 
 
-def _views(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    text = np.array([np.frombuffer(t, "<u4") for t in rows["text_view"]]).reshape(-1, DIMENSIONS)
-    meta = np.array([np.frombuffer(m, "<f8") for m in rows["metadata_view"]])
-    return text, meta.reshape(-1, LAYOUT + 2 * BUCKETS)
+def _views(*samples: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Prepared text rows and metadata rows of the samples, one behind the other."""
+    texts = [np.frombuffer(t, "<u4") for rows in samples for t in rows["text_view"]]
+    meta = [np.frombuffer(m, "<f8") for rows in samples for m in rows["metadata_view"]]
+    return (
+        prepared_text(np.array(texts, dtype="<u4").reshape(-1, DIMENSIONS)),
+        np.array(meta, dtype="<f8").reshape(-1, LAYOUT + 2 * BUCKETS),
+    )
 
 
 def _both_views() -> Column:
@@ -219,15 +235,18 @@ def fit(
     free = drawn.join(known.select("doc_id"), "doc_id", "left_anti").select("doc_id", views)
     free = free.select("doc_id", "views.*").toPandas().sort_values("doc_id")
 
-    text, meta = _views(rows)
-    spare = _views(free)
+    texts, metadata = _views(rows, free)
+    answers = {t: rows[t].to_numpy(float) for t in targets}
     calibration = np.array([crc32(str(i).encode()) % 5 == 0 for i in rows["doc_id"]], dtype=bool)
+    pool_rows = np.arange(len(rows), len(texts))
+    del rows, free
     models = {}
-    for target in targets:
-        usable = rows[target].notna().to_numpy()
+    for target, answer in answers.items():
+        usable = np.flatnonzero(~np.isnan(answer))
+        # All rows are usable as a rule: then nothing is copied.
+        every = slice(None) if len(usable) == len(answer) else np.r_[usable, pool_rows]
         models[target] = CoTrained(
-            (text[usable], meta[usable]), rows[target].to_numpy(float)[usable], spare,
-            calibration[usable],
+            texts[every], metadata[every], answer[usable], calibration[usable]
         )
     return models
 
@@ -243,12 +262,11 @@ def scores(docs: DataFrame, models: dict[str, CoTrained]) -> DataFrame:
             rows = list(zip(*batch))
             for first in range(0, len(rows), 256):
                 some = rows[first : first + 256]
-                text = np.array([text_view(r[0]) for r in some])
+                text = prepared_text(np.array([text_view(r[0]) for r in some]))
                 meta = np.array([metadata_view(*r) for r in some])
                 columns = []
                 for model in models.values():
-                    by_text, by_meta, both = model.score(text, meta)
-                    columns += both, by_text, by_meta
+                    columns += model.score(text, meta)
                 parts.append(np.stack(columns, axis=1))
             found = np.concatenate(parts) if parts else np.zeros((0, len(names)))
             yield pd.DataFrame(found, columns=names)

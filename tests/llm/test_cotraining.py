@@ -36,11 +36,9 @@ def test_views_exchange_labels():
     meta[:, 1] += 4 * truth
     first = np.arange(600) < 100
     calibration = np.arange(100) % 5 == 0
-    model = co.CoTrained(
-        (text[first], meta[first]), truth[first].astype(float), (text[~first], meta[~first]),
-        calibration,
-    )
-    by_text, by_meta, both = model.score(text[~first], meta[~first])
+    text = co.prepared_text(text)
+    model = co.CoTrained(text, meta, truth[first].astype(float), calibration)
+    both, by_text, by_meta = model.score(text[~first], meta[~first])
     assert area(truth[~first], both) >= max(area(truth[~first], by_text), area(truth[~first], by_meta)) - 0.01
     assert area(truth[~first], both) > 0.97
 
