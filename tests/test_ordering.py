@@ -56,6 +56,14 @@ def test_quantile_ignores_nulls_and_empty_input(spark):
     assert ordering.exact_quantile(df.where("false"), "v", 0.5) is None
 
 
+def test_quantile_refuses_what_it_cannot_hold_exactly(spark):
+    df = spark.range(5).selectExpr("id", "cast(id as double) as x", "cast(id as decimal(30,2)) as d")
+    assert ordering.exact_quantile(df, "id", 0.5) == 2.0
+    for column in ("x", "d"):
+        with pytest.raises(ValueError):
+            ordering.exact_quantile(df, column, 0.5)
+
+
 def test_top_k(spark):
     top = ordering.top_k(spark.range(100), 3, F.col("id").desc())
     assert [r[0] for r in top.collect()] == [99, 98, 97]
