@@ -16,7 +16,7 @@ Defined results: a null text is empty; a text without a term of the lexicon has
 its terms in every part, so that equal texts always have equal fingerprints; a part without a
 term counts for the likeness only where the other document has one; repeated rows are fingerprinted
 each; an empty table gives an empty result; other columns are ignored. The next document of
-equal ids is the one with the next text; null ids come first.
+equal ids is the one whose text has the next hash; null ids come first.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ _NONE = "0" * 16
 _TERM = re.compile(r"\w+")
 #: Terms a task counts before it passes the counts on.
 _COUNTED = 500_000
-#: Documents in one stretch of the order of ids.
-STRETCH = 4096
+#: Documents in one stretch of the order of ids, where the shuffle partitions allow so many.
+STRETCH = 1024
 
 
 def terms_of(text: str) -> set[str]:
@@ -126,13 +126,27 @@ def fingerprints(docs: DataFrame, terms: frozenset[str], subsets=SUBSETS) -> Dat
 def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """Rows in stretches of the order of ids, each closed by the first row of the next stretch.
 
-    Only the first ids of the stretches come to the driver. The texts are shuffled once.
+    Only the first ids of the stretches come to the driver. The texts are shuffled once,
+    compressed (``packed_text``).
     """
+
+    @F.pandas_udf("binary")
+    def compressed(texts: pd.Series) -> pd.Series:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return pd.Series([pack(t.encode()) for t in texts])
+
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select("doc_id", order.alias("place"), whole_text().alias("text"))
-    size = rows.count()
+    rows = docs.select(
+        "doc_id", order.alias("place"), F.xxhash64(whole_text()).alias("text_hash"),
+        compressed(whole_text()).alias("packed_text"),
+    )
+    # Any number gives the same pairs; a few per shuffle partition keep their sizes even.
+    most = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(1, min(-(-docs.count() // stretch), most))
     firsts = (
-        rows.select("place").repartitionByRange(max(1, -(-size // stretch)), "place")
+        docs.select(order.alias("place")).repartitionByRange(count, "place")
         .groupBy(F.spark_partition_id().alias("part")).agg(F.min("place").alias("first"))
         .orderBy("first").select("first").toPandas()["first"].to_numpy(dtype=np.int64)
     )
@@ -151,7 +165,7 @@ def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
     return (
         rows.select("*", F.inline(stretches("place")))
         .repartition("stretch")
-        .sortWithinPartitions("stretch", "closing", "place", "text")
+        .sortWithinPartitions("stretch", "closing", "place", "text_hash")
     )
 
 
@@ -164,10 +178,9 @@ def beside_edited(
         "near_next",
     ]
 
-    def one(row, parts, following, next_parts):
-        text = row.text
+    def one(row, text, parts, following, next_parts):
         half = len(text) // 2
-        edited = text[: len(text) - half] + following.text[:half]
+        edited = text[: len(text) - half] + following[:half]
         edited_parts = parts_of(edited, terms, subsets)
         return (
             row.doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), "".join(parts),
@@ -175,7 +188,9 @@ def beside_edited(
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before = None
+        import zstandard
+
+        unpack, before = zstandard.ZstdDecompressor().decompress, None
         for batch in batches:
             found = []
             for row in batch.itertuples(index=False):
@@ -184,10 +199,11 @@ def beside_edited(
                 if before is not None and before[0].closing:
                     # Further rows with the id that closes the stretch.
                     continue
-                parts = parts_of(row.text, terms, subsets)
+                text = unpack(row.packed_text).decode()
+                parts = parts_of(text, terms, subsets)
                 if before is not None:
-                    found.append(one(*before, row, parts))
-                before = row, parts
+                    found.append(one(*before, text, parts))
+                before = row, text, parts
             frame = pd.DataFrame(found, columns=names)
             yield from in_portions(frame.astype({"doc_id": "Int64"}))
 

@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import xxhash
+
 from hearthline.llm import fingerprints as fp
 
 from .conftest import pairs
@@ -12,7 +14,13 @@ def brute_lexicon(texts, low, high):
 
 
 def ordered(frame):
-    return sorted(pairs(frame), key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
+    """By id, then by the signed hash of the text."""
+
+    def place(row):
+        digest = xxhash.xxh64_intdigest(row[1].encode(), 42)
+        return row[0] is not None, row[0] or 0, digest - (digest >> 63 << 64)
+
+    return sorted(pairs(frame), key=place)
 
 
 def check_neighbours(frame, terms, stretch):
