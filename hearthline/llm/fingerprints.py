@@ -138,10 +138,6 @@ def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
         return pd.Series([pack(t.encode()) for t in texts])
 
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(
-        "doc_id", order.alias("place"), F.xxhash64(whole_text()).alias("text_hash"),
-        compressed(whole_text()).alias("packed_text"),
-    )
     # Any number gives the same pairs; a few per shuffle partition keep their sizes even.
     most = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = max(1, min(-(-docs.count() // stretch), most))
@@ -162,8 +158,14 @@ def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
             for s, v in zip(found.tolist(), values.tolist())
         ])
 
+    rows = docs.select(
+        "doc_id", order.alias("place"), F.xxhash64(whole_text()).alias("text_hash"),
+        compressed(whole_text()).alias("packed_text"), stretches(order).alias("stretches"),
+    )
+    # Every row has a stretch; unlike inline, inline_outer adds no filter that runs the function
+    # again in a Python worker of its own.
     return (
-        rows.select("*", F.inline(stretches("place")))
+        rows.select("*", F.inline_outer("stretches")).drop("stretches")
         .repartition("stretch")
         .sortWithinPartitions("stretch", "closing", "place", "text_hash")
     )
