@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from hearthline.llm.common import table, vocabulary_path, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words and arcs that a Python worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 400_000
+#: Words and table entries that a Python worker keeps before it starts anew: its memory's bound.
+REMEMBERED, ENTRIES = 300_000, 500_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -131,7 +131,7 @@ class Automaton:
         key = x * len(self.labels) + y
         known = self.table.get(key)
         if known is None:
-            if len(self.table) >= 4 * REMEMBERED:
+            if len(self.table) >= ENTRIES:
                 self.table.clear()
             known = self.table[key] = bool(self.live[y]) and self._arc(x, y, 1 << 60)
         return known
@@ -181,7 +181,7 @@ class Automaton:
         of arcs being read, each a node of the label tree and the token before it. Every prefix
         has one path, so each move names the token that ends there.
         """
-        if len(self.moves) + len(self.stops) > 4 * REMEMBERED:
+        if len(self.moves) + len(self.stops) > ENTRIES:
             self._reset()
         moves, state, tokens = self.moves, 0, []
         for byte in word[:-1]:

@@ -32,7 +32,7 @@ from hearthline.llm.common import packed, table, unpacked
 
 DIMENSIONS = 4096
 CENTROIDS = 4
-SAMPLE = 4000
+SAMPLE = 3000
 MARGIN = 0.2
 #: Sample texts that a length class needs before texts of its length can be rejected.
 WELL_KNOWN = 30

@@ -60,6 +60,7 @@ def test_the_automaton_of_a_few_merges():
 
 def test_memory_bound_does_not_change_ids(monkeypatch, library):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(bpe, "ENTRIES", 20)
     coder = bpe.WordEncoder(vocabulary_path(bpe.VOCABULARY))
     text = " ".join(f"word{n} therouou{n}" for n in range(50))
     for _ in range(2):
