@@ -15,13 +15,23 @@ import hearthline
 from hearthline.session import scratch_path
 
 _SHIPPED: set[str] = set()
+#: Rows and bytes of texts that go to a Python worker at once, where the session names none: a
+#: worker and the executor beside it hold some copies of a batch.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors' Python, once per application.
 
-    Needed where it was neither installed there nor given by ``--py-files``.
+    Needed where it was neither installed there nor given by ``--py-files``. Also keeps the
+    batches of texts small, which bounds memory and changes no result.
     """
+    for name, value in _BATCHES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
