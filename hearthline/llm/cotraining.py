@@ -3,16 +3,19 @@
 The text view is a logistic regression on hashed byte bigrams and trigrams of the raw text. The
 metadata view is one on what a page record tells without its words: language, source, length and
 layout numbers (shares of letters, capitals, digits, marks and line ends, mean word and line
-length, repeated words and lines). Both start from the labelled sample. In each round either
-view labels the ``exchanged`` texts of an unlabelled pool that it is surest of, in the classes'
-proportion, and hands them to the other view, which is fitted anew. Each view is then calibrated
-on labelled rows that neither was fitted on (Platt), and the calibrated log odds are added, less
-the prior that both contain.
+length, repeated words and lines). Both start from the labelled sample. In each round both
+views score all unlabelled documents; either one labels the ``exchanged`` texts that it is surest
+of, in the classes' proportion, and hands them to the other view, which is fitted anew. Copies
+(equal text, language and source) are one text. Each view is then calibrated on labelled rows that
+neither was fitted on (Platt), and the calibrated log odds are added, less the prior that both
+contain.
 
 Every label column is learned in the same way: ``quality`` and ``toxic``.
 
-Fitting uses bounded samples: at most about ``labelled`` labelled and ``pool`` unlabelled rows,
-drawn by a hash of the id. Scoring covers every row and whole texts, without a shuffle.
+Fitting uses a bounded sample of the labelled rows, about ``labelled`` drawn by a hash of the id,
+and the rows exchanged. The unlabelled side is every document without a label, in each round;
+a ``pool`` can be named to draw only about so many. Scoring covers every row and whole texts, and
+no text is shuffled but those exchanged.
 
 Defined results: a null text is empty; null metadata is a value of its own; labels that are null
 or of unknown documents are left out, of several labels of a document the smallest counts; with
@@ -30,14 +33,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import table, whole_text
+from hearthline.llm.common import in_portions, table, whole_text
 
 DIMENSIONS = 4096
 BUCKETS = 64
 #: Layout numbers of the metadata view.
 LAYOUT = 12
-LABELLED, POOL = 4000, 1000
+LABELLED = 4000
 ROUNDS, EXCHANGED = 4, 150
+#: Giver and taker of labels: the text view is 0, the metadata view 1.
+EXCHANGES = (0, 1), (1, 0)
 TARGETS = ("quality", "toxic")
 _SAFE = 0.9
 #: Learning rate and penalty of the text view and of the metadata view.
@@ -123,6 +128,35 @@ def _platt(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(1e-3, float(fitted[0])), float(fitted[1])
 
 
+class Lessons:
+    """The rows that the two views of one label are fitted on."""
+
+    def __init__(
+        self, texts: np.ndarray, metadata: np.ndarray, labels: np.ndarray, calibration: np.ndarray
+    ):
+        """``texts`` are prepared rows; ``calibration`` marks rows that are not fitted on."""
+        self.views, self.labels = (texts, metadata), labels
+        self.fitted, self.held = np.flatnonzero(~calibration), np.flatnonzero(calibration)
+        self.given: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+
+    def give(self, taker: int, rows: np.ndarray, pseudo: np.ndarray) -> None:
+        """Rows of the view ``taker`` with the labels that the other view gave them."""
+        self.given[taker].append((rows, pseudo))
+
+    def of(self, view: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of a view with their labels; one copy is made."""
+        parts = self.given[view]
+        known = np.concatenate([self.labels[self.fitted], *(pseudo for _, pseudo in parts)])
+        own = self.views[view]
+        rows = np.empty((len(known), own.shape[1]), own.dtype)
+        at = len(self.fitted)
+        np.take(own, self.fitted, axis=0, out=rows[:at])
+        for some, _ in parts:
+            rows[at : at + len(some)] = some
+            at += len(some)
+        return rows, known
+
+
 class CoTrained:
     """The two views of one label after co-training and calibration."""
 
@@ -136,69 +170,86 @@ class CoTrained:
         exchanged: int = EXCHANGED,
     ):
         """``texts`` are prepared rows. ``labels`` belong to the first rows of both views, the
-        other rows are the pool; ``calibration`` marks labelled rows that are not fitted on."""
+        other rows are unlabelled; ``calibration`` marks labelled rows that are not fitted on."""
+        count = len(labels)
+        lessons = Lessons(texts[:count], metadata[:count], labels, calibration)
+        self.learn(lessons)
+        others = texts[count:], metadata[count:]
+        # By view: the unlabelled rows that it was not given yet.
+        free = [np.arange(len(others[0])) for _ in others]
+        for _ in range(rounds if self.models else 0):
+            odds = self.view_odds(*others)
+            for giver, taker in EXCHANGES:
+                rows, pseudo = surest(odds[giver][free[taker]], self.wanted(exchanged))
+                lessons.give(taker, others[taker][free[taker][rows]], pseudo)
+                free[taker] = np.delete(free[taker], rows)
+            self.learn(lessons)
+
+    @classmethod
+    def taught(cls, lessons: Lessons) -> CoTrained:
+        model = cls.__new__(cls)
+        model.learn(lessons)
+        return model
+
+    def learn(self, lessons: Lessons) -> None:
+        """Fits and calibrates both views anew."""
+        labels, fitted, held = lessons.labels, lessons.fitted, lessons.held
         self.prior = float(labels.mean()) if len(labels) else 0.5
         self.models: list[Logistic] = []
-        fitted, held = np.flatnonzero(~calibration), np.flatnonzero(calibration)
         if len(set(labels[fitted])) < 2 or len(set(labels[held])) < 2:
             return
-        self.mean = metadata[fitted].mean(axis=0)
-        self.scale = np.maximum(metadata[fitted].std(axis=0), 1e-6)
+        metadata = lessons.views[1][fitted]
+        self.mean = metadata.mean(axis=0)
+        self.scale = np.maximum(metadata.std(axis=0), 1e-6)
+        for view, (rate, penalty) in enumerate(_FITTING):
+            rows, known = lessons.of(view)
+            if view:
+                rows = self._prepared_metadata(rows)
+            self.models.append(Logistic(rate, penalty).fit(rows, known))
+        odds = self.view_odds(*(view[held] for view in lessons.views))
+        self.scales = [_platt(o, labels[held]) for o in odds]
+
+    def view_odds(self, texts: np.ndarray, metadata: np.ndarray) -> list[np.ndarray]:
+        """Log odds of the text view and of the metadata view, not calibrated."""
         views = texts, self._prepared_metadata(metadata)
-        # By view: the rows it is fitted on with their labels, and the pool rows still free.
-        rows, known = [fitted, fitted], [labels[fitted], labels[fitted]]
-        free = [np.arange(len(labels), len(texts)) for _ in views]
-        for turn in range(rounds + 1):
-            self.models = [
-                Logistic(rate, penalty).fit(view[r], y)
-                for view, r, y, (rate, penalty) in zip(views, rows, known, _FITTING)
-            ]
-            if turn == rounds:
-                break
-            for giver, taker in ((0, 1), (1, 0)):
-                given, pseudo = self._surest(
-                    self.models[giver].log_odds(views[giver][free[taker]]), exchanged
-                )
-                rows[taker] = np.r_[rows[taker], free[taker][given]]
-                known[taker] = np.r_[known[taker], pseudo]
-                free[taker] = np.delete(free[taker], given)
-        self.scales = [
-            _platt(m.log_odds(view[held]), labels[held]) for m, view in zip(self.models, views)
-        ]
+        return [m.log_odds(view) for m, view in zip(self.models, views)]
+
+    def wanted(self, exchanged: int) -> tuple[int, int]:
+        """How many zeros and ones a view gives in a round: the classes' proportion."""
+        ones = int(round(exchanged * self.prior))
+        return exchanged - ones, ones
 
     def _prepared_metadata(self, rows: np.ndarray) -> np.ndarray:
         return ((rows - self.mean) / self.scale).astype(np.float32)
 
-    def _surest(self, odds: np.ndarray, exchanged: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the surest texts and the labels given to them, in the classes' proportion."""
-        p, ones = _sigmoid(odds), int(round(exchanged * self.prior))
-        order = np.argsort(-p, kind="stable")
-        top = [i for i in order[:ones] if p[i] >= _SAFE]
-        end = [i for i in order[::-1][: exchanged - ones] if p[i] <= 1 - _SAFE]
-        return np.array(top + end, dtype=int), np.r_[np.ones(len(top)), np.zeros(len(end))]
-
     def score(self, texts: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, ...]:
         """Calibrated scores of both views together, the text view and the metadata view."""
         if not self.models:
             same = np.full(len(texts), self.prior)
             return same, same, same
-        views = texts, self._prepared_metadata(metadata)
-        a, b = (
-            slope * m.log_odds(view) + offset
-            for m, view, (slope, offset) in zip(self.models, views, self.scales)
-        )
+        odds = self.view_odds(texts, metadata)
+        a, b = (slope * o + offset for o, (slope, offset) in zip(odds, self.scales))
         prior = np.clip(self.prior, 1e-3, 1 - 1e-3)
         return _sigmoid(a + b - np.log(prior / (1 - prior))), _sigmoid(a), _sigmoid(b)
 
 
+def surest(odds: np.ndarray, wanted: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the surest texts, at most so many zeros and ones, and the labels given to them."""
+    order, (zeros, ones) = np.argsort(-odds, kind="stable"), wanted
+    p = _sigmoid(odds)
+    top = [i for i in order[:ones] if p[i] >= _SAFE]
+    end = [i for i in order[::-1][:zeros] if p[i] <= 1 - _SAFE]
+    return np.array(top + end, dtype=int), np.r_[np.ones(len(top)), np.zeros(len(end))]
+
+
 def _drawn(salt: str, share: float) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
 
 
-def _views(*samples: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Prepared text rows and metadata rows of the samples, one behind the other."""
-    texts = [np.frombuffer(t, "<u4") for rows in samples for t in rows["text_view"]]
-    meta = [np.frombuffer(m, "<f8") for rows in samples for m in rows["metadata_view"]]
+def _views(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Prepared text rows and metadata rows."""
+    texts = [np.frombuffer(t, "<u4") for t in rows["text_view"]]
+    meta = [np.frombuffer(m, "<f8") for m in rows["metadata_view"]]
     return (
         prepared_text(np.array(texts, dtype="<u4").reshape(-1, DIMENSIONS)),
         np.array(meta, dtype="<f8").reshape(-1, LAYOUT + 2 * BUCKETS),
@@ -218,36 +269,136 @@ def _both_views() -> Column:
     return views(whole_text(), "lang", "source").alias("views")
 
 
+def _content() -> Column:
+    """One number for all that both views see of a document."""
+    columns = [whole_text()]
+    for name in ("lang", "source"):
+        columns += [F.col(name), F.col(name).isNull()]
+    return F.xxhash64(*columns).alias("content")
+
+
+def _all_odds(docs: DataFrame, models: dict[str, CoTrained]) -> DataFrame:
+    """doc_id, content and the log odds of both views of every model, of every row."""
+    names = [f"odds_{k}" for k in range(2 * len(models))]
+
+    @F.pandas_udf(", ".join(f"{n} float" for n in names))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, parts = list(zip(*batch)), [np.zeros((0, len(names)))]
+            for first in range(0, len(rows), 256):
+                some = rows[first : first + 256]
+                text = prepared_text(np.array([text_view(r[0]) for r in some]))
+                meta = np.array([metadata_view(*r) for r in some])
+                odds = [o for model in models.values() for o in model.view_odds(text, meta)]
+                parts.append(np.stack(odds, axis=1))
+            yield pd.DataFrame(np.concatenate(parts), columns=names)
+
+    found = docs.select(
+        "doc_id", _content(), run(whole_text(), "lang", "source").alias("found")
+    )
+    return found.select("doc_id", "content", "found.*")
+
+
+def _surest_contents(
+    unlabelled: DataFrame, models: dict[str, CoTrained], exchanged: int, had: dict
+) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]:
+    """By target and taker: the contents that the other view is surest of among all rows of
+    ``unlabelled``, without those the taker ``had``, and the labels given to them.
+
+    Copies are one row. Each task passes on its surest rows only, so the driver gets a bounded
+    number of rows of three numbers from each.
+    """
+    slots = [
+        (k, (target, taker), models[target].wanted(exchanged), 2 * i + giver)
+        for k, (i, target, giver, taker) in enumerate(
+            (i, t, giver, taker) for i, t in enumerate(models) for giver, taker in EXCHANGES
+        )
+    ]
+
+    def pick(frame: pd.DataFrame, wanted: tuple[int, int]) -> tuple[pd.DataFrame, np.ndarray]:
+        frame = frame.sort_values("content", ignore_index=True)
+        rows, pseudo = surest(frame["odds"].to_numpy(), wanted)
+        return frame.iloc[rows], pseudo
+
+    def tops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, pd.DataFrame] = {}
+        for batch in batches:
+            for slot, key, wanted, column in slots:
+                some = pd.DataFrame({"content": batch["content"], "odds": batch[f"odds_{column}"]})
+                some = some[~some["content"].isin(had[key])]
+                if slot in best:
+                    some = pd.concat([best[slot], some])
+                best[slot] = pick(some, wanted)[0]
+        for slot, frame in best.items():
+            yield from in_portions(frame.assign(slot=slot)[["slot", "content", "odds"]])
+
+    odds = [c for c in unlabelled.columns if c.startswith("odds_")]
+    distinct = unlabelled.groupBy("content").agg(*(F.first(c).alias(c) for c in odds))
+    found = distinct.mapInPandas(tops, "slot int, content long, odds double").toPandas()
+    chosen = {}
+    for slot, key, wanted, _ in slots:
+        rows, pseudo = pick(found[found["slot"] == slot], wanted)
+        chosen[key] = rows["content"].to_numpy(np.int64), pseudo
+    return chosen
+
+
+def _views_of(docs: DataFrame, contents: np.ndarray) -> tuple[dict[int, int], tuple]:
+    """Places of the contents among the rows, and the rows of both views; copies are one row."""
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame(pd.DataFrame({"content": contents}), "content long")
+    rows = (
+        docs.select(_content(), F.struct(whole_text().alias("text"), "lang", "source").alias("row"))
+        .join(F.broadcast(wanted), "content", "left_semi")
+        .groupBy("content").agg(F.first("row").alias("row")).select("content", "row.*")
+        .select("content", _both_views()).select("content", "views.*").toPandas()
+    )
+    return {c: i for i, c in enumerate(rows["content"])}, _views(rows)
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, targets=TARGETS, labelled: int = LABELLED, pool: int = POOL
+    docs: DataFrame,
+    labels: DataFrame,
+    targets=TARGETS,
+    labelled: int = LABELLED,
+    pool: int | None = None,
+    rounds: int = ROUNDS,
+    exchanged: int = EXCHANGED,
 ) -> dict[str, CoTrained]:
     """One co-trained pair of views for each label column."""
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         *(F.min(t).cast("double").alias(t) for t in targets)
     )
     taken = known.where(_drawn("labelled", labelled / max(1, known.count())))
-    views = _both_views()
     columns = docs.select("doc_id", "text", "lang", "source")
     # At most about ``labelled`` rows are broadcast.
-    rows = columns.join(F.broadcast(taken), "doc_id").select("doc_id", views, *targets)
+    rows = columns.join(F.broadcast(taken), "doc_id").select("doc_id", _both_views(), *targets)
     rows = rows.select("doc_id", "views.*", *targets).toPandas().sort_values("doc_id")
-    drawn = columns.where(_drawn("pool", pool / max(1, docs.count())))
-    free = drawn.join(known.select("doc_id"), "doc_id", "left_anti").select("doc_id", views)
-    free = free.select("doc_id", "views.*").toPandas().sort_values("doc_id")
 
-    texts, metadata = _views(rows, free)
-    answers = {t: rows[t].to_numpy(float) for t in targets}
+    texts, metadata = _views(rows)
     calibration = np.array([crc32(str(i).encode()) % 5 == 0 for i in rows["doc_id"]], dtype=bool)
-    pool_rows = np.arange(len(rows), len(texts))
-    del rows, free
-    models = {}
-    for target, answer in answers.items():
+    lessons = {}
+    for target in targets:
+        answer = rows[target].to_numpy(float)
         usable = np.flatnonzero(~np.isnan(answer))
         # All rows are usable as a rule: then nothing is copied.
-        every = slice(None) if len(usable) == len(answer) else np.r_[usable, pool_rows]
-        models[target] = CoTrained(
-            texts[every], metadata[every], answer[usable], calibration[usable]
-        )
+        every = slice(None) if len(usable) == len(answer) else usable
+        lessons[target] = Lessons(texts[every], metadata[every], answer[every], calibration[every])
+    del rows
+    models = {t: CoTrained.taught(lesson) for t, lesson in lessons.items()}
+    learning = {t: m for t, m in models.items() if m.models}
+    if pool is not None:
+        columns = columns.where(_drawn("pool", pool / max(1, docs.count())))
+    had = {(t, taker): np.zeros(0, np.int64) for t in learning for _, taker in EXCHANGES}
+    for _ in range(rounds if learning else 0):
+        unlabelled = _all_odds(columns, learning).join(known.select("doc_id"), "doc_id", "left_anti")
+        chosen = _surest_contents(unlabelled, learning, exchanged, had)
+        places, views = _views_of(columns, np.unique(np.concatenate([c for c, _ in chosen.values()])))
+        for (target, taker), (contents, pseudo) in chosen.items():
+            at = np.array([places[c] for c in contents.tolist()], dtype=int)
+            lessons[target].give(taker, views[taker][at], pseudo)
+            had[target, taker] = np.r_[had[target, taker], contents]
+        for target, model in learning.items():
+            model.learn(lessons[target])
     return models
 
 

@@ -58,3 +58,33 @@ def test_metadata_of_odd_texts():
     for text in ("", "\n\n", "a" * 100_000, "é😀"):
         found = co.metadata_view(text, None, None)
         assert np.isfinite(found).all() and len(found) == co.LAYOUT + 2 * co.BUCKETS
+
+
+def test_surest_of_all_unlabelled_documents_are_exchanged(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("doc_id % 3 = 0")
+    # One unlabelled text many times over: copies must not fill the exchange.
+    copied = docs.join(labels, "doc_id", "left_anti").orderBy("doc_id").limit(1)
+    docs = docs.unionByName(copied.crossJoin(spark.range(200)).drop("id"))
+    given = []
+    give = co.Lessons.give
+    monkeypatch.setattr(
+        co.Lessons, "give", lambda self, *args: (given.append(args), give(self, *args))
+    )
+    first = co.fit(docs, labels, targets=("quality",), rounds=0)["quality"]
+    assert given == []
+    co.fit(docs, labels, targets=("quality",), rounds=1)
+    others = docs.join(labels, "doc_id", "left_anti").toPandas()
+    others = others.drop_duplicates(["text", "lang", "source"])
+    text = co.prepared_text(np.array([co.text_view(t or "") for t in others["text"]]))
+    meta = np.array([
+        co.metadata_view(t or "", l, s)
+        for t, l, s in zip(others["text"], others["lang"], others["source"])
+    ])
+    assert len(others) > co.EXCHANGED
+    odds = first.view_odds(text, meta)
+    for (giver, taker), (to, rows, pseudo) in zip(co.EXCHANGES, given):
+        want, labelled = co.surest(odds[giver], first.wanted(co.EXCHANGED))
+        assert to == taker and sorted(pseudo) == sorted(labelled)
+        sums = lambda x: np.sort(x.sum(axis=1))
+        assert np.allclose(sums(rows), sums((text, meta)[taker][want]), rtol=1e-4)
