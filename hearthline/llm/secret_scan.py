@@ -3,18 +3,20 @@
 Base spans come from three patterns. The method adds spans of kind ``random``: runs of 20 or more
 characters of a base-64 alphabet that look drawn at random. The encoding of a run is inferred
 from its characters (hex, base 32, 36, 62 or 64); a run of letters of one case or of digits alone
-has none and is left out. Three tests ask whether ordinary text could look as random as the run:
+has none and is left out. Two tests ask whether ordinary text could look as random as the run:
 
 * alphabet uniformity: the chi-squared statistic, under ordinary text noncentral with the
   excess of repeated symbols that words (or, for hex, decimal digits) have;
 * runs: the number of changes between digits, lower and upper case, under ordinary text binomial
-  with half the changes of a random run;
-* serial correlation of neighbouring symbols, under ordered text 0.6 or more (Fisher's z).
+  with half the changes of a random run.
 
-The largest of the three p-values counts, so a run has to pass all tests. Runs are declared by
-Benjamini-Hochberg at rate ``rate`` within each length band, as short runs carry less evidence
-and must not borrow from long ones. For this the p-values of all documents are counted in bins of
-a tenth of a decade, at the bin's upper edge: a table of bounded size, whatever the input.
+Where each rejects at 0.025 their p-values are combined by Fisher's method, else the largest counts.
+Serial correlation of neighbouring symbols says nothing against ordinary text, which has little of
+it either: it only vetoes. A run whose correlation fewer than one in a hundred random runs exceed
+(Fisher's z) is ordered, and has p-value 1. Runs are declared by Benjamini-Hochberg at rate ``rate``
+within each length band, as short runs carry less evidence and must not borrow from long ones. For
+this the p-values of all documents are counted in bins of a tenth of a decade, at the bin's upper
+edge: a table of bounded size, whatever the input.
 
 Positions are code points, the end is exclusive. Java's patterns match leftmost without overlap;
 a position is the length of what ``split`` and the matches before it took.
@@ -57,7 +59,10 @@ ENCODINGS = (
 )
 #: Chance that two symbols of ordinary text agree: English letters; decimal digits for hex.
 _REPEAT, _REPEAT_HEX = 0.0667, 0.1
-_ORDERED = 0.6
+#: Fisher's z of the neighbours' correlation that one in a hundred random runs exceeds.
+_ORDERED = 2.576
+#: Level at which each of the two tests has to reject by itself: half of 0.05.
+_EACH = 0.025
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -130,8 +135,8 @@ def _runs(run: Column, size: Column, changes: Column) -> Column:
     )
 
 
-def _serial(run: Column, size: Column, symbols: Column) -> Column:
-    """P(as little correlation of neighbours | ordered text)."""
+def _ordered(run: Column, size: Column, symbols: Column) -> Column:
+    """Whether neighbours are correlated as those of a random run are not."""
     values = F.transform(
         F.slice(F.split(run, ""), 1, size.cast("int")), lambda c: F.instr(symbols, c).cast("double")
     )
@@ -146,7 +151,20 @@ def _serial(run: Column, size: Column, symbols: Column) -> Column:
         ),
     )))
     bounded = F.least(correlation, F.lit(0.999999))
-    return _normal((F.atanh(bounded) - F.atanh(F.lit(_ORDERED))) * F.sqrt(size - 3))
+    return F.atanh(bounded) * F.sqrt(size - 3) > _ORDERED
+
+
+def _together(first: Column, second: Column) -> Column:
+    """Fisher's method for two p-values; the largest counts where one test does not reject."""
+
+    def one(p: Column) -> Column:
+        largest = F.greatest(p["first"], p["second"])
+        fisher = _let(
+            F.greatest(p["first"] * p["second"], F.lit(1e-40)), lambda x: x * (1 - F.log(x))
+        )
+        return F.when(largest > _EACH, F.greatest(largest, fisher)).otherwise(fisher)
+
+    return _let(F.struct(first.alias("first"), second.alias("second")), one)
 
 
 def _evidence(run: Column) -> Column:
@@ -166,11 +184,9 @@ def _evidence(run: Column) -> Column:
         # Upper-case hex and base 36 have the symbols of the lower-case form.
         text = F.when(encoding.isin("hex", "base36"), F.lower(shape)).otherwise(shape)
         size = F.length(shape).cast("double")
-        p = F.greatest(
-            _uniformity(text, size, symbols, repeat),
-            _runs(shape, size, changes),
-            _serial(text, size, symbols),
-        )
+        p = F.when(_ordered(text, size, symbols), 1.0).otherwise(_together(
+            _uniformity(text, size, symbols, repeat), _runs(shape, size, changes)
+        ))
         band = F.lit(len(BANDS))
         for i, end in reversed(list(enumerate(BANDS))):
             band = F.when(size < end, i).otherwise(band)

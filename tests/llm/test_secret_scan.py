@@ -124,3 +124,29 @@ def test_digest_columns(spark):
     ).first()["text"]
     base = ",".join(f"{scan.KINDS[k]}:{s}:{e}" for s, k, e in brute_base(text))
     assert row["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+
+
+def test_few_short_keys_among_many_ordinary_runs(spark):
+    draw = random.Random(12)
+    words = """get set user name list file read write index value count table order price build
+    local share class method buffer string number result query stage input output config server
+    client handler request response session manager factory service""".split()
+    ordinary = []
+    while len(ordinary) < 3000:
+        some = [draw.choice(words) for _ in range(6)]
+        run = draw.choice([
+            some[0] + "".join(map(str.title, some[1:])), "/".join(some), "_".join(some) + "2024",
+            "-".join(some[:4]) + f"-{draw.randint(1, 99)}", "/" + some[0] + "/" + some[1].title() + some[2].title(),
+        ])[:draw.randint(20, 23)].rstrip("/-_")
+        if len(run) >= 20:
+            ordinary.append((-1, f"see {run} here"))
+    keys = [(n, f"see {drawn(draw, 20 + n % 4)} here") for n in range(30)]
+    frame = spark.createDataFrame(ordinary + keys, "doc_id long, text string")
+    found = [
+        r["doc_id"] for r in scan.secret_spans(frame).collect() if any(s["kind"] == 3 for s in r["spans"])
+    ]
+    assert len([i for i in found if i >= 0]) >= 20
+    assert found.count(-1) <= 0.1 * len(found)
+    # An ordered run is no key, however even its symbols are.
+    ordered = spark.createDataFrame([("0123456789abcdefghijklmnopqrstuv",)], "text string")
+    assert ordered.select(F.inline(scan.random_runs(F.col("text")))).first()["bin"] == 0
