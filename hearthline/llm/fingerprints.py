@@ -2,8 +2,8 @@
 
 The lexicon holds the terms whose inverse document frequency lies in a band, counted over all
 documents: neither the common words nor the rare ones. Each of several random subsets keeps a
-term by a hash of the term, one in 16 in the first subsets down to one in 2048 in the
-last. A document's part of a subset is the hash of its sorted distinct terms there; the
+term by a hash of the term: all terms in the first, half, a quarter and an eighth of them in the
+next six, one in 16 and so on down to one in 2048 in the others. A document's part of a subset is the hash of its sorted distinct terms there; the
 fingerprint is the sequence of parts. Large subsets change with any edit, small ones survive
 many, so the share of equal parts grades the likeness of two documents of any length.
 
@@ -12,8 +12,8 @@ are at most (distinct terms of an average document) / ``MIN_SHARE`` terms, whate
 documents. That is what the executors are given. The counts are summed in the task before they
 are shuffled; no term's documents ever meet.
 
-Defined results: a null text is empty; a text without a term of the lexicon has the hash of all
-its terms in every part, so that equal texts always have equal fingerprints; a part without a
+Defined results: a null text is empty; a text without a term in any
+subset has the hash of all its terms in every part, so that texts of other terms have another one; a part without a
 term counts for the likeness only where the other document has one; repeated rows are fingerprinted
 each; an empty table gives an empty result; other columns are ignored. The next document of
 equal ids is the one whose text has the next hash; null ids come first.
@@ -36,7 +36,7 @@ from hearthline.llm.common import in_portions, table, whole_text
 
 MIN_SHARE, MAX_SHARE = 0.0005, 0.1
 #: One subset per entry: it keeps one of so many terms.
-SUBSETS = tuple(1 << k for k in range(4, 12) for _ in range(4))
+SUBSETS = (1, 2, 2, 4, 4, 8, 8) + tuple(1 << k for k in range(4, 12) for _ in range(4))
 _NONE = "0" * 16
 _TERM = re.compile(r"\w+")
 #: Terms a task counts before it passes the counts on.
@@ -66,13 +66,12 @@ def _kept_in(term: str, subsets: tuple[int, ...]) -> tuple[int, ...]:
 def parts_of(text: str, lexicon: frozenset[str], subsets=SUBSETS) -> list[str]:
     """The document's hash in each subset."""
     found = terms_of(text)
-    held = found & lexicon
-    if not held:
-        return [_digest(sorted(found))] * len(subsets)
     kept: list[list[str]] = [[] for _ in subsets]
-    for term in sorted(held):
+    for term in sorted(found & lexicon):
         for i in _kept_in(term, subsets):
             kept[i].append(term)
+    if not any(kept):
+        return [_digest(sorted(found))] * len(subsets)
     return [_digest(terms) if terms else _NONE for terms in kept]
 
 

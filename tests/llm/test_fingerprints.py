@@ -69,3 +69,14 @@ def test_likeness_grades_edits(small):
         heavy = fp.parts_of(" ".join(words[: len(words) // 4]), terms)
         assert fp.likeness(parts, parts) == 1.0
         assert fp.likeness(parts, light) > fp.likeness(parts, heavy)
+
+
+def test_short_texts_of_other_terms_differ():
+    terms = frozenset(f"w{n}" for n in range(400))
+    sparse = (1 << 12, 1 << 12)
+    for subsets in (fp.SUBSETS, sparse):
+        parts = [fp.parts_of(f"w{n}", terms, subsets) for n in range(400)]
+        assert len(set(map(tuple, parts))) == 400
+        assert max(fp.likeness(parts[0], other) for other in parts[1:]) == 0.0
+    ten = fp.parts_of(" ".join(sorted(terms)[:10]), terms)
+    assert sum(p != fp._NONE for p in ten[:7]) >= 5
