@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 The test items are the stated query set. They are read in blocks of bounded size, and every
 block meets all documents, so nothing the executors hold grows with either table:
 
-* the n-grams of a block's items are counted over all documents (one number per n-gram);
-* of every ``stride`` neighbouring n-grams of an item the rarest one is a seed, so each unedited
-  stretch of ``stride + n - 1`` words holds one, however frequent the passage is;
+* every n-gram of an item is a seed, so each unedited stretch of ``n`` words holds one, however
+  frequent the passage is and whatever the edits beside it;
 * a seed found in a document proposes the passage around it, on the diagonal on which the item
-  would lie; passages whose words could not reach the threshold in any order are left out;
+  would lie. Diagonals with most seeds come first; passages whose words could not reach the
+  threshold or the best score so far in any order are left out;
 * the passage is aligned with the item, word by word (match 2, mismatch and gap -1). The score is
   the best local alignment divided by that of the item with itself.
 
@@ -21,6 +21,7 @@ matches in each row; with equal scores the first passage counts; other columns a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -29,10 +30,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import in_portions, packed, table, unpacked, whole_text
+from hearthline.llm.common import packed, table, unpacked, whole_text
 
 N = 3
-STRIDE = 2
 THRESHOLD = 0.5
 #: Words of the items that meet the documents at once.
 BLOCK_WORDS = 200_000
@@ -65,8 +65,8 @@ def local_alignment(query: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 class ItemBlock:
     """The n-grams of some test items, by which texts are searched."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int, stride: int, threshold: float):
-        self.n, self.stride, self.threshold = n, stride, threshold
+    def __init__(self, items: list[tuple[int, str]], n: int, threshold: float):
+        self.n, self.threshold = n, threshold
         split = [(i, words_of(text or "")) for i, text in items]
         split = [(i, words) for i, words in split if len(words) >= n]
         self.vocabulary: dict[str, int] = {}
@@ -79,8 +79,10 @@ class ItemBlock:
         self.items = [np.array([self.vocabulary[w] for w in words]) for _, words in split]
         codes = [self._codes(ids) for ids in self.items]
         self.grams = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]))
-        self.places = [np.searchsorted(self.grams, c) for c in codes]
         self.seeds: dict[int, list[tuple[int, int]]] = {}
+        for item, own in enumerate(codes):
+            for q, gram in enumerate(np.searchsorted(self.grams, own).tolist()):
+                self.seeds.setdefault(gram, []).append((item, q))
 
     def _codes(self, ids: np.ndarray) -> np.ndarray:
         """One number per n-gram; 0 stands for a word that no item has."""
@@ -107,44 +109,35 @@ class ItemBlock:
         same = self.grams[gram] == codes[at]
         return at[same], gram[same]
 
-    def choose_seeds(self, frequency: dict[int, int]) -> None:
-        """The rarest n-gram of every ``stride`` neighbours, the first one of equals."""
-        for item, places in enumerate(self.places):
-            rarity = [frequency.get(int(g), 0) for g in places]
-            last = max(1, len(places) - self.stride + 1)
-            chosen = {
-                min(range(k, min(k + self.stride, len(places))), key=lambda q: (rarity[q], q))
-                for k in range(last)
-            }
-            for q in chosen:
-                self.seeds.setdefault(int(places[q]), []).append((item, q))
-
     def matches(self, text: str) -> list[tuple[int, float, int, int]]:
         """(item_id, score, first word, last word) of each item found, by its place in the block."""
         ids = self.ids(text)
-        proposed = set()
+        proposed: Counter[tuple[int, int]] = Counter()
         for at, gram in zip(*(x.tolist() for x in self.hits(ids))):
-            for item, q in self.seeds.get(gram, ()):
+            for item, q in self.seeds[gram]:
                 step = max(1, len(self.items[item]) // 2)
-                proposed.add((item, (at - q) // step))
-        best: dict[int, tuple[float, int, int]] = {}
-        for item, diagonal in sorted(proposed):
+                proposed[item, (at - q) // step] += 1
+        # By item: share, diagonal, first and last word; the first diagonal of equal shares.
+        best: dict[int, tuple[float, int, int, int]] = {}
+        for (item, diagonal), _ in sorted(proposed.items(), key=lambda p: (-p[1], p[0])):
             query = self.items[item]
             step = max(1, len(query) // 2)
             begin = max(0, (diagonal - 1) * step)
             passage = ids[begin : max(0, (diagonal + 2) * step + len(query))]
-            if np.isin(passage, query).sum() < self.threshold * len(query):
+            found, before = best.get(item, (0.0, 0))[:2]
+            most = min(1.0, np.isin(passage, query).sum() / len(query))
+            if most < self.threshold or (most, -diagonal) <= (found, -before):
                 continue
             score, last = local_alignment(query, passage)
             share = score / (2 * len(query))
-            if share >= self.threshold and share > best.get(item, (0.0,))[0]:
+            if share >= self.threshold and (share, -diagonal) > (found, -before):
                 _, back = local_alignment(query[::-1], passage[: last + 1][::-1])
-                best[item] = share, begin + last - back, begin + last
-        return [(self.item_ids[i], *best[i]) for i in sorted(best)]
+                best[item] = share, diagonal, begin + last - back, begin + last
+        return [(self.item_ids[i], best[i][0], *best[i][2:]) for i in sorted(best)]
 
 
 def item_blocks(
-    benchmark: DataFrame, n: int, stride: int, threshold: float, block_words: int
+    benchmark: DataFrame, n: int, threshold: float, block_words: int
 ) -> Iterator[ItemBlock]:
     """The test items in blocks; the driver holds one block at a time."""
     block, size = [], 0
@@ -152,40 +145,22 @@ def item_blocks(
         block.append((row["item_id"], row["text"]))
         size += len(words_of(row["text"] or ""))
         if size >= block_words:
-            yield ItemBlock(block, n, stride, threshold)
+            yield ItemBlock(block, n, threshold)
             block, size = [], 0
     if block:
-        yield ItemBlock(block, n, stride, threshold)
-
-
-def gram_frequencies(docs: DataFrame, block: ItemBlock) -> dict[int, int]:
-    """Documents that hold each n-gram of the block, over all documents."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(len(block.grams), dtype=np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                counts[np.unique(block.hits(block.ids(text))[1])] += 1
-        gram = np.flatnonzero(counts)
-        yield from in_portions(pd.DataFrame({"gram": gram, "n": counts[gram]}))
-
-    held = docs.select(whole_text().alias("text")).mapInPandas(count, "gram long, n long")
-    return {r["gram"]: r["n"] for r in held.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+        yield ItemBlock(block, n, threshold)
 
 
 def matches_column(
-    docs: DataFrame,
     benchmark: DataFrame,
     text: Column,
     n: int = N,
-    stride: int = STRIDE,
     threshold: float = THRESHOLD,
     block_words: int = BLOCK_WORDS,
 ) -> Column:
-    """The matches of a text as a column; ``docs`` gives the n-gram counts."""
+    """The matches of a text as a column."""
     columns = [F.array().cast(MATCHES)]
-    for block in item_blocks(benchmark, n, stride, threshold, block_words):
-        block.choose_seeds(gram_frequencies(docs, block))
+    for block in item_blocks(benchmark, n, threshold, block_words):
         columns.append(_search(block)(text))
     return F.concat(*columns)
 
@@ -202,7 +177,7 @@ def _search(block: ItemBlock):
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document and test item found in it."""
-    found = matches_column(docs, benchmark, whole_text(), **options)
+    found = matches_column(benchmark, whole_text(), **options)
     return docs.select("doc_id", found.alias("found")).select(
         "doc_id", F.inline("found")
     )
@@ -211,7 +186,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents in which a test item was found."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
-    found = matches_column(docs, benchmark, text, **options)
+    found = matches_column(benchmark, text, **options)
     kept = packed(docs).withColumn("found", found).where(F.size("found") == 0)
     return unpacked(kept, docs.columns)
 

@@ -82,3 +82,24 @@ def test_awkward_rows_and_empty_tables(spark, docs, no_docs, benchmark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
     assert dec.contamination(no_docs, benchmark).count() == 0
     assert dec.decontaminated(docs, benchmark.limit(0)).count() == docs.count()
+
+
+def test_evenly_spaced_edits_against_brute_force(spark):
+    draw = random.Random(8)
+    items, rows, want = [], [], {}
+    # Every item has one copy, so that no document holds the trigrams across its edits.
+    for size in (15, 16, 19, 23, 30, 41):
+        for shift in range(4):
+            item = 100 * size + shift
+            words = [f"w{draw.randint(1, 10_000)}" for _ in range(size)]
+            items.append((item, " ".join(words)))
+            edited = [f"x{k}" if k % 4 == shift else w for k, w in enumerate(words)]
+            before = [f"y{k}" for k in range(draw.randint(0, 50))]
+            text = before + edited + ["after", "it"]
+            rows.append((item, " ".join(text)))
+            score = brute_score(words, text) / (2 * size)
+            if score >= dec.THRESHOLD:
+                want[item, item] = score
+    assert len(want) == len(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_in(frame, spark.createDataFrame(items, "item_id long, text string")) == want
