@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import hearthline
@@ -55,6 +55,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """``df`` with ranks 1..n in ``name``, sorted in range partitions, as a table.
+
+    The only global step adds up one row count per partition. Give a stored ``df``: the range
+    bounds are found in a pass of their own.
+    """
+    place, part = F.monotonically_increasing_id(), F.shiftright("_place", 33)
+    sorted_parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(sorted_parts.withColumn("_place", place), label).withColumn("_part", part)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_n"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row per partition of the range shuffle.
+    return placed.join(F.broadcast(before), "_part").select(
+        *df.columns, (F.col("_n") + within + 1).alias(name)
+    )
+
+
 def vocabulary_path(name: str) -> str:
     """Place of a public vocabulary file; the package is installed on every executor."""
     import public_tokenizers

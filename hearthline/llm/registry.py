@@ -16,6 +16,9 @@ from hearthline.llm import (
     fingerprints,
     language_id,
     license_scan,
+    packing,
+    periodic_runs,
+    resampling,
     secret_scan,
     simhash,
     token_counts,
@@ -37,6 +40,9 @@ def queries() -> dict[str, Query]:
         bpe.op8_bpe,
         decontamination.op9_decontamination,
         license_scan.op10_license_scan,
+        resampling.op11_importance_resampling,
+        packing.op12_best_fit_packing,
+        periodic_runs.op13_periodic_runs,
     )
     named = {run.__name__: run for run in found} | {"pipeline": corpus_pipeline.run}
     return {name: _ready(run) for name, run in named.items()}
@@ -56,4 +62,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": chat_format.OP3_SQL,
         "op10_license_scan": license_scan.OP10_SQL,
+        "op11_importance_resampling": resampling.OP11_SQL,
     }
