@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from hearthline.session import scratch_path
 from hearthline.sources.messages import decode, replay
 from hearthline.streaming import EventLake, gate_events, start
 from hearthline.streaming.gate import CLEAN_COLUMNS, PRICE, enrich
+from hearthline.streaming.pipeline import LAYERS
 
 _CLEAN = """
 SELECT numero_dpe, code_insee, date_reception_dpe, etiquette_dpe, etiquette_ges,
@@ -41,7 +43,7 @@ def _run(spark: SparkSession, sf_dir: str) -> EventLake:
     return lake
 
 
-def _drain(messages: DataFrame, lake: EventLake, sf_dir: str) -> None:
+def _drain(messages: DataFrame, lake: EventLake, sf_dir: str, on_layer=None) -> None:
     """Run the stream until its source is empty; every reference row is given twice."""
     running = start(
         messages,
@@ -53,14 +55,18 @@ def _drain(messages: DataFrame, lake: EventLake, sf_dir: str) -> None:
             })
         ),
         interval=None,
+        on_layer=on_layer,
     )
     running.awaitTermination()
 
 
-def _run_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> EventLake:
+def _run_in_parts(
+    spark: SparkSession, sf_dir: str, parts: int = 3, drain=_drain, between=None
+) -> EventLake:
     """The events in several files, each taken in by a run of its own behind the checkpoint.
 
-    A run in the middle finds a file without rows, the last one nothing new.
+    A run in the middle finds a file without rows, the last one nothing new. ``between`` is
+    called with the lake after each run.
     """
     events = t.read(spark, sf_dir, "events")
     source, lake = scratch_path(spark, "parts"), EventLake(scratch_path(spark, "lake"))
@@ -70,7 +76,9 @@ def _run_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> EventLake
         if rows is not None:
             rows.write.mode("append").parquet(source)
         stream = replay(spark, source, events.schema, max_files=1_000_000)
-        _drain(t.as_messages(stream), lake, sf_dir)
+        drain(t.as_messages(stream), lake, sf_dir)
+        if between:
+            between(lake)
     return lake
 
 
@@ -94,16 +102,55 @@ def stream_pipeline(spark, sf_dir):
     return _run(spark, sf_dir).read_clean(spark).select(*CLEAN_COLUMNS)
 
 
-@query("stream_many_batches", t.over(["gated"], """
+_MANY_BATCHES = t.over(["gated"], """
 SELECT numero_dpe, code_insee, etiquette_dpe, CAST(_number AS DOUBLE) AS surface_habitable_logement,
        CAST(dense_rank() OVER (ORDER BY event_id % 3) AS BIGINT) AS nth_batch
 FROM (SELECT *, row_number() OVER (PARTITION BY numero_dpe
                  ORDER BY event_id % 3, _partition DESC, event_id DESC) AS nth
       FROM gated WHERE reject_reason IS NULL) g
-WHERE nth = 1"""))
+WHERE nth = 1""")
+
+
+@query("stream_many_batches", _MANY_BATCHES)
 def stream_many_batches(spark, sf_dir):
     """First batch wins, last row in a batch wins, over runs that stop and go on."""
-    rows = _run_in_parts(spark, sf_dir).read_clean(spark)
+    return _by_batch(_run_in_parts(spark, sf_dir).read_clean(spark))
+
+
+def _drain_with_failures(messages: DataFrame, lake: EventLake, sf_dir: str) -> None:
+    """The same, but every second batch dies once after its first layer is written.
+
+    Until the restarted stream has taken the batch in again, readers must see nothing of it.
+    """
+    spark, failed = messages.sparkSession, set()
+
+    def fail_once(layer: str, batch_id: int) -> None:
+        if batch_id % 2 == 0 and layer == "bronze" and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("a batch dies")
+
+    while True:
+        before = len(failed)
+        try:
+            return _drain(messages, lake, sf_dir, fail_once)
+        except StreamingQueryException:
+            if len(failed) == before:
+                raise
+        dead = F.col("batch_id") == max(failed)
+        for layer in LAYERS:
+            if not lake.layer(layer).read(spark, LAYERS[layer]).where(dead).isEmpty():
+                raise AssertionError(f"{layer} shows a batch that was not committed")
+
+
+@query("stream_after_failure", _MANY_BATCHES)
+def stream_after_failure(spark, sf_dir):
+    """The clean table of a stream whose batches died half-way, each time restarted."""
+    lake = _run_in_parts(spark, sf_dir, drain=_drain_with_failures)
+    return _by_batch(lake.read_clean(spark))
+
+
+def _by_batch(rows: DataFrame) -> DataFrame:
+    """Clean rows with the ordinal of the batch that inserted them."""
     nth = F.dense_rank().over(Window.orderBy("batch_id"))
     order = rows.select("batch_id").distinct().withColumn("nth_batch", nth.cast("bigint"))
     return rows.join(order, "batch_id").select(
@@ -122,6 +169,18 @@ def stream_silver(spark, sf_dir):
     return _run(spark, sf_dir).read_silver(spark).select(value.alias("event")).select("event.*")
 
 
+@query("stream_compacted", t.over(["gated"], f"""
+SELECT numero_dpe, etiquette_dpe, CAST(prix_m2_commune_reference AS DOUBLE) AS {PRICE}
+FROM gated"""))
+def stream_compacted(spark, sf_dir):
+    """The silver layer of a lake whose small files are merged after every second batch."""
+    lake = _run_in_parts(
+        spark, sf_dir, between=lambda lake: lake.compact(spark, min_parts=2)
+    )
+    value = F.from_json("value", f"numero_dpe string, etiquette_dpe string, {PRICE} double")
+    return lake.read_silver(spark).select(value.alias("event")).select("event.*")
+
+
 @query("stream_processing_time", """
 SELECT CAST(0 AS BIGINT) AS without_time, CAST(1 AS BIGINT) AS times_per_batch""")
 def stream_processing_time(spark, sf_dir):

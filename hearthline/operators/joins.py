@@ -10,22 +10,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 KEY_SET_BYTES = 64 * 1024 * 1024
 
 
+def row_bytes(*columns: str) -> Column:
+    """About the size of a row of these columns."""
+    size = F.lit(0)
+    for column in columns:
+        size = size + 8 + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    return size
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = KEY_SET_BYTES) -> DataFrame:
     """``df`` marked for broadcast if its measured size allows, else unchanged.
 
     Runs one aggregation over ``df``; persist it first if it is costly to compute.
     """
-    size = F.lit(0)
-    for column in df.columns:
-        size = size + 8 + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
-    measured = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    measured = df.agg(F.coalesce(F.sum(row_bytes(*df.columns)), F.lit(0))).first()[0]
     return F.broadcast(df) if measured <= max_bytes else df
 
 

@@ -1,47 +1,94 @@
 """Insert-if-absent on Parquet: the first committed row of a key wins.
 
-Each batch owns the directory ``query_id=<q>/batch_id=<n>`` and overwrites it, so a
-retried batch replaces its own rows. There must be one writer per table.
+Rows lie in a fixed number of buckets by the hash of their key, so a batch reads the stored keys of
+its own buckets only, and of these the row groups whose key range meets the batch's. A batch counts
+once its commit is written: a failed attempt is invisible and a batch that was committed is not
+inserted again. There must be one writer per table.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.operators.dedup import keep_last
-from hearthline.operators.joins import broadcast_if_small
-from hearthline.schemas import BIG, TEXT, struct
-from hearthline.sources.tables import read_table
+from hearthline.operators.joins import KEY_SET_BYTES, row_bytes
+from hearthline.sources.committed import BUCKET, CommittedTable, Commits, committed_once
 
-_BATCH_COLUMNS = struct(query_id=TEXT, batch_id=BIG)
+#: Choose it once per table: about the final size divided by what one task should read.
+BUCKETS = 16
 
 
-def batch_path(path: str, query_id: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
+def keyed_table(path: str) -> CommittedTable:
+    """The table at ``path`` with commits of its own."""
+    return CommittedTable(f"{path.rstrip('/')}/rows", "rows", Commits(f"{path.rstrip('/')}/commits"))
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stored rows with the batch that wrote them."""
-    return read_table(spark, path, T.StructType([*schema, *_BATCH_COLUMNS]))
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_keyed(
+    spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None = None
+) -> DataFrame:
+    """Stored rows with the batch that wrote them, of all buckets or those named."""
+    table = keyed_table(path)
+    return table.read(spark, schema, in_buckets(table.live(spark), buckets))
+
+
+def in_buckets(parts: list[str], buckets: list[int] | None) -> list[str]:
+    """The parts that lie in the buckets named."""
+    if buckets is None:
+        return parts
+    ends = tuple(f"/{BUCKET}={b}" for b in buckets)
+    return [p for p in parts if p.endswith(ends)]
+
+
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, min_parts: int = 8
+) -> int:
+    """Merges the parts of each bucket that holds many, sorted by key; batches may go on."""
+    return keyed_table(path).compact(spark, schema, min_parts, by=BUCKET, order=key)
 
 
 def compacted_copy(
-    spark: SparkSession, path: str, target: str, schema: T.StructType, key: str
+    spark: SparkSession,
+    path: str,
+    target: str,
+    schema: T.StructType,
+    key: str,
+    buckets: int = BUCKETS,
 ) -> None:
-    """Rewrite a table of many small batches to ``target`` as one batch, sorted by key.
+    """Rewrite a table to ``target`` as one batch, such as with another number of buckets.
 
     Run it between streams and go on with ``target``. A batch replayed later finds its
     keys there and inserts nothing twice.
     """
     rows = read_keyed(spark, path, schema).select(*schema.names)
-    arranged = rows.repartitionByRange(key).sortWithinPartitions(key)
-    arranged.write.mode("overwrite").parquet(batch_path(target, "compacted", 0))
-
-
-def absent_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    arranged = rows.withColumn(BUCKET, bucket_of(key, buckets))
+    copy = keyed_table(target)
+    committed_once(
+        copy.commits, spark, "compacted", 0,
+        lambda _: [copy.stage(arranged, "compacted", 0, by=BUCKET)],
+    )
+
+
+def key_summary(batch: DataFrame, key: str) -> Row:
+    """Least and greatest key and the size of all keys, with their buckets where the batch has any."""
+    found = [
+        F.min(key).alias("least"), F.max(key).alias("greatest"),
+        F.coalesce(F.sum(row_bytes(key)), F.lit(0)).alias("n_bytes"),
+    ]
+    if BUCKET in batch.columns:
+        found.append(F.collect_set(BUCKET).alias("buckets"))
+    return batch.agg(*found).first()
+
+
+def absent_rows(
+    batch: DataFrame, stored: DataFrame, key: str, summary: Row | None = None
+) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
     The stored keys are reduced to those in the batch first: when the batch's keys are
@@ -50,12 +97,51 @@ def absent_rows(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     of a table whose keys grow with time or which is sorted by key. Pass a persisted
     ``batch``, it is used several times.
     """
-    least, greatest = batch.agg(F.min(key), F.max(key)).first()
-    near = stored.select(key).where(F.col(key).between(F.lit(least), F.lit(greatest)))
-    present = near.join(broadcast_if_small(batch.select(key)), key, "left_semi")
+    summary = summary or key_summary(batch, key)
+    within = F.col(key).between(F.lit(summary["least"]), F.lit(summary["greatest"]))
+    near = stored.select(key).where(within)
+    keys = batch.select(key)
+    if summary["n_bytes"] <= KEY_SET_BYTES:
+        keys = F.broadcast(keys)
+    present = near.join(keys, key, "left_semi")
     return batch.join(present, key, "left_anti")
 
 
+def stage_absent(
+    batch: DataFrame,
+    table: CommittedTable,
+    records: list[Row],
+    key: str,
+    order: list[str],
+    query_id: str,
+    batch_id: int,
+    columns: list[str] | None = None,
+    buckets: int = BUCKETS,
+) -> tuple:
+    """Writes the last row of each new key and returns the record that would make them count."""
+    spark = batch.sparkSession
+    wanted = columns or batch.columns
+    needed = batch.where(F.col(key).isNotNull()).select(*dict.fromkeys([*wanted, *order]))
+    rows = keep_last(needed, [key], order).select(*wanted)
+    rows = rows.withColumn(BUCKET, bucket_of(key, buckets))
+    live = table.live(spark, records)
+    beyond = [p for p in live if int(p.rsplit("=", 1)[1]) >= buckets]
+    if beyond:
+        raise ValueError(f"the table has more than {buckets} buckets")
+    if not live:
+        return table.stage(rows, query_id, batch_id, by=BUCKET)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        summary = key_summary(rows, key)
+        stored = table.read(
+            spark, rows.drop(BUCKET).schema, in_buckets(live, summary["buckets"])
+        )
+        fresh = absent_rows(rows, stored, key, summary)
+        return table.stage(fresh, query_id, batch_id, by=BUCKET)
+    finally:
+        rows.unpersist()
+
+
 def insert_if_absent(
     batch: DataFrame,
     path: str,
@@ -64,23 +150,23 @@ def insert_if_absent(
     query_id: str,
     batch_id: int,
     columns: list[str] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Append the last row of each new key; returns the rows this batch inserted.
 
     ``order`` gives the arrival order within the batch. ``columns`` are those to store. As
     under a primary key, a row without a key is not stored; the stream's gate quarantines it.
     """
-    spark = batch.sparkSession
-    wanted = columns or batch.columns
-    keyed = batch.where(F.col(key).isNotNull())
-    needed = keyed.select(*dict.fromkeys([*wanted, *order]))
-    rows = keep_last(needed, [key], order).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK)
-    stored = read_keyed(spark, path, rows.schema)
-    own_batch = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-    target = batch_path(path, query_id, batch_id)
-    try:
-        fresh = absent_rows(rows, stored.where(~own_batch), key)
-        fresh.write.mode("overwrite").parquet(target)
-    finally:
-        rows.unpersist()
-    return spark.read.schema(rows.schema).parquet(target)
+    spark, table = batch.sparkSession, keyed_table(path)
+
+    def write(records: list[Row]) -> list[tuple]:
+        return [
+            stage_absent(
+                batch, table, records, key, order, query_id, batch_id, columns, buckets
+            )
+        ]
+
+    committed_once(table.commits, spark, query_id, batch_id, write)
+    schema = batch.select(*(columns or batch.columns)).schema
+    own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+    return table.read(spark, schema).where(own).select(*schema.names)

@@ -2,8 +2,8 @@
 
 Each micro-batch is decoded, enriched and judged once and cached; all outputs are written
 by the executors. Only the few counts of the batch log are computed to one row, and that
-row is written, not collected. Outputs live in one directory per batch, so a retried
-batch replaces what it wrote before.
+row is written, not collected. One commit at the end of a batch makes all its outputs count
+together: if the batch dies half-way, readers see none of it, and its next attempt writes anew.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +28,8 @@ from hearthline.schemas import (
     WHOLE,
     struct,
 )
-from hearthline.sources.keyed_table import batch_path, insert_if_absent, read_keyed
+from hearthline.sources.committed import BUCKET, CommittedTable, Commits, committed_once
+from hearthline.sources.keyed_table import BUCKETS, stage_absent
 from hearthline.sources.messages import MESSAGE, decode
 from hearthline.sources.tables import read_table, stamped
 from hearthline.streaming.gate import (
@@ -51,65 +52,71 @@ QUARANTINE = struct(
 )
 SILVER = struct(value=TEXT)
 BRONZE = T.StructType([*MESSAGE, T.StructField("ingest_date", T.DateType())])
+LAYERS = {
+    "bronze": BRONZE, "silver": SILVER, "quarantine": QUARANTINE, "clean": CERTIFICATE_FLUX,
+    "batch_log": BATCH_LOG, "audit_log": AUDIT_LOG,
+}
+_DIRECTORY = {"bronze": "ingest_date", "clean": BUCKET}
+
+
+#: Called after each layer of a batch is written, before the batch counts: (layer, batch id).
+OnLayer = Callable[[str, int], None]
 
 
 @dataclass(frozen=True)
 class EventLake:
-    """Locations of the pipeline's outputs below one root."""
+    """The pipeline's outputs below one root; only whole batches are read."""
 
     root: str
+    buckets: int = BUCKETS
 
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
     @property
-    def bronze(self) -> str:
-        return self._at("bronze")
-
-    @property
-    def silver(self) -> str:
-        return self._at("silver")
-
-    @property
-    def clean(self) -> str:
-        return self._at("clean")
-
-    @property
-    def quarantine(self) -> str:
-        return self._at("quarantine")
-
-    @property
-    def batch_log(self) -> str:
-        return self._at("batch_log")
-
-    @property
-    def audit_log(self) -> str:
-        return self._at("audit_log")
+    def commits(self) -> Commits:
+        return Commits(self._at("commits"))
 
     @property
     def checkpoint(self) -> str:
         return self._at("checkpoint")
 
+    def layer(self, name: str) -> CommittedTable:
+        return CommittedTable(self._at(name), name, self.commits)
+
+    def _read(self, spark: SparkSession, name: str) -> DataFrame:
+        return self.layer(name).read(spark, LAYERS[name])
+
     def read_bronze(self, spark: SparkSession) -> DataFrame:
         """Original payloads with their source position; the raw count is its count."""
-        return read_keyed(spark, self.bronze, BRONZE)
+        return self._read(spark, "bronze")
 
     def read_silver(self, spark: SparkSession) -> DataFrame:
         """Enriched events as JSON lines, before cleaning."""
-        return read_keyed(spark, self.silver, SILVER)
+        return self._read(spark, "silver")
 
     def read_clean(self, spark: SparkSession) -> DataFrame:
-        return read_keyed(spark, self.clean, CERTIFICATE_FLUX)
+        return self._read(spark, "clean")
 
     def read_quarantine(self, spark: SparkSession) -> DataFrame:
-        return read_keyed(spark, self.quarantine, QUARANTINE)
+        return self._read(spark, "quarantine")
 
     def read_batch_log(self, spark: SparkSession) -> DataFrame:
         """Per batch: events received, accepted after in-batch dedup, rows inserted."""
-        return read_keyed(spark, self.batch_log, BATCH_LOG)
+        return self._read(spark, "batch_log")
 
     def read_audit_log(self, spark: SparkSession) -> DataFrame:
-        return read_keyed(spark, self.audit_log, AUDIT_LOG)
+        return self._read(spark, "audit_log")
+
+    def compact(self, spark: SparkSession, min_parts: int = 8) -> dict[str, int]:
+        """Merges the small parts of every layer; batches may go on. Parts replaced by layer."""
+        return {
+            name: self.layer(name).compact(
+                spark, schema, min_parts, by=_DIRECTORY.get(name),
+                order="numero_dpe" if name == "clean" else None,
+            )
+            for name, schema in LAYERS.items()
+        }
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -123,6 +130,7 @@ def start(
     communes: Callable[[SparkSession], DataFrame],
     prices: Callable[[SparkSession], DataFrame],
     interval: str | None = "60 seconds",
+    on_layer: OnLayer | None = None,
 ) -> StreamingQuery:
     """Start the pipeline; without ``interval`` it stops once the source is drained.
 
@@ -133,7 +141,7 @@ def start(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        process_batch(batch, lake, communes(spark), prices(spark), query_id, batch_id)
+        process_batch(batch, lake, communes(spark), prices(spark), query_id, batch_id, on_layer)
 
     writer = messages.writeStream.foreachBatch(process).option(
         "checkpointLocation", lake.checkpoint
@@ -149,14 +157,31 @@ def process_batch(
     prices: DataFrame,
     query_id: str,
     batch_id: int,
+    on_layer: OnLayer | None = None,
 ) -> None:
+    """Writes all layers of a batch and commits them; a batch that was committed is left alone."""
     if batch.isEmpty():
         return
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    committed_once(
+        lake.commits, batch.sparkSession, query_id, batch_id,
+        lambda records: _staged(
+            batch, lake, records, communes, prices, query_id, batch_id, on_layer
+        ),
+    )
 
-    def at(path: str) -> str:
-        return batch_path(path, query_id, batch_id)
 
+def _staged(
+    batch: DataFrame,
+    lake: EventLake,
+    records: list[Row],
+    communes: DataFrame,
+    prices: DataFrame,
+    query_id: str,
+    batch_id: int,
+    on_layer: OnLayer | None,
+) -> list[tuple]:
+    """Writes the layers of a batch; returns the records that will make them count."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per code, so that no event is multiplied. Kept before the join: with an
     # aggregation directly below it Spark could not split a hot code.
     references = [
@@ -165,46 +190,45 @@ def process_batch(
     ]
     events = enrich(decode(batch), references[0])
     judged = gate_events(events, references[1]).persist(StorageLevel.MEMORY_AND_DISK)
+    staged: list[tuple] = []
+
+    def stage(name: str, rows: DataFrame) -> None:
+        layer = lake.layer(name)
+        if name == "clean":
+            columns = [*CLEAN_COLUMNS, "traite_le"]
+            staged.append(stage_absent(
+                rows, layer, records, "numero_dpe", ARRIVAL, query_id, batch_id, columns,
+                lake.buckets,
+            ))
+        else:
+            staged.append(layer.stage(rows, query_id, batch_id, by=_DIRECTORY.get(name)))
+        if on_layer:
+            on_layer(name, batch_id)
+
     try:
         # The messages as they came, before any join.
-        raw = batch.select(*MESSAGE.names, F.current_date().alias("ingest_date"))
-        # Static overwrite: a retry on a later day must drop the first attempt's partition.
-        raw.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "ingest_date"
-        ).parquet(at(lake.bronze))
-        silver = judged.select(json_row(*EVENT.names, PRICE).alias("value"))
-        silver.write.mode("overwrite").parquet(at(lake.silver))
+        stage("bronze", batch.select(*MESSAGE.names, F.current_date().alias("ingest_date")))
+        stage("silver", judged.select(json_row(*EVENT.names, PRICE).alias("value")))
         rejected = judged.where("reject_reason is not null")
-        rejected.select("value", *_SOURCE, "reject_reason").write.mode("overwrite").parquet(
-            at(lake.quarantine)
-        )
-
-        accepted = stamped(typed(judged.where("reject_reason is null")))
-        inserted = insert_if_absent(
-            accepted,
-            lake.clean,
-            "numero_dpe",
-            ARRIVAL,
-            query_id,
-            batch_id,
-            columns=[*CLEAN_COLUMNS, "traite_le"],
-        )
-        _write_log(judged, inserted, at(lake.batch_log))
+        stage("quarantine", rejected.select("value", *_SOURCE, "reject_reason"))
+        stage("clean", stamped(typed(judged.where("reject_reason is null"))))
+        _, added, *_ = staged[-1]
+        inserted = lake.layer("clean").read(batch.sparkSession, CERTIFICATE_FLUX, added)
+        stage("batch_log", _batch_counts(judged, inserted))
         rules = [quality.Rule(n, "events", p, "warning") for n, p in event_audit_rules()]
-        audit = quality.rule_counts({"events": judged}, rules)
-        audit.coalesce(1).write.mode("overwrite").parquet(at(lake.audit_log))
+        stage("audit_log", quality.rule_counts({"events": judged}, rules).coalesce(1))
     finally:
         judged.unpersist()
         for used in (*references, batch):
             used.unpersist()
+    return staged
 
 
-def _write_log(judged: DataFrame, inserted: DataFrame, path: str) -> None:
+def _batch_counts(judged: DataFrame, inserted: DataFrame) -> DataFrame:
     accepted_keys = F.when(F.col("reject_reason").isNull(), F.col("numero_dpe"))
     counts = judged.agg(
         F.count(F.lit(1)).alias("received"), F.count_distinct(accepted_keys).alias("clean")
     ).unionByName(
         inserted.agg(F.count(F.lit(1)).alias("inserted")), allowMissingColumns=True
     )
-    row = counts.agg(*[F.max(c).alias(c) for c in BATCH_LOG.names])
-    row.coalesce(1).write.mode("overwrite").parquet(path)
+    return counts.agg(*[F.max(c).alias(c) for c in BATCH_LOG.names]).coalesce(1)

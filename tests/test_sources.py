@@ -214,3 +214,75 @@ def test_rows_without_a_key_are_not_inserted(spark, tmp_path):
     for n in range(3):
         keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", n)
     assert [r["k"] for r in keyed_table.read_keyed(spark, path, batch.schema).collect()] == ["a"]
+
+
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, ord int, v string"
+    many = spark.createDataFrame([(f"key{i}", 1, "x") for i in range(200)], schema)
+    keyed_table.insert_if_absent(many, path, "k", ["ord"], "q", 0, buckets=8)
+    batch = spark.createDataFrame([("key7", 2, "y"), ("new", 2, "y")], schema)
+    touched = {r[0] for r in batch.select(keyed_table.bucket_of("k", 8)).collect()}
+    table = keyed_table.keyed_table(path)
+    parts = keyed_table.in_buckets(table.live(spark), sorted(touched))
+    assert len(table.live(spark)) == 8 and len(parts) == len(touched) < 3
+    read = {f.rsplit("/", 2)[1] for f in table.read(spark, many.schema, parts).inputFiles()}
+    assert read == {f"bucket={b}" for b in touched}
+    assert keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 1, buckets=8).count() == 1
+    with pytest.raises(ValueError, match="buckets"):
+        keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 2, buckets=2)
+
+
+def test_insert_reads_no_other_bucket(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k string, ord int, v string"
+    many = spark.createDataFrame([(f"key{i}", 1, "x") for i in range(200)], schema)
+    keyed_table.insert_if_absent(many, path, "k", ["ord"], "q", 0, buckets=8)
+    seen, plain = [], keyed_table.absent_rows
+
+    def watched(batch, stored, key, summary=None):
+        seen.append({f.rsplit("/", 2)[1] for f in stored.inputFiles()})
+        return plain(batch, stored, key, summary)
+
+    monkeypatch.setattr(keyed_table, "absent_rows", watched)
+    batch = spark.createDataFrame([("key7", 2, "y")], schema)
+    keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 1, buckets=8)
+    bucket = batch.select(keyed_table.bucket_of("k", 8)).first()[0]
+    assert seen == [{f"bucket={bucket}"}]
+
+
+def test_compaction_of_a_keyed_table_while_batches_go_on(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k string, ord int, v string"
+
+    def insert(n):
+        data = [(f"k{i}", 1, f"batch{n}") for i in range(n, n + 3)]
+        keyed_table.insert_if_absent(
+            spark.createDataFrame(data, schema), path, "k", ["ord"], "q", n, buckets=2
+        )
+
+    def content():
+        kept = keyed_table.read_keyed(spark, path, spark.createDataFrame([], schema).schema)
+        return rows(kept, "k", "v", "batch_id")
+
+    for n in range(4):
+        insert(n)
+    before = content()
+    assert keyed_table.compact(spark, path, spark.createDataFrame([], schema).schema, "k", 2) > 2
+    assert content() == before and len(keyed_table.keyed_table(path).live(spark)) == 2
+    insert(4)
+    insert(2)
+    assert [r[:2] for r in content()] == [r[:2] for r in before] + [("k6", "batch4")]
+
+
+def test_a_failed_insert_is_invisible(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k string, ord int, v string"
+    batch = spark.createDataFrame([("a", 1, "x")], schema)
+
+    def broken(self, spark, records):
+        raise OSError("no commit")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed_table.Commits, "add", broken)
+        with pytest.raises(OSError):
+            keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 0)
+    assert keyed_table.read_keyed(spark, path, batch.schema).count() == 0
+    assert keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 0).count() == 1
+    assert keyed_table.read_keyed(spark, path, batch.schema).count() == 1

@@ -199,3 +199,66 @@ def test_repeated_references_do_not_multiply_events(spark, tmp_path):
     process_batch(message_rows(spark, [payload()]), lake, codes, twice, "q", 0)
     assert lake.read_bronze(spark).count() == lake.read_silver(spark).count() == 1
     assert lake.read_batch_log(spark).first()["received"] == 1
+
+
+def test_a_batch_that_dies_is_invisible_until_it_is_done(spark, tmp_path, rows):
+    lake, batch = EventLake(str(tmp_path / "lake")), message_rows(spark, [payload(), "bad"])
+    layers = []
+
+    def die(layer, batch_id):
+        layers.append(layer)
+        if len(layers) in (1, 5):  # after the first layer, then after the clean table
+            raise RuntimeError("stop")
+
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            process_batch(batch, lake, communes(spark), prices(spark), "q", 0, die)
+        for read in (lake.read_bronze, lake.read_silver, lake.read_clean, lake.read_quarantine):
+            assert read(spark).count() == 0
+    process_batch(batch, lake, communes(spark), prices(spark), "q", 0, die)
+    assert layers == [
+        "bronze", "bronze", "silver", "quarantine", "clean",
+        "bronze", "silver", "quarantine", "clean", "batch_log", "audit_log",
+    ]
+    assert lake.read_bronze(spark).count() == 2 and lake.read_clean(spark).count() == 1
+    assert rows(lake.read_batch_log(spark), "received", "clean", "inserted") == [(2, 1, 1)]
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, tmp_path, rows):
+    lake = EventLake(str(tmp_path / "lake"), buckets=4)
+
+    def take(n):
+        batch = message_rows(spark, [payload(numero_dpe=f"n{n}"), payload(), "bad"], 3 * n)
+        process_batch(batch, lake, communes(spark), prices(spark), "q", n)
+
+    def files(layer):
+        parts = lake.layer(layer).live(spark)
+        return sum(len(list((tmp_path / "lake" / layer / p).rglob("*.parquet"))) for p in parts)
+
+    def content():
+        return [
+            rows(lake.read_bronze(spark), "offset", "batch_id", "ingest_date"),
+            rows(lake.read_silver(spark), "value", "batch_id"),
+            rows(lake.read_clean(spark).drop("traite_le")),
+            rows(lake.read_quarantine(spark), "offset", "reject_reason", "batch_id"),
+            rows(lake.read_batch_log(spark)),
+        ]
+
+    for n in range(5):
+        take(n)
+    before, bronze = content(), files("bronze")
+    replaced = lake.compact(spark, min_parts=2)
+    assert replaced["bronze"] == 4 and replaced["clean"] >= 2
+    assert content() == before
+    # Two runs of two batches each, and the fifth batch as it was.
+    assert len(lake.layer("bronze").live(spark)) == 3 and files("bronze") < bronze
+    assert len(lake.layer("clean").live(spark)) <= 4
+    older = lake.read_clean(spark)
+    take(5)
+    assert lake.read_clean(spark).count() == 6 and older.count() == 5
+    after = content()
+    assert lake.layer("bronze").remove_replaced(spark) == 4
+    assert content() == after
+    # A batch that was committed is not taken in again, whatever was merged meanwhile.
+    take(0)
+    assert content() == after
