@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import safe_ratio, state_label
-from hearthline.operators.ordering import with_previous
+from hearthline.operators.ordering import previous_in_time
 
 
 def row_count(df: DataFrame, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def counter_increase(
     samples: DataFrame, series: list[str], ts: str, value: str, name: str = "increase"
 ) -> DataFrame:
     """Growth since the previous sample of the series; after a reset it counts from 0."""
-    paired = with_previous(samples, series, [ts, value], {value: "_previous"})
+    paired = previous_in_time(samples, series, ts, [value], {value: "_previous"})
     current, previous = F.col(value), F.col("_previous")
     grown = F.when(previous.isNull(), F.lit(0)).when(current < previous, current)
     return paired.withColumn(name, grown.otherwise(current - previous)).drop("_previous")

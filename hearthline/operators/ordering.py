@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,68 @@ def with_previous(
     ).filter(F.col("_own") == F.col("_chunk")).drop("_own", "_chunk")
 
 
+def previous_in_time(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    ties: list[str],
+    columns: dict[str, str],
+    chunk: str = "day",
+) -> DataFrame:
+    """Append the preceding row's values per key in time: ``columns`` maps source to new name.
+
+    Rows are shuffled once, by key and ``chunk`` (a unit of ``date_trunc``), so a hot key spreads
+    over its days; choose a unit whose rows of one key fit a task. Only the first and the last
+    row of each chunk meet those of the key's other chunks. Rows of one instant are ordered by
+    ``ties``.
+    """
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties)
+    placed = df.withColumn("_chunk", F.date_trunc(chunk, ts)).withColumns({
+        "_nth": F.row_number().over(inside),
+        "_last": F.lead(F.lit(True)).over(inside).isNull(),
+        **{name: F.lag(c).over(inside) for c, name in columns.items()},
+    })
+    names = [*df.columns, *columns.values()]
+    edges = placed.where((F.col("_nth") == 1) | F.col("_last"))
+    across = Window.partitionBy(*keys).orderBy("_chunk", "_nth")
+    carried = edges.withColumns({n: F.lag(c).over(across) for c, n in columns.items()})
+    return placed.where("_nth > 1").select(*names).unionByName(
+        carried.where("_nth = 1").select(*names)
+    )
+
+
+def range_counts(
+    df: DataFrame, number: Column, value: Column, low: int, high: int, buckets: int
+) -> list[Row]:
+    """(b, n, lo, hi) of each equal range of ``number`` between two bounds, in order.
+
+    All rows count: those below ``low`` as range -1, those above ``high`` as the last one. ``lo``
+    and ``hi`` are the least and greatest ``value`` of a range. At most ``buckets`` + 2 rows.
+    """
+    width = max(1, -(-(high - low + 1) // buckets))
+    spot = F.when(number < low, F.lit(-1)).when(number > high, F.lit(buckets))
+    # Offsets from the lower bound stay within 64 bits where the bounds do not differ by more.
+    spot = spot.otherwise(F.floor((number - F.lit(low)) / F.lit(width)).cast("int"))
+    found = df.groupBy(spot.alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
+    )
+    return sorted(found.collect(), key=lambda r: r["b"])
+
+
+def entry_at(entries: list[Row], rank: int) -> tuple[int, int]:
+    """The entry that holds the row at ``rank``, counted from 0, and the rows before it."""
+    before = 0
+    for i, entry in enumerate(entries):
+        if rank < before + entry["n"]:
+            return i, before
+        before += entry["n"]
+    raise ValueError(f"there are only {before} rows")
+
+
+#: Accuracy of the quantile sketch and how far around the wanted place its bounds are taken.
+_SKETCH, _MARGIN = 1024, 0.005
+
+
 def exact_quantile(
     df: DataFrame, column: str, fraction: float, buckets: int = 4096
 ) -> float | None:
@@ -91,9 +153,10 @@ def exact_quantile(
     Other types, and decimals of more than 18 digits, are refused: cast them first.
 
     Built-in ``percentile`` keeps every distinct value of the group in one task. Here
-    values become scaled integers and each pass counts ``buckets`` equal ranges, then
-    narrows to the range holding the wanted rank, until few distinct values are left; a
-    64-bit domain needs at most six passes. The driver sees one entry per pass.
+    values become scaled integers. A first pass makes a mergeable sketch, which bounds the wanted
+    rank; a second one counts ``buckets`` equal ranges between the bounds and all rows beyond
+    them. While the range that holds the rank has several values, or lies beyond the bounds, it
+    becomes the new bounds for one more pass. The driver sees one row per range.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
@@ -103,49 +166,26 @@ def exact_quantile(
     else:
         raise ValueError(f"{column} is {kind.simpleString()}; cast it to a decimal of 18 digits")
     unscaled = (F.col(column).cast(T.DecimalType(38, scale)) * F.lit(10**scale)).cast("long")
-    values = (
-        df.select(unscaled.alias("v"))
-        .where("v is not null")
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .checkpoint()
-    )
-    total, low, high = values.agg(F.sum("n"), F.min("v"), F.max("v")).first()
-    if not total:
+    values = df.select(unscaled.alias("v")).where("v is not null")
+    sketch = F.kll_sketch_agg_bigint("v", F.lit(_SKETCH))
+    about = [F.lit(min(1.0, max(0.0, fraction + m))) for m in (-_MARGIN, _MARGIN)]
+    found = values.agg(F.count("v").alias("total"), sketch.alias("s")).select(
+        "total",
+        *[F.when(F.col("total") > 0, F.kll_sketch_get_quantile_bigint("s", at)).alias(name)
+          for name, at in zip(("low", "high"), about)],
+    ).first()
+    if not found["total"]:
         return None
-    position = fraction * (total - 1)
+    position = fraction * (found["total"] - 1)
     rank = math.floor(position)
-    below, up_to = _value_at(values, rank, low, high, buckets)
-    above = below
-    if position > rank and up_to == rank + 1:
-        above = values.where(F.col("v") > below).agg(F.min("v")).first()[0]
-    return (below + (above - below) * (position - rank)) / 10**scale
-
-
-def _value_at(
-    values: DataFrame, rank: int, low: int, high: int, buckets: int
-) -> tuple[int, int]:
-    """The value at ``rank``, counted from 0, and how many rows do not exceed it."""
-    skipped, distinct = 0, None
-    while distinct is None or distinct > buckets:
-        width = -(-(high - low + 1) // buckets)
-        bucket = F.expr(f"(v - {low}L) div {width}L")
-        counted = values.where(F.col("v").between(low, high)).groupBy(bucket.alias("b")).agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("distinct"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-        )
-        hit = _holding(counted, "b", rank - skipped)
-        skipped += hit["up_to"] - hit["n"]
-        low, high, distinct = hit["lo"], hit["hi"], hit["distinct"]
-    # At most ``buckets`` distinct values are left in the range.
-    hit = _holding(values.where(F.col("v").between(low, high)), "v", rank - skipped)
-    return hit["v"], skipped + hit["up_to"]
-
-
-def _holding(counted: DataFrame, order: str, rank: int):
-    """The first of a few counted entries whose running total passes ``rank``."""
-    running = F.sum("n").over(Window.orderBy(order))
-    passed = counted.withColumn("up_to", running).where(F.col("up_to") > rank)
-    return passed.orderBy(order).first()
+    low, high = found["low"], found["high"]
+    while True:
+        entries = range_counts(values, F.col("v"), F.col("v"), low, high, buckets)
+        i, before = entry_at(entries, rank)
+        low, high = entries[i]["lo"], entries[i]["hi"]
+        if low == high:
+            break
+    above = low
+    if position > rank and before + entries[i]["n"] == rank + 1:
+        above = entries[i + 1]["lo"]
+    return (low + (above - low) * (position - rank)) / 10**scale

@@ -9,16 +9,17 @@ adds batches, and ``compact`` may run beside it, one at a time.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.schemas import BIG, TEXT, struct
-from hearthline.sources.tables import read_table
 
 _LIST = T.ArrayType(TEXT)
 RECORD = struct(table=TEXT, added=_LIST, replaced=_LIST, query_id=TEXT, batch_id=BIG)
@@ -26,18 +27,20 @@ BATCH = struct(query_id=TEXT, batch_id=BIG)
 BUCKET = "bucket"
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories below ``path``."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(conf).listStatus(folder)
-    return [s.getPath().getName() for s in found if s.isDirectory()]
+def _path(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(conf).delete(folder, True)
+def _children(spark: SparkSession, name: str) -> list[str]:
+    """Names of the directories below ``name``."""
+    path = _path(spark, name)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(path) if s.isDirectory()]
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path = _path(spark, name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @dataclass(frozen=True)
@@ -48,17 +51,32 @@ class Commits:
 
     def load(self, spark: SparkSession) -> list[Row]:
         """All records: a few names per batch."""
-        return read_table(spark, self.path, RECORD).collect()
-
-    def add(self, spark: SparkSession, records: Iterable[tuple]) -> None:
+        try:
+            return spark.read.schema(RECORD).json(self.path).collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def add(self, spark: SparkSession, records: Iterable[Row]) -> None:
         """Makes the records count, all at once: they are one file, renamed into its place."""
-        spark.createDataFrame(list(records), RECORD).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        lines = "".join(json.dumps(r.asDict()) + "\n" for r in records)
+        name = uuid.uuid4().hex
+        hidden, place = _path(spark, f"{self.path}/_{name}"), _path(spark, f"{self.path}/{name}.json")
+        system = hidden.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = system.create(hidden)
+        try:
+            out.write(bytearray(lines, "utf-8"))
+        finally:
+            out.close()
+        if not system.rename(hidden, place):
+            raise OSError(f"no commit at {self.path}")
 
 
-def has_batch(records: list[Row], query_id: str, batch_id: int) -> bool:
-    return any(r["query_id"] == query_id and r["batch_id"] == batch_id for r in records)
+def _record(table: str, added: list, replaced: list, query_id: str, batch_id: int) -> Row:
+    return Row(
+        table=table, added=added, replaced=replaced, query_id=query_id, batch_id=batch_id
+    )
 
 
 @dataclass(frozen=True)
@@ -92,7 +110,7 @@ class CommittedTable:
 
     def stage(
         self, df: DataFrame, query_id: str, batch_id: int, by: str | None = None
-    ) -> tuple:
+    ) -> Row:
         """Writes a batch's rows and returns the record that would make them count.
 
         With ``by`` there is a directory per value of that column; those of ``bucket`` are parts
@@ -101,7 +119,7 @@ class CommittedTable:
         labelled = df.withColumns({
             "query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast(BIG),
         })
-        return (self.name, self._write(labelled, by), [], query_id, batch_id)
+        return _record(self.name, self._write(labelled, by), [], query_id, batch_id)
 
     def _write(self, df: DataFrame, by: str | None) -> list[str]:
         part = f"write={uuid.uuid4().hex}"
@@ -152,8 +170,9 @@ class CommittedTable:
             added = self._write(rows, by)
             # Under the first batch's name, so that the order of parts stays.
             first = next(r for r in self.commits.load(spark) if run[0] in r["added"])
-            record = (self.name, added, run, first["query_id"], first["batch_id"])
-            self.commits.add(spark, [record])
+            self.commits.add(
+                spark, [_record(self.name, added, run, first["query_id"], first["batch_id"])]
+            )
         return sum(map(len, runs))
 
     def remove_replaced(self, spark: SparkSession) -> int:
@@ -167,14 +186,15 @@ class CommittedTable:
 
 def committed_once(
     commits: Commits, spark: SparkSession, query_id: str, batch_id: int,
-    write: Callable[[list[Row]], Iterable[tuple]],
-) -> bool:
-    """Commits what ``write`` stages, unless this batch is committed already.
+    write: Callable[[list[Row]], list[Row]],
+) -> list[Row]:
+    """Commits what ``write`` stages, unless this batch is committed already; all records then.
 
     ``write`` gets the records so far and returns those of the batch. If it fails, nothing counts.
     """
     records = commits.load(spark)
-    if has_batch(records, query_id, batch_id):
-        return False
-    commits.add(spark, write(records))
-    return True
+    if any(r["query_id"] == query_id and r["batch_id"] == batch_id for r in records):
+        return records
+    added = write(records)
+    commits.add(spark, added)
+    return [*records, *added]

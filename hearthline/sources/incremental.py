@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.operators.ordering import entry_at, range_counts
 from hearthline.schemas import BIG, TEXT, struct
 from hearthline.sources.tables import read_table
 
@@ -61,15 +64,79 @@ def with_cursor(df: DataFrame, ts: str, key: str) -> DataFrame:
     })
 
 
+#: Lies before every character of a timestamp or key, so that joined texts sort like pairs.
+_MARK = "\x01"
+_DIGITS = 6
+
+
+def _joined() -> Column:
+    return F.concat("_received", F.lit(_MARK), "_key")
+
+
+def _after(df: DataFrame, cursor: tuple[str, str] | None) -> DataFrame:
+    if cursor is None:
+        return df
+    day, key = cursor
+    later = (F.col("_received") == day) & (F.col("_key") > key)
+    return df.where((F.col("_received") > day) | later)
+
+
+def _until(df: DataFrame, last: tuple[str, str]) -> DataFrame:
+    day, key = last
+    no_later = (F.col("_received") == day) & (F.col("_key") <= key)
+    return df.where((F.col("_received") < day) | no_later)
+
+
+def page_end(rows: DataFrame, limit: int, buckets: int = 4096) -> tuple[str, str] | None:
+    """(received, key) of the row at ``limit`` in their order; None where no more rows are left.
+
+    Texts are read as numbers, ``_DIGITS`` bytes behind what the least and the greatest have in
+    common. Each pass counts ``buckets`` equal ranges of these numbers and goes on with the one
+    that holds the wanted row, until it holds one text, or few enough rows to sort.
+    """
+    text = _joined()
+    found = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.min(text).alias("lo"), F.max(text).alias("hi")
+    ).first()
+    if found["n"] <= limit:
+        return None
+    entry, skipped = found, 0
+    while entry["lo"] != entry["hi"]:
+        rows = rows.where(text.between(F.lit(entry["lo"]), F.lit(entry["hi"])))
+        if entry["n"] <= PAGE_ROWS:
+            # Few rows, whatever the size of the table.
+            held = rows.orderBy("_received", "_key").limit(limit - skipped)
+            return tuple(held.agg(F.max(F.struct("_received", "_key"))).first()[0])
+        low, high = entry["lo"].encode(), entry["hi"].encode()
+        common = len(os.path.commonprefix([low, high]))
+
+        def number(value: bytes) -> int:
+            return int.from_bytes(value[common : common + _DIGITS].ljust(_DIGITS, b"\0"))
+
+        behind = F.substring(text.cast("binary"), common + 1, _DIGITS)
+        digits = F.conv(F.rpad(F.hex(behind), 2 * _DIGITS, "0"), 16, 10).cast("long")
+        entries = range_counts(rows, digits, text, number(low), number(high), buckets)
+        at, before = entry_at(entries, limit - 1 - skipped)
+        entry, skipped = entries[at], skipped + before
+    day, key = entry["lo"].split(_MARK, 1)
+    return day, key
+
+
 def next_page(
     df: DataFrame, ts: str, key: str, cursor: tuple[str, str] | None, limit: int = PAGE_ROWS
 ) -> DataFrame:
     """The next page after a stored cursor, in order of (timestamp, key), undated rows first.
 
-    However many rows share one day, each page goes on behind the last one. Rows that repeat
-    both values across a page's edge are one key and are not sent twice.
+    However many rows share one day, each page goes on behind the last one. A page ends with a
+    whole key: rows that repeat the last one's values come along. Pages of up to ``PAGE_ROWS`` rows
+    are the first ones of a sort; for larger ones the last row is found by counting, and the page
+    is a range filter on the table.
     """
-    return pull_after(with_cursor(df, ts, key), ["_received", "_key"], cursor, limit)
+    fresh = _after(with_cursor(df, ts, key), cursor)
+    if limit <= PAGE_ROWS:
+        return fresh.orderBy("_received", "_key").limit(limit)
+    last = page_end(fresh, limit)
+    return fresh if last is None else _until(fresh, last)
 
 
 def load_cursor(spark: SparkSession, path: str) -> tuple[str, str] | None:

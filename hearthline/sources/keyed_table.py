@@ -8,7 +8,6 @@ inserted again. There must be one writer per table.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,32 +74,32 @@ def compacted_copy(
     )
 
 
-def key_summary(batch: DataFrame, key: str) -> Row:
-    """Least and greatest key and the size of all keys, with their buckets where the batch has any."""
-    found = [
-        F.min(key).alias("least"), F.max(key).alias("greatest"),
+def key_summary(batch: DataFrame, key: str, buckets: int = BUCKETS) -> Row:
+    """Least and greatest key, the size of all keys and the buckets they lie in; one row."""
+    return batch.agg(
+        F.min(key).alias("least"),
+        F.max(key).alias("greatest"),
         F.coalesce(F.sum(row_bytes(key)), F.lit(0)).alias("n_bytes"),
-    ]
-    if BUCKET in batch.columns:
-        found.append(F.collect_set(BUCKET).alias("buckets"))
-    return batch.agg(*found).first()
+        F.collect_set(bucket_of(key, buckets)).alias("buckets"),
+    ).first()
 
 
 def absent_rows(
-    batch: DataFrame, stored: DataFrame, key: str, summary: Row | None = None
+    batch: DataFrame, stored: DataFrame, key: str, keys: DataFrame | None = None,
+    summary: Row | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
     The stored keys are reduced to those in the batch first: when the batch's keys are
     few enough to broadcast, the large table is scanned, one column of it, but not
     shuffled. Only row groups whose key range meets the batch's are read, which skips most
-    of a table whose keys grow with time or which is sorted by key. Pass a persisted
-    ``batch``, it is used several times.
+    of a table whose keys grow with time or which is sorted by key. ``keys`` are those of the
+    batch, where they are cheaper to compute than its rows.
     """
-    summary = summary or key_summary(batch, key)
+    keys = batch.select(key) if keys is None else keys
+    summary = summary or key_summary(keys, key)
     within = F.col(key).between(F.lit(summary["least"]), F.lit(summary["greatest"]))
     near = stored.select(key).where(within)
-    keys = batch.select(key)
     if summary["n_bytes"] <= KEY_SET_BYTES:
         keys = F.broadcast(keys)
     present = near.join(keys, key, "left_semi")
@@ -117,29 +116,26 @@ def stage_absent(
     batch_id: int,
     columns: list[str] | None = None,
     buckets: int = BUCKETS,
-) -> tuple:
-    """Writes the last row of each new key and returns the record that would make them count."""
+) -> Row:
+    """Writes the last row of each new key and returns the record that would make them count.
+
+    The batch is read up to three times: for the summary of its keys, for the keys, for the rows.
+    """
     spark = batch.sparkSession
     wanted = columns or batch.columns
     needed = batch.where(F.col(key).isNotNull()).select(*dict.fromkeys([*wanted, *order]))
     rows = keep_last(needed, [key], order).select(*wanted)
-    rows = rows.withColumn(BUCKET, bucket_of(key, buckets))
     live = table.live(spark, records)
-    beyond = [p for p in live if int(p.rsplit("=", 1)[1]) >= buckets]
-    if beyond:
+    if any(int(part.rsplit("=", 1)[1]) >= buckets for part in live):
         raise ValueError(f"the table has more than {buckets} buckets")
-    if not live:
-        return table.stage(rows, query_id, batch_id, by=BUCKET)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        summary = key_summary(rows, key)
-        stored = table.read(
-            spark, rows.drop(BUCKET).schema, in_buckets(live, summary["buckets"])
-        )
-        fresh = absent_rows(rows, stored, key, summary)
-        return table.stage(fresh, query_id, batch_id, by=BUCKET)
-    finally:
-        rows.unpersist()
+    if live:
+        keys = needed.select(key)
+        summary = key_summary(keys, key, buckets)
+        stored = table.read(spark, rows.schema, in_buckets(live, summary["buckets"]))
+        rows = absent_rows(rows, stored, key, keys, summary)
+    return table.stage(
+        rows.withColumn(BUCKET, bucket_of(key, buckets)), query_id, batch_id, by=BUCKET
+    )
 
 
 def insert_if_absent(
@@ -159,14 +155,14 @@ def insert_if_absent(
     """
     spark, table = batch.sparkSession, keyed_table(path)
 
-    def write(records: list[Row]) -> list[tuple]:
+    def write(records: list[Row]) -> list[Row]:
         return [
             stage_absent(
                 batch, table, records, key, order, query_id, batch_id, columns, buckets
             )
         ]
 
-    committed_once(table.commits, spark, query_id, batch_id, write)
+    records = committed_once(table.commits, spark, query_id, batch_id, write)
     schema = batch.select(*(columns or batch.columns)).schema
     own = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-    return table.read(spark, schema).where(own).select(*schema.names)
+    return table.read(spark, schema, table.live(spark, records)).where(own).select(*schema.names)

@@ -179,7 +179,7 @@ def _staged(
     query_id: str,
     batch_id: int,
     on_layer: OnLayer | None,
-) -> list[tuple]:
+) -> list[Row]:
     """Writes the layers of a batch; returns the records that will make them count."""
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per code, so that no event is multiplied. Kept before the join: with an
@@ -190,7 +190,7 @@ def _staged(
     ]
     events = enrich(decode(batch), references[0])
     judged = gate_events(events, references[1]).persist(StorageLevel.MEMORY_AND_DISK)
-    staged: list[tuple] = []
+    staged: list[Row] = []
 
     def stage(name: str, rows: DataFrame) -> None:
         layer = lake.layer(name)
@@ -212,8 +212,9 @@ def _staged(
         rejected = judged.where("reject_reason is not null")
         stage("quarantine", rejected.select("value", *_SOURCE, "reject_reason"))
         stage("clean", stamped(typed(judged.where("reject_reason is null"))))
-        _, added, *_ = staged[-1]
-        inserted = lake.layer("clean").read(batch.sparkSession, CERTIFICATE_FLUX, added)
+        inserted = lake.layer("clean").read(
+            batch.sparkSession, CERTIFICATE_FLUX, staged[-1]["added"]
+        )
         stage("batch_log", _batch_counts(judged, inserted))
         rules = [quality.Rule(n, "events", p, "warning") for n, p in event_audit_rules()]
         stage("audit_log", quality.rule_counts({"events": judged}, rules).coalesce(1))

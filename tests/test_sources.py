@@ -238,9 +238,9 @@ def test_insert_reads_no_other_bucket(spark, tmp_path, monkeypatch):
     keyed_table.insert_if_absent(many, path, "k", ["ord"], "q", 0, buckets=8)
     seen, plain = [], keyed_table.absent_rows
 
-    def watched(batch, stored, key, summary=None):
+    def watched(batch, stored, *more):
         seen.append({f.rsplit("/", 2)[1] for f in stored.inputFiles()})
-        return plain(batch, stored, key, summary)
+        return plain(batch, stored, *more)
 
     monkeypatch.setattr(keyed_table, "absent_rows", watched)
     batch = spark.createDataFrame([("key7", 2, "y")], schema)
@@ -286,3 +286,43 @@ def test_a_failed_insert_is_invisible(spark, tmp_path, monkeypatch):
     assert keyed_table.read_keyed(spark, path, batch.schema).count() == 0
     assert keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 0).count() == 1
     assert keyed_table.read_keyed(spark, path, batch.schema).count() == 1
+
+
+def test_page_end_by_range_counts_against_a_sort(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(incremental, "PAGE_ROWS", 3)
+    draw = random.Random(2)
+    data = [
+        (draw.choice([None, "", "2024-01-01", "2024-01-02", f"2024-02-{draw.randint(10, 28)}", "é"]),
+         draw.choice(["k", "hot", "", None, "ü", "中", f"n{draw.randint(0, 60)}", "n" * 40 + str(draw.random())]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(data, "day string, id string").repartition(4)
+    order = sorted((d or "", i or "") for d, i in data)
+    cursored = incremental.with_cursor(df, "day", "id")
+    for limit in (1, 5, 77, 200, 399):
+        for buckets in (4, 4096):
+            assert incremental.page_end(cursored, limit, buckets) == order[limit - 1]
+    assert incremental.page_end(cursored, 400) is None
+
+    cursor, seen = None, []
+    while True:
+        page = incremental.next_page(df, "day", "id", cursor, 50)
+        found = [(r["_received"], r["_key"]) for r in page.collect()]
+        if not found:
+            break
+        assert len(found) >= 50 or max(found) == order[-1]
+        seen += found
+        cursor = max(found)
+    assert sorted(seen) == order
+
+
+def test_a_large_page_is_a_range_filter(spark):
+    from conftest import plan_of
+
+    df = spark.range(5000).selectExpr("cast(id % 7 as string) as day", "cast(id as string) as id")
+    page = incremental.next_page(df, "day", "id", ("2", "5"), 2000)
+    plan = plan_of(page)
+    assert page.count() == 2000
+    assert not any(word in plan for word in ("TakeOrdered", "Sort", "Exchange", "Limit"))
