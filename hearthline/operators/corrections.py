@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions import holds
-from hearthline.operators.joins import broadcast_if_small
 
 
 def nullify_where(df: DataFrame, column: str, predicate: Column) -> DataFrame:
@@ -20,6 +19,28 @@ def nullify_where(df: DataFrame, column: str, predicate: Column) -> DataFrame:
     return df.withColumn(column, emptied)
 
 
+def marked_via_join(
+    df: DataFrame,
+    parent: DataFrame,
+    on: str,
+    predicate: Column,
+    parent_predicate: Column,
+    mark: str,
+) -> DataFrame:
+    """Append ``mark``: whether the row and its parent both meet their predicate.
+
+    Only doubtful rows meet the parent, so the others are neither shuffled nor looked up, and
+    nothing is computed before the result is asked for. The parent's keys are first reduced to
+    those of doubtful rows.
+    """
+    doubtful = df.where(predicate)
+    qualified = parent.where(parent_predicate).select(on)
+    hits = qualified.join(doubtful.select(on).distinct(), on, "left_semi").distinct()
+    judged = doubtful.join(hits.withColumn(mark, F.lit(True)), on, "left")
+    plain = df.where(~holds(predicate)).withColumn(mark, F.lit(False))
+    return plain.unionByName(judged.withColumn(mark, holds(F.col(mark))))
+
+
 def nullify_via_join(
     df: DataFrame,
     parent: DataFrame,
@@ -30,16 +51,10 @@ def nullify_via_join(
 ) -> DataFrame:
     """``column`` set to NULL where the row and its parent both meet their predicate.
 
-    Only the keys of doubtful rows are matched with the parent. The keys found are
-    checkpointed, then measured: while they are few enough to broadcast, the table itself is
-    not shuffled.
+    Needs two scans of ``df``; see ``marked_via_join``.
     """
-    doubtful = df.where(predicate).select(on).distinct()
-    qualified = parent.where(parent_predicate).select(on)
-    hits = qualified.join(doubtful, on, "left_semi").distinct().checkpoint()
-    marked = df.join(broadcast_if_small(hits).withColumn("_hit", F.lit(True)), on, "left")
-    corrected = nullify_where(marked, column, F.col("_hit") & predicate)
-    return corrected.select(*df.columns)
+    marked = marked_via_join(df, parent, on, predicate, parent_predicate, "_hit")
+    return nullify_where(marked, column, F.col("_hit")).select(*df.columns)
 
 
 @dataclass(frozen=True)
@@ -83,6 +98,30 @@ def apply_corrections(
     return result
 
 
+def corrected_beside(
+    tables: dict[str, DataFrame], table: str, decisions: list[Decision]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The table, with marks where a parent decides, and the corrected columns as expressions.
+
+    For computing something of both states in one pass. Every decision judges the values as they
+    were; two of them on one column both apply.
+    """
+    df, corrected = tables[table], {}
+    for i, decision in enumerate(decisions):
+        if decision.table != table or decision.action != "nullify":
+            continue
+        hit = holds(decision.predicate)
+        if decision.parent is not None:
+            parent, on, parent_predicate = decision.parent
+            df = marked_via_join(
+                df, tables[parent], on, decision.predicate, parent_predicate, f"_hit{i}"
+            )
+            hit = F.col(f"_hit{i}")
+        value = corrected.get(decision.column, F.col(decision.column))
+        corrected[decision.column] = F.when(~hit, value)
+    return df, corrected
+
+
 def decision_log(tables: dict[str, DataFrame], decisions: list[Decision]) -> DataFrame:
     """One row per decision with the number of rows it concerns before correction.
 

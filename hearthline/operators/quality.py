@@ -224,39 +224,56 @@ def foreign_key(column: str, parent: DataFrame, parent_key: str | None = None) -
 
 
 def expectation_counts(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """(constraint_name, n_violations): row constraints in one pass, the others per key."""
+    """(constraint_name, n_violations): row constraints in one pass, those of keys in another.
+
+    The key columns of one type are counted together: each row gives one entry per column, which
+    is counted before the shuffle, so that a hot key is one entry per task. All constraints of
+    these columns are read off that one grouping, joined once to each parent.
+    """
     results = []
     by_row = [e for e in expectations if e.by_row]
     if by_row:
-        found = F.array(
-            *[
-                F.struct(
-                    F.lit(e.name).alias("constraint_name"),
-                    F.count_if(e.broken()).alias("n_violations"),
-                )
-                for e in by_row
-            ]
-        )
-        results.append(df.agg(found.alias("_found")).select(F.inline("_found")))
+        results.append(_named_counts(df, {e.name: F.count_if(e.broken()) for e in by_row}))
+    kinds: dict[str, list[Expectation]] = {}
     for e in expectations:
-        if e.by_row:
-            continue
-        present = df.where(F.col(e.column).isNotNull())
-        keys = present.groupBy(F.col(e.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-        if e.kind == "unique":
-            violations = F.sum(F.col("_n") - 1)
-        else:
-            known = e.parent.select(F.col(e.parent_key).alias("_key"))
-            keys = keys.join(known, "_key", "left_anti")
-            violations = F.sum("_n")
-        results.append(
-            keys.agg(F.coalesce(violations, F.lit(0)).alias("n_violations")).select(
-                F.lit(e.name).alias("constraint_name"), "n_violations"
-            )
-        )
+        if not e.by_row:
+            kinds.setdefault(df.schema[e.column].dataType.simpleString(), []).append(e)
+    results += [_key_violations(df, own) for own in kinds.values()]
     return _union(results)
 
 
+def _named_counts(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    cells = [
+        F.struct(F.lit(name).alias("constraint_name"), n.alias("n_violations"))
+        for name, n in counts.items()
+    ]
+    return df.agg(F.array(*cells).alias("_found")).select(F.inline("_found"))
+
+
+def _key_violations(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """The same for unique and foreign_key constraints on columns of one type."""
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("_column"), F.col(c).alias("_key"))
+        for c in dict.fromkeys(e.column for e in expectations)
+    ])
+    keys = df.select(F.inline(entries)).where("_key is not null")
+    keys = keys.groupBy("_column", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    counts = {}
+    for i, e in enumerate(expectations):
+        own = F.col("_column") == e.column
+        broken = F.col("_n") - 1
+        if e.kind == "foreign_key":
+            known = e.parent.select(F.col(e.parent_key).alias("_key")).dropna().distinct()
+            # The column's name is part of the join, so the grouping's partitioning serves it.
+            marked = known.select(
+                F.lit(e.column).alias("_column"), "_key", F.lit(True).alias(f"_known{i}")
+            )
+            keys = keys.join(marked, ["_column", "_key"], "left")
+            own, broken = own & F.col(f"_known{i}").isNull(), F.col("_n")
+        counts[e.name] = F.coalesce(F.sum(F.when(own, broken)), F.lit(0))
+    return _named_counts(keys, counts)
+
+
 def with_reject_reason(
     df: DataFrame, expectations: list[Expectation], reason: str = "reject_reason"
 ) -> DataFrame:

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from hearthline.operators import corrections, quality
 from hearthline.operators.corrections import nullify_where
 from hearthline.plans import audit, verification
 from hearthline.schemas import CERTIFICATE, CERTIFICATE_FLUX, COMMUNE, TRANSACTION
@@ -145,3 +146,57 @@ def test_table_counts_and_busiest_communes(tables, rows):
 def test_threshold_from_a_quantile(tables):
     p50, bound = audit.unit_price_threshold(tables["transaction_dvf"], 0.5, 2.0)
     assert p50 == pytest.approx(2000.0) and bound == pytest.approx(4000.0)
+
+
+def test_paired_audit_equals_two_audits_in_the_scans_of_one(spark, tables, rows, tmp_path):
+    from conftest import plan_of
+
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    paired = audit.before_and_after(stored)
+    apart = quality.audit_diff(
+        audit.audit(stored), audit.audit(audit.corrected(stored)),
+        ["dimension", "table_name", "metric"],
+    )
+    assert paired.columns == apart.columns
+    assert rows(paired) == rows(apart)
+
+    def scans(df, table):
+        plan = plan_of(df)
+        return sum(1 for line in plan.splitlines() if "Location" in line and f"/{table}]" in line)
+
+    for table, more in (("transaction_dvf", 0), ("diagnostic_dpe", 1)):
+        assert scans(paired, table) == scans(audit.audit(stored), table) + more
+    # Doubtful events meet their certificates; the others do not.
+    assert scans(paired, "diagnostic_dpe_flux") <= scans(audit.audit(stored), "diagnostic_dpe_flux") + 2
+
+
+def test_correction_by_parent_starts_no_job_and_leaves_most_rows_unshuffled(spark, tmp_path, rows):
+    from conftest import plan_of
+    from pyspark.sql import functions as F
+
+    child = spark.range(1000).selectExpr("id % 50 as k", "cast(id as int) as v").unionByName(
+        spark.createDataFrame([(None, 998), (7, None)], "k long, v int")
+    )
+    child.write.parquet(str(tmp_path / "child"))
+    parent = spark.createDataFrame([(k % 40, k % 3) for k in range(60)], "k long, kind int")
+    child = spark.read.parquet(str(tmp_path / "child"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("none", "none")
+    fixed = corrections.nullify_via_join(
+        child, parent, "k", "v", F.col("v") > 990, F.col("kind") == 1
+    )
+    assert not tracker.getJobIdsForGroup("none")
+    kinds = {}
+    for k in range(60):
+        kinds.setdefault(k % 40, set()).add(k % 3)
+    want = [
+        (r["k"], None if (r["v"] or 0) > 990 and 1 in kinds.get(r["k"], ()) else r["v"])
+        for r in child.collect()
+    ]
+    assert rows(fixed) == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
+    plan = plan_of(fixed)
+    assert "Union" in plan and plan.count("GreaterThan(v,990)") >= 2
+    assert "Checkpoint" not in plan

@@ -124,3 +124,24 @@ def test_audit_diff_keeps_metrics_of_one_side(spark, rows):
 def test_reason_counts(spark, rows):
     df = spark.createDataFrame([("r",), ("r",), (None,)], "reject_reason string")
     assert rows(q.reason_counts(df)) == [("accepted", 1), ("r", 2)]
+
+
+def test_key_constraints_of_a_table_share_one_shuffle(spark, rows):
+    from conftest import plan_of
+
+    data = [("a", "x", 1), ("a", "y", 1), ("b", None, 2), (None, "x", 2), ("c", "x", None)]
+    df = spark.createDataFrame(data, "k string, p string, n int").repartition(2)
+    parents = spark.createDataFrame([("x",), ("x",), (None,), ("b",)], "p string")
+    numbers = spark.createDataFrame([(1,)], "n int")
+    declared = [
+        q.unique("k"), q.foreign_key("k", parents, "p"), q.unique("p"),
+        q.foreign_key("p", parents), q.foreign_key("n", numbers), q.unique("n"),
+        q.not_null("k"),
+    ]
+    found = q.expectation_counts(df, declared)
+    assert rows(found) == sorted([
+        ("foreign_key(k)", 3), ("foreign_key(n)", 2), ("foreign_key(p)", 1), ("not_null(k)", 1),
+        ("unique(k)", 1), ("unique(n)", 2), ("unique(p)", 2),
+    ])
+    plan = plan_of(q.expectation_counts(df, declared[:4]))
+    assert plan.count("Arguments: hashpartitioning(_column") == 1
