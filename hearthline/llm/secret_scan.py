@@ -46,6 +46,9 @@ RATE = 0.05
 #: Upper ends of the length bands.
 BANDS = (24, 32, 48, 64, 128)
 BINS = 300
+#: Matches that are placed together.
+_SLICE_BITS = 6
+_SLICE = 1 << _SLICE_BITS
 
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -70,6 +73,36 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def _before(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each whole number what those before it are joined to, 0 for the first one.
+
+    In two levels: slices are joined first, then the values of each slice, so that no step copies
+    all results so far.
+    """
+    zero = F.lit(0)
+
+    def of_slices(all_values: Column) -> Column:
+        done = F.aggregate(
+            F.sequence(zero, F.shiftright(F.size(all_values), _SLICE_BITS)),
+            F.struct(zero.alias("at"), F.array().cast("array<int>").alias("list")),
+            lambda d, j: F.struct(
+                join(d["at"], F.aggregate(
+                    F.slice(all_values, F.shiftleft(j, _SLICE_BITS) + 1, _SLICE), zero, join
+                )).alias("at"),
+                F.concat(d["list"], F.array(d["at"])).alias("list"),
+            ),
+            lambda d: d["list"],
+        )
+        return _let(done, lambda slices: F.transform(all_values, lambda _, i: F.aggregate(
+            F.slice(
+                all_values, i - i.bitwiseAND(F.lit(_SLICE - 1)) + 1, i.bitwiseAND(F.lit(_SLICE - 1))
+            ),
+            F.get(slices, F.shiftright(i, _SLICE_BITS)), join,
+        )))
+
+    return _let(values, of_slices)
+
+
 def _spans(text: Column, pattern: str, group: int = 0) -> Column:
     """(start, end, matched text of ``group``) of every match, leftmost without overlap."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -78,19 +111,19 @@ def _spans(text: Column, pattern: str, group: int = 0) -> Column:
     steps = F.arrays_zip(
         gaps.alias("gap"), F.transform(whole, F.length).alias("size"), taken.alias("taken")
     )
+
+    def placed(matches: Column) -> Column:
+        ends_before = _before(
+            F.transform(matches, lambda s: s["gap"] + s["size"]), lambda a, b: a + b
+        )
+        return F.zip_with(matches, ends_before, lambda s, at: F.struct(
+            (at + s["gap"]).alias("start"), (at + s["gap"] + s["size"]).alias("end"),
+            s["taken"].alias("taken"),
+        ))
+
     empty = F.array().cast("array<struct<start: int, end: int, taken: string>>")
-    found = F.aggregate(
-        # One gap more than matches: the last one ends the text.
-        F.filter(steps, lambda s: s["size"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda done, s: _let(done["at"] + s["gap"], lambda start: F.struct(
-            (start + s["size"]).alias("at"),
-            F.concat(done["spans"], F.array(F.struct(
-                start.alias("start"), (start + s["size"]).alias("end"), s["taken"].alias("taken"),
-            ))).alias("spans"),
-        )),
-        lambda done: done["spans"],
-    )
+    # One gap more than matches: the last one ends the text.
+    found = _let(F.filter(steps, lambda s: s["size"].isNotNull()), placed)
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -272,28 +305,52 @@ def secret_spans(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
 
 def masked(text: Column, spans: Column, mask: str) -> Column:
-    """``text`` with every stretch that spans cover replaced by ``mask``; spans are sorted."""
-    done = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda a, s: F.when(
-            s["start"] >= a["at"],
-            F.struct(s["end"].alias("at"), F.concat(a["parts"], F.array(
-                F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)
-            )).alias("parts")),
-        ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["parts"].alias("parts"))),
-    )
-    rest = _let(done, lambda a: F.concat(
-        F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))
+    """``text`` with every stretch that spans cover replaced by ``mask``; spans are sorted.
+
+    The text is cut slice by slice of the spans, so that a cut is not counted off from the
+    beginning of the whole text.
+    """
+
+    def cut(part: Column) -> Column:
+        base = F.get(part, F.lit(0))["at"]
+        reach = F.array_max(F.transform(part, lambda s: s["start"])) - base
+
+        def pieces(stretch: Column) -> Column:
+            return F.array_join(F.transform(part, lambda s: F.when(
+                s["start"] >= s["at"], F.concat(
+                    F.substring(stretch, s["at"] - base + 1, s["start"] - s["at"]), F.lit(mask)
+                ),
+            ).otherwise(F.lit(""))), "")
+
+        return _let(F.substring(text, base + 1, F.greatest(reach, F.lit(0))), pieces)
+
+    def whole(held: Column) -> Column:
+        slices = F.transform(
+            F.sequence(F.lit(0), F.shiftright(F.size(held) - 1, _SLICE_BITS)),
+            lambda j: _let(F.slice(held, F.shiftleft(j, _SLICE_BITS) + 1, _SLICE), cut),
+        )
+        end = F.array_max(F.transform(held, lambda s: s["end"]))
+        return F.concat(F.array_join(slices, ""), F.substring(text, end + 1, F.length(text)))
+
+    # ``at``: where the spans before this one end.
+    ends = _before(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    with_ends = F.zip_with(spans, ends, lambda s, at: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), at.alias("at")
     ))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(with_ends, whole)).otherwise(text)
 
 
 def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with all secrets masked and, where the text changed, ``n_chars`` counted anew."""
-    least = least_bins(docs.select(random_runs(whole_text()).alias("runs")), rate)
+    """``docs`` with all secrets masked and, where the text changed, ``n_chars`` counted anew.
+
+    Texts are scanned once; the rows are written with what was found, until all runs are counted.
+    """
     text = F.coalesce(F.col("row.text"), F.lit(""))
-    rows = packed(docs).select("row", base_spans(text).alias("base"), random_runs(text).alias("runs"))
+    rows = written(
+        packed(docs).select("row", base_spans(text).alias("base"), random_runs(text).alias("runs")),
+        "scanned",
+    )
+    least = least_bins(rows.select("runs"), rate)
     found = rows.select(
         "row",
         F.array_sort(F.concat("base", declared_runs(F.col("runs"), least))).alias("spans"),

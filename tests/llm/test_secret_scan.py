@@ -1,3 +1,5 @@
+import time
+import math
 import hashlib
 import random
 import re
@@ -150,3 +152,98 @@ def test_few_short_keys_among_many_ordinary_runs(spark):
     # An ordered run is no key, however even its symbols are.
     ordered = spark.createDataFrame([("0123456789abcdefghijklmnopqrstuv",)], "text string")
     assert ordered.select(F.inline(scan.random_runs(F.col("text")))).first()["bin"] == 0
+
+
+def test_many_matches_in_one_text_take_little_time(spark):
+    draw = random.Random(3)
+    hexes = ["".join(draw.choice("0123456789abcdef") for _ in range(18)) for _ in range(8000)]
+    text = "é" + " ".join(hexes) + " end"
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string").cache()
+    spans = scan.base_spans(scan.whole_text())
+    frame.select(F.size(spans)).collect()
+    began = time.perf_counter()
+    found = frame.select(spans.alias("s")).first()["s"]
+    masked = frame.select(scan.masked(F.col("text"), spans, "#").alias("m")).first()["m"]
+    assert time.perf_counter() - began < 8
+    want = [(m.start(), 2, m.end()) for m in re.finditer(scan.HEX, text)]
+    assert [tuple(s) for s in found] == want
+    assert masked == re.sub(scan.HEX, "#", text)
+
+
+def test_masking_of_overlapping_spans_against_brute_force(spark):
+    draw = random.Random(9)
+    rows = []
+    for k in range(60):
+        text = "".join(draw.choice("abé😀 z") for _ in range(draw.randint(0, 400)))
+        n = draw.choice((0, 1, 5, 63, 64, 65, 130)) if text else 0
+        spans = sorted(
+            (a, 0, min(len(text), a + draw.randint(1, 9)))
+            for a in (draw.randrange(len(text)) for _ in range(n))
+        )
+        rows.append((k, text, spans))
+    frame = spark.createDataFrame(
+        rows, "k int, text string, spans array<struct<start: int, kind: int, end: int>>"
+    )
+    for r in frame.select("*", scan.masked(F.col("text"), F.col("spans"), "#").alias("m")).collect():
+        at, want = 0, ""
+        for start, _, end in r["spans"]:
+            if start >= at:
+                want += r["text"][at:start] + "#"
+            at = max(at, end)
+        assert r["m"] == want + r["text"][at:]
+
+
+def brute_p(run):
+    """Encoding and p-value of a run by the tests' definitions, in plain floating point."""
+    shape = run.replace("-", "+").replace("_", "/")
+    kinds = [bool(re.search(c, shape)) for c in ("[0-9]", "[a-z]", "[A-Z]")]
+    if sum(kinds) < 2:
+        return None
+    name, symbols = next(
+        (n, s) for n, pattern, s in scan.ENCODINGS if re.fullmatch(pattern, shape)
+    )
+    text = shape.lower() if name in ("hex", "base36") else shape
+    n, k = len(shape), len(symbols)
+    normal = lambda z: 0.5 * math.erfc(-z / 2**0.5)
+    # Chi-squared statistic of uniformity against its distribution for ordinary text.
+    chi = sum((text.count(c) - n / k) ** 2 / (n / k) for c in symbols)
+    excess = n * (k * (0.1 if name == "hex" else 0.0667) - 1)
+    uniform = normal((chi - (k - 1 + excess)) / (2 * (k - 1) + 4 * excess) ** 0.5)
+    group = lambda c: "d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o"
+    changes = sum(group(a) != group(b) for a, b in zip(shape, shape[1:]))
+    share = (1 - sum(
+        (sum(group(c) == g for c in symbols) / k) ** 2 for g in "dluo"
+    )) / 2
+    runs = normal(((n - 1) * share - changes) / ((n - 1) * share * (1 - share)) ** 0.5)
+    values = [symbols.index(c) + 1 for c in text]
+    mean = sum(values) / n
+    spread = max(sum((v - mean) ** 2 for v in values), 1e-9)
+    r = abs(sum((a - mean) * (b - mean) for a, b in zip(values, values[1:])) / spread)
+    if math.atanh(min(r, 0.999999)) * (n - 3) ** 0.5 > 2.576:
+        return 1.0
+    product = max(uniform * runs, 1e-40)
+    fisher = product * (1 - math.log(product))
+    return max(uniform, runs, fisher) if max(uniform, runs) > 0.025 else fisher
+
+
+def test_p_values_against_their_definition(spark):
+    draw = random.Random(12)
+    alphabets = [s for _, _, s in scan.ENCODINGS] + ["abcdefghijklmnopqrstuvwxyzE3", "0123456789a", "aB-_9"]
+    rows = [
+        ("".join(draw.choice(alphabet) for _ in range(draw.randint(20, 90))),)
+        for alphabet in alphabets for _ in range(60)
+    ] + [("camelCaseNameOfSomethingLong2",), ("a/path/to/Some/File/In/Folders",), ("ABABABABABABABABABAB01",)]
+    found = spark.createDataFrame(rows, "run string").select(
+        "run", scan._evidence(F.col("run")).alias("e")
+    )
+    for r in found.collect():
+        p = brute_p(r["run"])
+        if p is None:
+            assert r["e"] is None
+            continue
+        level = min(scan.BINS, math.floor(-10 * math.log10(max(p, 1e-30))))
+        # The normal distribution is approximated to 1.5e-7: exact bins only where p is above it.
+        if p > 1e-5:
+            near = abs(-10 * math.log10(p) - round(-10 * math.log10(p))) < 0.07
+            assert abs(r["e"]["bin"] - level) <= int(near), (r["run"], p)
+        assert r["e"]["band"] == sum(len(r["run"]) >= end for end in scan.BANDS)
