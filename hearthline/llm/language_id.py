@@ -6,10 +6,14 @@ are counted over all learning documents. The vectors of each language in a bound
 clustered into a few centroids (spherical k-means from farthest-first seeds); a text has the
 language of the centroid with the largest cosine.
 
-Rejection is by distance: a text whose cosine is below what the sample's texts of its length
-reach, less a margin, is rejected, and so is one without a letter. Length classes are powers of
-two of the number of n-grams; a shorter class never has a higher bound than a longer one, and a
-class with few texts in the sample rejects nothing.
+Rejection is by distance: a text is rejected if its cosine lies more than ``margin`` below a low
+quantile of what the learning documents of its language and length reach, and so is one without a
+letter. These cosines are counted in bins over all learning documents, and at least the lowest of
+a class is passed over, so that a few odd texts do not set a bound. Length classes are powers of
+two of the number of n-grams; a shorter class never has a higher bound than a longer one. A class
+with few learning documents takes the bound of the next shorter one that has enough, a language
+without any that of all languages together; classes below all of these reject nothing. A centroid
+that stands for few texts of its language is left out.
 
 ``sample`` bounds the learning documents that are clustered, for all languages together; which
 ones are taken depends on a hash of their id. Everything else covers all documents.
@@ -21,6 +25,7 @@ repeated rows are judged each; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +33,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import packed, table, unpacked
+from hearthline.llm.common import in_portions, packed, table, unpacked
 
 DIMENSIONS = 4096
 CENTROIDS = 4
 SAMPLE = 3000
-MARGIN = 0.2
-#: Sample texts that a length class needs before texts of its length can be rejected.
+#: Texts are rejected this far below the quantile of the cosines of their class.
+MARGIN, QUANTILE = 0.15, 0.005
+#: Learning documents that a class needs for a bound of its own.
 WELL_KNOWN = 30
+#: Equal ranges in which cosines are counted.
+BINS = 400
 UNDETERMINED = "und"
 _LETTERS = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 _ROWS = 256
+#: Share of a language's sample that a centroid needs.
+_COMMON = 0.01
 
 
 def gram_counts(text: str) -> np.ndarray | None:
@@ -75,43 +85,49 @@ def clustered(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
             for c in range(len(centers))
         ])
         centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
-    return centers
+    # Seeds far from everything are often odd texts, which should not stand for a language.
+    sizes = np.bincount((points @ centers.T).argmax(axis=1), minlength=len(centers))
+    common = sizes >= max(2, _COMMON * len(points))
+    return centers[common] if common.any() else centers
 
 
 def length_class(counts: np.ndarray) -> int:
     return int(counts.sum()).bit_length()
 
 
+def _bounds(by_size: dict[int, np.ndarray], margin: float) -> list[tuple[int, float]]:
+    """(length class, least cosine) of the classes with enough texts, in ascending order."""
+    bounds, highest = [], 1.0
+    for size in sorted(by_size, reverse=True):
+        held = by_size[size]
+        if held.sum() >= WELL_KNOWN:
+            passed = max(1, int(QUANTILE * held.sum()))
+            at = int(np.searchsorted(np.cumsum(held), passed, "right"))
+            highest = min(highest, at / BINS - margin)
+            bounds.insert(0, (size, highest))
+    return bounds
+
+
 class CentroidModel:
-    """Centroids of each language and the least cosine of each length class."""
+    """Centroids of each language and the least cosine of each of its length classes."""
 
-    def __init__(self, idf: np.ndarray, languages: list[str], counts: list[np.ndarray], k: int,
-                 margin: float):
+    def __init__(self, idf: np.ndarray, languages: list[str], counts: list[np.ndarray], k: int):
         self.idf = idf.astype(np.float32)
         self.languages = sorted(set(languages))
-        self.least: dict[int, float] = {}
+        #: By language, the classes with a bound in ascending order.
+        self.least: list[list[tuple[int, float]]] = [[] for _ in self.languages]
+        self.least_of_all: list[tuple[int, float]] = []
         if not languages:
             return
         points, labels = vectors(counts, self.idf), np.array(languages)
         centers = [clustered(points[labels == name], k) for name in self.languages]
         self.centers = np.concatenate(centers).astype(np.float32)
         self.owner = np.repeat(np.arange(len(centers)), [len(c) for c in centers])
-        best = (points @ self.centers.T).max(axis=1)
-        classes: dict[int, list[float]] = {}
-        for count, cosine in zip(counts, best):
-            classes.setdefault(length_class(count), []).append(float(cosine))
-        for size, cosines in classes.items():
-            if len(cosines) >= WELL_KNOWN:
-                self.least[size] = min(cosines) - margin
-        bound = 1.0
-        for size in sorted(self.least, reverse=True):
-            bound = self.least[size] = min(bound, self.least[size])
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
-        """(language, cosine, rejected) of each text."""
-        results = [(UNDETERMINED, 0.0, True)] * len(texts)
+    def nearest(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int]]:
+        """(place, language, cosine, length class) of each text with a letter."""
         if not self.languages:
-            return results
+            return
         for first in range(0, len(texts), _ROWS):
             counts = [gram_counts(t or "") for t in texts[first : first + _ROWS]]
             known = [i for i, c in enumerate(counts) if c is not None]
@@ -120,10 +136,34 @@ class CentroidModel:
             cosines = vectors([counts[i] for i in known], self.idf) @ self.centers.T
             for i, row in zip(known, cosines):
                 at = int(row.argmax())
-                score = min(1.0, max(0.0, float(row[at])))
-                size = min(length_class(counts[i]), max(self.least, default=0))
-                least = self.least.get(size, 0.0)
-                results[first + i] = self.languages[self.owner[at]], score, score < least
+                cosine = min(1.0, max(0.0, float(row[at])))
+                yield first + i, int(self.owner[at]), cosine, length_class(counts[i])
+
+    def set_bounds(self, counted: dict[tuple[int, int], np.ndarray], margin: float) -> None:
+        """Bounds from the counts of cosines in bins, by language and length class."""
+        every: dict[int, np.ndarray] = {}
+        for (_, size), held in counted.items():
+            every[size] = every.get(size, 0) + held
+        self.least = [
+            _bounds({z: held for (g, z), held in counted.items() if g == language}, margin)
+            for language in range(len(self.languages))
+        ]
+        self.least_of_all = _bounds(every, margin)
+
+    def bound(self, language: int, size: int) -> float:
+        """The bound of the longest class up to ``size``; of all languages if its own has none."""
+        for bounds in (self.least[language], self.least_of_all):
+            known = [bound for z, bound in bounds if z <= size]
+            if known:
+                return known[-1]
+        return 0.0
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """(language, cosine, rejected) of each text."""
+        results = [(UNDETERMINED, 0.0, True)] * len(texts)
+        for place, language, cosine, size in self.nearest(texts):
+            rejected = cosine < self.bound(language, size)
+            results[place] = self.languages[language], cosine, rejected
         return results
 
 
@@ -170,9 +210,31 @@ def fit(docs: DataFrame, k: int = CENTROIDS, sample: int = SAMPLE, margin: float
         learning.where(taken).orderBy("doc_id", "text").select("lang", features("text").alias("counts"))
         .where("counts IS NOT NULL").toPandas()
     )
-    return CentroidModel(
-        idf, rows["lang"].tolist(), [np.frombuffer(c, "<u4") for c in rows["counts"]], k, margin
+    model = CentroidModel(
+        idf, rows["lang"].tolist(), [np.frombuffer(c, "<u4") for c in rows["counts"]], k
     )
+    model.set_bounds(cosine_counts(learning, model), margin)
+    return model
+
+
+def cosine_counts(learning: DataFrame, model: CentroidModel) -> dict[tuple[int, int], np.ndarray]:
+    """Cosines of all learning documents in bins, by predicted language and length class."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter[tuple[int, int, int]] = Counter()
+        for batch in batches:
+            for _, language, cosine, size in model.nearest(batch["text"].tolist()):
+                counts[language, size, min(BINS - 1, int(cosine * BINS))] += 1
+        rows = [(*key, n) for key, n in counts.items()]
+        yield from in_portions(pd.DataFrame(rows, columns=["language", "size", "bin", "n"]))
+
+    found = learning.select("text").mapInPandas(count, "language int, size int, bin int, n long")
+    held: dict[tuple[int, int], np.ndarray] = {}
+    # At most one row per language, length class and bin.
+    for r in found.groupBy("language", "size", "bin").agg(F.sum("n").alias("n")).collect():
+        bins = held.setdefault((r["language"], r["size"]), np.zeros(BINS, np.int64))
+        bins[r["bin"]] = r["n"]
+    return held
 
 
 def predicted(model: CentroidModel, text: Column) -> Column:
