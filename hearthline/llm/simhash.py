@@ -44,6 +44,8 @@ SEED = 42
 FANOUT = 8
 #: Fingerprints that may share a topmost node on average before blocks are cut finer.
 TOP_NODE = 64
+#: Fingerprints of one front from which it is split by further bits.
+LARGE_FRONT = 20_000
 #: Pairs of query and node that a task compares at once.
 PORTION = 1 << 20
 _HASHES = 1 << 16
@@ -100,7 +102,10 @@ def with_gray_rank(df: DataFrame, word: str) -> DataFrame:
 
 
 def gray_orders(nodes: DataFrame, distance: int, blocks: list[tuple[int, int]]) -> DataFrame:
-    """(turn, front, rank, fp): each fingerprint once per choice of the blocks that agree."""
+    """(turn, front, below, laid, rank, fp): each fingerprint once per choice of agreeing blocks.
+
+    ``laid`` has the agreeing blocks first and ``below`` other bits behind them.
+    """
     orders = []
     for turn, chosen in enumerate(combinations(range(len(blocks)), len(blocks) - distance)):
         rest = [b for b in range(len(blocks)) if b not in chosen]
@@ -116,7 +121,7 @@ def gray_orders(nodes: DataFrame, distance: int, blocks: list[tuple[int, int]])
         ))
     laid = nodes.select("fp", F.explode(F.array(*orders)).alias("order")).select(
         "order.turn", F.expr("shiftrightunsigned(order.rank, order.below)").alias("front"),
-        "order.rank", "fp",
+        "order.below", F.col("order.rank").alias("laid"), "order.rank", "fp",
     )
     return with_gray_rank(laid, "rank")
 
@@ -210,10 +215,13 @@ class GrayIndex:
 
 
 def local_links(
-    turns: np.ndarray, fronts: np.ndarray, words: np.ndarray, distance: int
+    turns: np.ndarray, fronts: np.ndarray, words: np.ndarray, distance: int,
+    parts: np.ndarray | None = None,
 ) -> pd.DataFrame:
     """Links (a, b) of each fingerprint to the first one of its class, of whole groups only."""
     new = np.r_[True, (turns[1:] != turns[:-1]) | (fronts[1:] != fronts[:-1])]
+    if parts is not None:
+        new[1:] |= parts[1:] != parts[:-1]
     starts = np.flatnonzero(new)
     sizes = np.diff(np.r_[starts, len(words)])
     inside = np.repeat(sizes > 1, sizes)
@@ -226,36 +234,67 @@ def local_links(
     return pd.DataFrame({"a": signed[linked], "b": signed[root[linked]]})
 
 
-def links(nodes: DataFrame, distance: int, fingerprints: int) -> DataFrame:
+_GROUP = ["turn", "front", "part"]
+
+
+def split_fronts(ordered: DataFrame, distance: int, limit: int) -> DataFrame:
+    """Appends ``part``: 0, or for fronts of more than ``limit`` fingerprints one of several.
+
+    The bits below a front are cut into ``distance`` + 1 blocks. Two fingerprints of the front that
+    are near agree on one of them, so each goes once to the part of every block's value, and no
+    link is lost. Fronts that are larger still hold near copies of each other above all, which the
+    index joins node by node.
+    """
+    large = ordered.groupBy("turn", "front").agg(
+        F.count(F.lit(1)).alias("_n")
+    ).where(F.col("_n") > limit).select("turn", "front", F.lit(True).alias("_large"))
+    parts = []
+    for k in range(distance + 1):
+        low = F.floor(F.col("below") * k / (distance + 1)).cast("int")
+        high = F.floor(F.col("below") * (k + 1) / (distance + 1)).cast("int")
+        value = F.call_function("shiftrightunsigned", F.col("laid"), low)
+        ones = F.call_function("shiftleft", F.lit(1).cast("long"), high - low) - 1
+        parts.append(value.bitwiseAND(ones) * (distance + 1) + k + 1)
+    marked = ordered.join(large, ["turn", "front"], "left")
+    whole = F.array(F.lit(0).cast("long"))
+    return marked.withColumn(
+        "part", F.explode(F.when(F.col("_large"), F.array(*parts)).otherwise(whole))
+    )
+
+
+def links(
+    nodes: DataFrame, distance: int, fingerprints: int, limit: int | None = None
+) -> DataFrame:
     """Links between different fingerprints, enough to join every class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        held: list[np.ndarray] = []
+
+        def linked(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+            turns, fronts, parts, words = rows.T.copy()
+            found = local_links(turns, fronts, words.view(np.uint64), distance, parts)
+            yield from in_portions(found)
+
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            turns, fronts = rows["turn"].to_numpy(), rows["front"].to_numpy()
-            # The last group may go on in the next batch.
-            tail = (turns == turns[-1]) & (fronts == fronts[-1])
-            whole = len(rows) - int(tail.sum())
-            rest = rows.iloc[whole:]
-            if whole:
-                words = rows["fp"].to_numpy()[:whole].view(np.uint64)
-                yield from in_portions(
-                    local_links(turns[:whole], fronts[:whole], words, distance)
-                )
-        if rest is not None:
-            words = rest["fp"].to_numpy().copy().view(np.uint64)
-            yield from in_portions(
-                local_links(rest["turn"].to_numpy(), rest["front"].to_numpy(), words, distance)
-            )
-
-    ordered = (
-        gray_orders(nodes, distance, bit_blocks(fingerprints, distance))
-        .repartition("turn", "front")
-        .sortWithinPartitions("turn", "front", "rank")
-        .select("turn", "front", "fp")
+            rows = batch[[*_GROUP, "fp"]].to_numpy(np.int64)
+            same = (rows[:, :3] == rows[-1, :3]).all(axis=1)
+            whole = len(rows) - int(same.sum())
+            # The last group may go on in the next batch; it is joined once, when it has ended.
+            if whole or (held and (held[-1][-1, :3] != rows[0, :3]).any()):
+                yield from linked(np.concatenate([*held, rows[:whole]]))
+                held = []
+            held.append(rows[whole:])
+        if held:
+            yield from linked(np.concatenate(held))
+
+    ordered = gray_orders(nodes, distance, bit_blocks(fingerprints, distance))
+    grouped = (
+        split_fronts(ordered, distance, LARGE_FRONT if limit is None else limit)
+        .repartition(*_GROUP)
+        .sortWithinPartitions(*_GROUP, "rank")
+        .select(*_GROUP, "fp")
     )
-    return ordered.mapInPandas(run, "a long, b long")
+    return grouped.mapInPandas(run, "a long, b long")
 
 
 def stars(found: DataFrame) -> DataFrame:

@@ -87,6 +87,36 @@ def test_every_cut_of_the_bits_finds_the_same_classes(spark):
         assert sorted(map(sorted, classes.values())) == sorted(map(sorted, expected.values()))
 
 
+def classes_of(words, stars):
+    root = {int(w): int(w) for w in words.view(np.int64)} | {r["a"]: r["b"] for r in stars}
+    classes = {}
+    for w, r in root.items():
+        classes.setdefault(r, set()).add(w)
+    return sorted(map(sorted, classes.values()))
+
+
+def test_a_split_front_gives_the_same_classes(spark):
+    draw = np.random.default_rng(7)
+    # Half of the fingerprints agree on their upper bits, so they meet in one front.
+    crowded = near_words(draw, 500, 60, 3, 40) & np.uint64((1 << 40) - 1)
+    words = np.unique(np.r_[crowded, near_words(draw, 200, 30, 3, 64)])
+    frame = spark.createDataFrame([(int(w),) for w in words.view(np.int64)], "fp long")
+    whole = simhash.stars(simhash.links(frame, 3, len(words))).collect()
+    ordered = simhash.gray_orders(frame, 3, simhash.bit_blocks(len(words), 3))
+    for limit, least in ((150, 3), (20, 10)):
+        split = simhash.split_fronts(ordered, 3, limit).where("part > 0")
+        parts = split.groupBy("turn", "front").agg(F.count_distinct("part").alias("n"))
+        assert parts.agg(F.max("n")).first()[0] >= least
+        assert split.groupBy("turn", "front").count().where(f"count <= {limit}").count() == 0
+        found = simhash.stars(simhash.links(frame, 3, len(words), limit)).collect()
+        assert classes_of(words, found) == classes_of(words, whole)
+    first = brute_classes(words)
+    want = {}
+    for i, f in enumerate(first):
+        want.setdefault(f, set()).add(int(words.view(np.int64)[i]))
+    assert classes_of(words, whole) == sorted(map(sorted, want.values()))
+
+
 def test_stars_of_long_chains(spark):
     edges = spark.range(200).select(
         (F.col("id") * 7 % 200).alias("a"), ((F.col("id") + 1) * 7 % 200).alias("b")
