@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.bindings import tables as t
 from hearthline.bindings.registry import instant, query
@@ -68,22 +72,26 @@ def _landed_pages(spark, sf_dir):
     )
 
 
+def _read_landed(spark, sf_dir):
+    """The pages as written to files and read again."""
+    path = scratch_path(spark, "pages")
+    _landed_pages(spark, sf_dir).write.json(path)
+    return pages.read_pages(spark, path, LIVE_EVENT_COLUMNS, one_page_per_file=False)
+
+
 @query("flatten_pages", t.over(["diagnostic_dpe_flux"], """
 SELECT numero_dpe, code_insee AS code_insee_ban,
        CAST(date_reception_dpe AS VARCHAR) AS date_reception_dpe, etiquette_dpe, etiquette_ges,
        coalesce(CAST(surface_habitable_logement AS VARCHAR), '') AS surface_habitable_logement
 FROM diagnostic_dpe_flux"""))
 def flatten_pages(spark, sf_dir):
-    path = scratch_path(spark, "pages")
-    _landed_pages(spark, sf_dir).write.json(path)
-    landed = pages.read_pages(spark, path, LIVE_EVENT_COLUMNS, one_page_per_file=False)
-    return pages.flatten_pages(landed, LIVE_EVENT_COLUMNS)
+    return pages.flatten_pages(_read_landed(spark, sf_dir), LIVE_EVENT_COLUMNS)
 
 
 @query("page_completeness", """
 SELECT COUNT(*) AS announced, COUNT(*) AS landed, TRUE AS complete FROM events""")
 def page_completeness(spark, sf_dir):
-    return pages.page_completeness(_landed_pages(spark, sf_dir))
+    return pages.page_completeness(_read_landed(spark, sf_dir))
 
 
 @query("incremental_pull", f"""
@@ -213,6 +221,49 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_table(spark, table, TRANSACTION)
 
 
+_STRICT = {
+    "l_linenumber": "int", "l_shipdate": "date", "l_returnflag": "int", "l_comment": "smallint",
+    "l_linestatus": "double",
+}
+
+
+@query("strict_cast_aborts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE {holds}) AS BIGINT) AS n_loaded, "
+    f"{str(not whole).upper()} AS aborted FROM lineitem"
+    for c, whole, holds in (
+        ("l_linenumber", True, "TRUE"), ("l_shipdate", True, "TRUE"),
+        ("l_returnflag", False, "FALSE"), ("l_comment", False, "FALSE"),
+        ("l_linestatus", False, "FALSE"),
+    )))
+def strict_cast_aborts(spark, sf_dir):
+    """Loads with declared types: a column with one bad value stops its load, which stores nothing.
+
+    ``l_comment`` stands for a column of numbers with a single text among them.
+    """
+    lines = t.read(spark, sf_dir, "lineitem")
+    worst = lines.agg(F.max(F.struct("l_orderkey", "l_linenumber"))).first()[0]
+    bad = (F.col("l_orderkey") == worst[0]) & (F.col("l_linenumber") == worst[1])
+    number = F.col("l_linenumber").cast("string")
+    lines = lines.withColumn("l_comment", F.when(bad, F.lit("n/a")).otherwise(number))
+    results = []
+    for column, kind in _STRICT.items():
+        path, schema = scratch_path(spark, "strict"), T.StructType.fromDDL(f"{column} {kind}")
+        tables.create_table(spark, path, schema)
+        text = lines.select(F.col(column).cast("string").alias(column))
+        aborted = False
+        try:
+            tables.append(tables.cast_to(text, schema), path)
+        except Exception as error:
+            if "CAST_INVALID_INPUT" not in str(error):
+                raise
+            aborted = True
+        stored = tables.read_table(spark, path, schema)
+        results.append(stored.agg(F.count(F.lit(1)).alias("n_loaded")).select(
+            F.lit(column).alias("column_name"), "n_loaded", F.lit(aborted).alias("aborted")
+        ))
+    return reduce(DataFrame.unionByName, results)
+
+
 @query("csv_text_gzip", t.over(["diagnostic_dpe"], """
 SELECT numero_dpe, code_insee,
        CAST(surface_habitable_logement AS VARCHAR) AS surface_habitable_logement,

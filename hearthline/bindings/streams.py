@@ -10,6 +10,7 @@ from hearthline.bindings import tables as t
 from hearthline.bindings.registry import query
 from hearthline.operators.metrics import clean_raw_ratio
 from hearthline.operators.quality import reason_counts
+from hearthline.plans import audit
 from hearthline.session import scratch_path
 from hearthline.sources.messages import decode, replay
 from hearthline.streaming import EventLake, gate_events, start
@@ -31,7 +32,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate_events(enriched, t.communes(spark, sf_dir))
 
 
-def _run(spark: SparkSession, sf_dir: str) -> EventLake:
+def _run(spark: SparkSession, sf_dir: str, **options) -> EventLake:
     """Stream all events through the pipeline into a new lake and wait until done.
 
     The pattern matches that one name, whether it is a file or a folder of files.
@@ -39,11 +40,13 @@ def _run(spark: SparkSession, sf_dir: str) -> EventLake:
     schema = t.read(spark, sf_dir, "events").schema
     events = replay(spark, f"{sf_dir}/events.parque[t]", schema, max_files=1000)
     lake = EventLake(scratch_path(spark, "lake"))
-    _drain(t.as_messages(events), lake, sf_dir)
+    _drain(t.as_messages(events), lake, sf_dir, **options)
     return lake
 
 
-def _drain(messages: DataFrame, lake: EventLake, sf_dir: str, on_layer=None) -> None:
+def _drain(
+    messages: DataFrame, lake: EventLake, sf_dir: str, on_layer=None, rules=None, interval=None
+) -> None:
     """Run the stream until its source is empty; every reference row is given twice."""
     running = start(
         messages,
@@ -54,9 +57,13 @@ def _drain(messages: DataFrame, lake: EventLake, sf_dir: str, on_layer=None) ->
                 "nb_mutations": F.lit(1).cast("bigint"), "prix_m2_moyen": F.lit(1.0),
             })
         ),
-        interval=None,
+        interval=interval,
         on_layer=on_layer,
+        rules=rules,
     )
+    if interval:
+        running.processAllAvailable()
+        running.stop()
     running.awaitTermination()
 
 
@@ -234,3 +241,44 @@ def stream_audit(spark, sf_dir):
     """Audit rules counted inside the stream, summed over the batches."""
     log = _run(spark, sf_dir).read_audit_log(spark)
     return log.groupBy("rule").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _acting_rules():
+    """The audit's rules, two of them with an action."""
+    return audit.with_action(
+        audit.event_rules(), area_above_400="nullify", missing_price="quarantine"
+    )
+
+
+_ACTED = """
+SELECT event_id, numero_dpe, _partition, CASE WHEN _number <= 400 THEN _number END AS area,
+       coalesce(reject_reason, CASE WHEN prix_m2_commune_reference IS NULL THEN 'missing_price' END)
+         AS reason
+FROM gated"""
+
+
+@query("stream_rule_quarantine", t.over(["gated"], """
+SELECT event_id AS "offset", reason AS reject_reason FROM acted WHERE reason IS NOT NULL""",
+    acted=_ACTED))
+def stream_rule_quarantine(spark, sf_dir):
+    """What the gate and the rules with the action quarantine hold back."""
+    lake = _run(spark, sf_dir, rules=_acting_rules())
+    return lake.read_quarantine(spark).select("offset", "reject_reason")
+
+
+@query("stream_rule_nullified", t.over(["gated"], """
+SELECT numero_dpe, CAST(area AS DOUBLE) AS surface_habitable_logement
+FROM (SELECT *, row_number() OVER (PARTITION BY numero_dpe
+                                   ORDER BY _partition DESC, event_id DESC) AS nth
+      FROM acted WHERE reason IS NULL) a
+WHERE nth = 1""", acted=_ACTED))
+def stream_rule_nullified(spark, sf_dir):
+    """The clean table when a rule with the action nullify empties oversized areas."""
+    lake = _run(spark, sf_dir, rules=_acting_rules())
+    return lake.read_clean(spark).select("numero_dpe", "surface_habitable_logement")
+
+
+@query("stream_on_trigger", t.over(["gated"], _CLEAN))
+def stream_on_trigger(spark, sf_dir):
+    """The clean table of a stream that runs on a processing-time trigger until it has caught up."""
+    return _run(spark, sf_dir, interval="1 second").read_clean(spark).select(*CLEAN_COLUMNS)

@@ -103,13 +103,18 @@ def inconsistent_groups(df: DataFrame, key: str, column: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """A row predicate that marks a suspicious row."""
+    """A row predicate that marks a suspicious row.
+
+    ``action`` is what is done about it: ``keep`` only counts, ``nullify`` empties ``column``,
+    ``quarantine`` holds the row back.
+    """
 
     name: str
     table: str
     predicate: Column
     severity: str = "error"
     action: str = "keep"
+    column: str | None = None
 
 
 def rule_counts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,24 @@ def validity_rules() -> list[quality.Rule]:
     ]
 
 
+def event_rules() -> list[quality.Rule]:
+    """The rules of the stream table, for its rows as well as for events on their way there.
+
+    By default they only count; ``with_action`` gives one of them something to do.
+    """
+    area, price = "surface_habitable_logement", "prix_m2_commune_reference"
+    return [
+        quality.Rule("missing_area", FLUX, F.col(area).isNull(), "warning", column=area),
+        quality.Rule("missing_price", FLUX, F.col(price).isNull(), "warning", column=price),
+        quality.Rule(f"area_above_{MAX_FLAT_AREA}", FLUX, oversized(), "warning", column=area),
+    ]
+
+
+def with_action(rules: list[quality.Rule], **actions: str) -> list[quality.Rule]:
+    """The rules, those named with another action."""
+    return [replace(r, action=actions.get(r.name, r.action)) for r in rules]
+
+
 def completeness(tables: dict[str, DataFrame]) -> DataFrame:
     profiled = {n: (tables[n], cols) for n, cols in PROFILED_COLUMNS.items() if n in tables}
     return quality.null_profile(profiled).orderBy("table_name", "column_name")

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from hearthline.functions import (
     first_reason,
     has_key,
+    holds,
     in_domain,
     lenient_date,
     lenient_decimal,
     overflows,
 )
 from hearthline.operators.joins import lookup
+from hearthline.operators.quality import Rule
 from hearthline.schemas import (
     CERTIFICATE_FLUX,
     ENERGY_LABELS,
     EVENT_ORIGINS,
-    MAX_FLAT_AREA,
 )
 
 PRICE = "prix_m2_commune_reference"
@@ -88,11 +89,32 @@ def typed(accepted: DataFrame) -> DataFrame:
     })
 
 
-def event_audit_rules() -> list[tuple[str, Column]]:
-    """Audit checks counted on every batch; they report and hold nothing back."""
-    area = lenient_decimal("surface_habitable_logement", 38, 10)
-    return [
-        ("missing_area", area.isNull()),
-        ("missing_price", F.col(PRICE).isNull()),
-        (f"area_above_{MAX_FLAT_AREA}", area > MAX_FLAT_AREA),
-    ]
+_AREA = "surface_habitable_logement"
+
+
+def as_audited(events: DataFrame) -> DataFrame:
+    """Events with the area as a number, as the rules of the stored table read it.
+
+    Wider than the stored column, so that a value that will not fit is still seen by a rule.
+    """
+    return events.withColumn(_AREA, lenient_decimal(_AREA, 38, 10))
+
+
+def apply_rules(judged: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Does what the rules' actions say: ``quarantine`` names the reason, ``nullify`` empties.
+
+    A reason found before stays. All rules judge the event as it came.
+    """
+    marks = {f"_rule{i}": holds(r.predicate) for i, r in enumerate(rules)}
+    seen = as_audited(judged.withColumn("_area", F.col(_AREA))).withColumns(marks)
+    acted = seen.withColumn(_AREA, F.col("_area"))
+    for mark, rule in zip(marks, rules):
+        hit = F.col(mark)
+        if rule.action == "quarantine":
+            reason = F.coalesce("reject_reason", F.when(hit, F.lit(rule.name)))
+            acted = acted.withColumn("reject_reason", reason)
+        elif rule.action == "nullify":
+            acted = acted.withColumn(rule.column, F.when(~hit, F.col(rule.column)))
+        elif rule.action != "keep":
+            raise ValueError(f"unknown action {rule.action!r}")
+    return acted.select(*judged.columns)

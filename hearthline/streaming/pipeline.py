@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions import json_row
 from hearthline.operators import quality
+from hearthline.plans.audit import event_rules
 from hearthline.schemas import (
     BIG,
     CERTIFICATE_FLUX,
@@ -35,8 +36,9 @@ from hearthline.sources.tables import read_table, stamped
 from hearthline.streaming.gate import (
     CLEAN_COLUMNS,
     PRICE,
+    apply_rules,
+    as_audited,
     enrich,
-    event_audit_rules,
     gate_events,
     known_codes,
     one_price_each,
@@ -131,9 +133,13 @@ def start(
     prices: Callable[[SparkSession], DataFrame],
     interval: str | None = "60 seconds",
     on_layer: OnLayer | None = None,
+    rules: list[quality.Rule] | None = None,
 ) -> StreamingQuery:
     """Start the pipeline; without ``interval`` it stops once the source is drained.
 
+    ``rules`` are counted on every batch and their actions applied to it, those of the audit
+    (``audit.event_rules``) unless others are given.
+
     ``communes`` and ``prices`` are read anew for each batch, so a refreshed reference
     takes effect without a restart.
     """
@@ -141,7 +147,9 @@ def start(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        process_batch(batch, lake, communes(spark), prices(spark), query_id, batch_id, on_layer)
+        process_batch(
+            batch, lake, communes(spark), prices(spark), query_id, batch_id, on_layer, rules
+        )
 
     writer = messages.writeStream.foreachBatch(process).option(
         "checkpointLocation", lake.checkpoint
@@ -158,6 +166,7 @@ def process_batch(
     query_id: str,
     batch_id: int,
     on_layer: OnLayer | None = None,
+    rules: list[quality.Rule] | None = None,
 ) -> None:
     """Writes all layers of a batch and commits them; a batch that was committed is left alone."""
     if batch.isEmpty():
@@ -165,7 +174,8 @@ def process_batch(
     committed_once(
         lake.commits, batch.sparkSession, query_id, batch_id,
         lambda records: _staged(
-            batch, lake, records, communes, prices, query_id, batch_id, on_layer
+            batch, lake, records, communes, prices, query_id, batch_id, on_layer,
+            event_rules() if rules is None else rules,
         ),
     )
 
@@ -179,6 +189,7 @@ def _staged(
     query_id: str,
     batch_id: int,
     on_layer: OnLayer | None,
+    rules: list[quality.Rule],
 ) -> list[Row]:
     """Writes the layers of a batch; returns the records that will make them count."""
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -189,7 +200,9 @@ def _staged(
         for reduced in (one_price_each(prices), known_codes(communes))
     ]
     events = enrich(decode(batch), references[0])
+    acting = any(rule.action != "keep" for rule in rules)
     judged = gate_events(events, references[1]).persist(StorageLevel.MEMORY_AND_DISK)
+    acted = apply_rules(judged, rules) if acting else judged
     staged: list[Row] = []
 
     def stage(name: str, rows: DataFrame) -> None:
@@ -209,15 +222,16 @@ def _staged(
         # The messages as they came, before any join.
         stage("bronze", batch.select(*MESSAGE.names, F.current_date().alias("ingest_date")))
         stage("silver", judged.select(json_row(*EVENT.names, PRICE).alias("value")))
-        rejected = judged.where("reject_reason is not null")
+        rejected = acted.where("reject_reason is not null")
         stage("quarantine", rejected.select("value", *_SOURCE, "reject_reason"))
-        stage("clean", stamped(typed(judged.where("reject_reason is null"))))
+        stage("clean", stamped(typed(acted.where("reject_reason is null"))))
         inserted = lake.layer("clean").read(
             batch.sparkSession, CERTIFICATE_FLUX, staged[-1]["added"]
         )
-        stage("batch_log", _batch_counts(judged, inserted))
-        rules = [quality.Rule(n, "events", p, "warning") for n, p in event_audit_rules()]
-        stage("audit_log", quality.rule_counts({"events": judged}, rules).coalesce(1))
+        stage("batch_log", _batch_counts(acted, inserted))
+        if rules:
+            seen = dict.fromkeys((r.table for r in rules), as_audited(judged))
+            stage("audit_log", quality.rule_counts(seen, rules).coalesce(1))
     finally:
         judged.unpersist()
         for used in (*references, batch):

@@ -262,3 +262,48 @@ def test_compaction_keeps_rows_and_merges_files(spark, tmp_path, rows):
     # A batch that was committed is not taken in again, whatever was merged meanwhile.
     take(0)
     assert content() == after
+
+
+def test_rules_act_on_the_batch(spark, tmp_path, rows):
+    from hearthline.plans import audit
+
+    lake = EventLake(str(tmp_path / "lake"))
+    batch = message_rows(spark, [
+        payload(numero_dpe="big", surface_habitable_logement="900"),
+        payload(numero_dpe="none", surface_habitable_logement=""),
+        payload(numero_dpe="free", code_insee="44143"), payload(numero_dpe="huge", surface_habitable_logement="1e9"),
+        payload(numero_dpe="ok"),
+    ])
+    rules = audit.with_action(audit.event_rules(), area_above_400="nullify", missing_price="quarantine")
+    process_batch(batch, lake, communes(spark), prices(spark), "q", 0, rules=rules)
+    area = F.col("surface_habitable_logement").cast("double")
+    assert rows(lake.read_clean(spark), "numero_dpe", area) == [
+        ("big", None), ("none", None), ("ok", 64.3),
+    ]
+    # The gate's own reasons come first.
+    assert rows(lake.read_quarantine(spark), "offset", "reject_reason") == [
+        (2, "missing_price"), (3, "area_too_large"),
+    ]
+    assert rows(lake.read_audit_log(spark), "rule", "action", "n_rows") == [
+        ("area_above_400", "nullify", 2), ("missing_area", "keep", 1), ("missing_price", "quarantine", 1),
+    ]
+    assert rows(lake.read_batch_log(spark), "received", "clean", "inserted") == [(5, 3, 3)]
+    with pytest.raises(ValueError, match="unknown action"):
+        odd = audit.with_action(audit.event_rules(), missing_area="delete")
+        process_batch(batch, lake, communes(spark), prices(spark), "q", 1, rules=odd)
+
+
+def test_two_runs_of_a_processing_time_trigger(spark, tmp_path, rows):
+    source, lake = str(tmp_path / "in"), EventLake(str(tmp_path / "lake"))
+    add(spark, source, [payload()], 0)
+    running = start(
+        file_messages(spark, source, max_files=1), lake, communes, prices, interval="1 second"
+    )
+    try:
+        running.processAllAvailable()
+        add(spark, source, [payload(numero_dpe="n2")], 1)
+        running.processAllAvailable()
+        assert running.isActive
+    finally:
+        running.stop()
+    assert rows(lake.read_batch_log(spark), "batch_id", "received") == [(0, 1), (1, 1)]
