@@ -3,12 +3,15 @@
 The text view is a logistic regression on hashed byte bigrams and trigrams of the raw text. The
 metadata view is one on what a page record tells without its words: language, source, length and
 layout numbers (shares of letters, capitals, digits, marks and line ends, mean word and line
-length, repeated words and lines). Both start from the labelled sample. In each round both
-views score all unlabelled documents; either one labels the ``exchanged`` texts that it is surest
-of, in the classes' proportion, and hands them to the other view, which is fitted anew. Copies
-(equal text, language and source) are one text. Each view is then calibrated on labelled rows that
-neither was fitted on (Platt), and the calibrated log odds are added, less the prior that both
-contain.
+length, repeated words and lines). Both start from the labelled sample and are calibrated on
+labelled rows that neither was fitted on (Platt). In each round both views score all unlabelled
+documents; either one labels up to ``exchanged`` texts that it is sure of, in the classes'
+proportion, and hands them to the other view, which is fitted anew. Copies (equal text, language
+and source) are one text. To be of use to the taker, the texts come in equal parts from bands of
+the taker's own score, the giver's surest of each band first; and the giver's score has to differ
+from the mere share of the class, so a view that tells nothing of a label hands nothing over. A
+round that raises the loss on the calibration rows is undone, and the label exchanges no more. The
+calibrated log odds of both views are added, less the prior that both contain.
 
 Every label column is learned in the same way: ``quality`` and ``toxic``.
 
@@ -30,7 +33,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import in_portions, table, whole_text
@@ -44,7 +47,10 @@ ROUNDS, EXCHANGED = 4, 150
 #: Giver and taker of labels: the text view is 0, the metadata view 1.
 EXCHANGES = (0, 1), (1, 0)
 TARGETS = ("quality", "toxic")
-_SAFE = 0.9
+#: A giver's score that is sure enough, and how far its log odds have to be from the prior's.
+_SAFE, _TELLING = 0.9, 1.0
+#: Ends of the bands of the taker's score.
+BANDS = (0.1, 0.35, 0.65, 0.9)
 #: Learning rate and penalty of the text view and of the metadata view.
 _FITTING = (0.5, 1e-5), (0.05, 1e-3)
 
@@ -143,6 +149,11 @@ class Lessons:
         """Rows of the view ``taker`` with the labels that the other view gave them."""
         self.given[taker].append((rows, pseudo))
 
+    def take_back(self) -> None:
+        """Undoes the last exchange of both views."""
+        for parts in self.given:
+            parts.pop()
+
     def of(self, view: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows of a view with their labels; one copy is made."""
         parts = self.given[view]
@@ -178,12 +189,16 @@ class CoTrained:
         # By view: the unlabelled rows that it was not given yet.
         free = [np.arange(len(others[0])) for _ in others]
         for _ in range(rounds if self.models else 0):
-            odds = self.view_odds(*others)
+            odds = self.calibrated(*others)
             for giver, taker in EXCHANGES:
-                rows, pseudo = surest(odds[giver][free[taker]], self.wanted(exchanged))
+                rows, pseudo = surest(
+                    odds[giver][free[taker]], odds[taker][free[taker]], self.prior_odds(),
+                    self.wanted(exchanged),
+                )
                 lessons.give(taker, others[taker][free[taker][rows]], pseudo)
                 free[taker] = np.delete(free[taker], rows)
-            self.learn(lessons)
+            if not self.improve(lessons):
+                break
 
     @classmethod
     def taught(cls, lessons: Lessons) -> CoTrained:
@@ -209,6 +224,32 @@ class CoTrained:
         odds = self.view_odds(*(view[held] for view in lessons.views))
         self.scales = [_platt(o, labels[held]) for o in odds]
 
+    def improve(self, lessons: Lessons) -> bool:
+        """Learns from what was given last; undone if the loss on the calibration rows rises."""
+        before, loss = dict(vars(self)), self.loss(lessons)
+        self.learn(lessons)
+        if self.loss(lessons) <= loss:
+            return True
+        vars(self).clear()
+        vars(self).update(before)
+        lessons.take_back()
+        return False
+
+    def loss(self, lessons: Lessons) -> float:
+        """Mean log loss of the combined score on the calibration rows."""
+        held, truth = lessons.held, lessons.labels[lessons.held]
+        score = np.clip(self.score(*(view[held] for view in lessons.views))[0], 1e-6, 1 - 1e-6)
+        return float(-np.mean(truth * np.log(score) + (1 - truth) * np.log(1 - score)))
+
+    def calibrated(self, texts: np.ndarray, metadata: np.ndarray) -> list[np.ndarray]:
+        """Calibrated log odds of the text view and of the metadata view."""
+        odds = self.view_odds(texts, metadata)
+        return [slope * o + offset for o, (slope, offset) in zip(odds, self.scales)]
+
+    def prior_odds(self) -> float:
+        prior = np.clip(self.prior, 1e-3, 1 - 1e-3)
+        return float(np.log(prior / (1 - prior)))
+
     def view_odds(self, texts: np.ndarray, metadata: np.ndarray) -> list[np.ndarray]:
         """Log odds of the text view and of the metadata view, not calibrated."""
         views = texts, self._prepared_metadata(metadata)
@@ -227,19 +268,41 @@ class CoTrained:
         if not self.models:
             same = np.full(len(texts), self.prior)
             return same, same, same
-        odds = self.view_odds(texts, metadata)
-        a, b = (slope * o + offset for o, (slope, offset) in zip(odds, self.scales))
-        prior = np.clip(self.prior, 1e-3, 1 - 1e-3)
-        return _sigmoid(a + b - np.log(prior / (1 - prior))), _sigmoid(a), _sigmoid(b)
+        a, b = self.calibrated(texts, metadata)
+        return _sigmoid(a + b - self.prior_odds()), _sigmoid(a), _sigmoid(b)
+
 
+def graded(
+    given: np.ndarray, taken: np.ndarray, prior: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label (1, 0, or -1 where the giver is not sure), band of the taker's score, and sureness.
 
-def surest(odds: np.ndarray, wanted: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the surest texts, at most so many zeros and ones, and the labels given to them."""
-    order, (zeros, ones) = np.argsort(-odds, kind="stable"), wanted
-    p = _sigmoid(odds)
-    top = [i for i in order[:ones] if p[i] >= _SAFE]
-    end = [i for i in order[::-1][:zeros] if p[i] <= 1 - _SAFE]
-    return np.array(top + end, dtype=int), np.r_[np.ones(len(top)), np.zeros(len(end))]
+    All three arguments are calibrated log odds: of the giver, of the taker, and of the prior.
+    """
+    safe = np.log(_SAFE / (1 - _SAFE))
+    label = np.full(len(given), -1)
+    label[(given >= safe) & (given - prior >= _TELLING)] = 1
+    label[(given <= -safe) & (prior - given >= _TELLING)] = 0
+    return label, np.searchsorted(BANDS, _sigmoid(taken)), np.abs(given)
+
+
+def quota(wanted: int) -> int:
+    """How many texts of a class come from one band."""
+    return -(-wanted // (len(BANDS) + 1))
+
+
+def surest(
+    given: np.ndarray, taken: np.ndarray, prior: float, wanted: tuple[int, int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the surest texts of each class and band, and the labels given to them."""
+    label, band, sure = graded(given, taken, prior)
+    order = np.argsort(-sure, kind="stable")
+    rows = [
+        order[(label[order] == one) & (band[order] == b)][: quota(wanted[one])]
+        for one in (1, 0) for b in range(len(BANDS) + 1)
+    ]
+    places = np.concatenate(rows)
+    return places, label[places].astype(float)
 
 
 def _drawn(salt: str, share: float) -> Column:
@@ -278,10 +341,10 @@ def _content() -> Column:
 
 
 def _all_odds(docs: DataFrame, models: dict[str, CoTrained]) -> DataFrame:
-    """doc_id, content and the log odds of both views of every model, of every row."""
+    """doc_id, content and the calibrated log odds of both views of every model, of every row."""
     names = [f"odds_{k}" for k in range(2 * len(models))]
 
-    @F.pandas_udf(", ".join(f"{n} float" for n in names))
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, parts = list(zip(*batch)), [np.zeros((0, len(names)))]
@@ -289,7 +352,7 @@ def _all_odds(docs: DataFrame, models: dict[str, CoTrained]) -> DataFrame:
                 some = rows[first : first + 256]
                 text = prepared_text(np.array([text_view(r[0]) for r in some]))
                 meta = np.array([metadata_view(*r) for r in some])
-                odds = [o for model in models.values() for o in model.view_odds(text, meta)]
+                odds = [o for model in models.values() for o in model.calibrated(text, meta)]
                 parts.append(np.stack(odds, axis=1))
             yield pd.DataFrame(np.concatenate(parts), columns=names)
 
@@ -305,40 +368,54 @@ def _surest_contents(
     """By target and taker: the contents that the other view is surest of among all rows of
     ``unlabelled``, without those the taker ``had``, and the labels given to them.
 
-    Copies are one row. Each task passes on its surest rows only, so the driver gets a bounded
-    number of rows of three numbers from each.
+    Copies are one row. Each task passes on its surest rows of each band, and of these the surest
+    of all tasks are taken in Spark: the driver gets no more rows than are exchanged.
     """
     slots = [
-        (k, (target, taker), models[target].wanted(exchanged), 2 * i + giver)
+        (k, (target, taker), models[target], 2 * i + giver, 2 * i + taker)
         for k, (i, target, giver, taker) in enumerate(
             (i, t, giver, taker) for i, t in enumerate(models) for giver, taker in EXCHANGES
         )
     ]
-
-    def pick(frame: pd.DataFrame, wanted: tuple[int, int]) -> tuple[pd.DataFrame, np.ndarray]:
-        frame = frame.sort_values("content", ignore_index=True)
-        rows, pseudo = surest(frame["odds"].to_numpy(), wanted)
-        return frame.iloc[rows], pseudo
+    most = quota(exchanged)
 
     def tops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[int, pd.DataFrame] = {}
+        best = None
         for batch in batches:
-            for slot, key, wanted, column in slots:
-                some = pd.DataFrame({"content": batch["content"], "odds": batch[f"odds_{column}"]})
-                some = some[~some["content"].isin(had[key])]
-                if slot in best:
-                    some = pd.concat([best[slot], some])
-                best[slot] = pick(some, wanted)[0]
-        for slot, frame in best.items():
-            yield from in_portions(frame.assign(slot=slot)[["slot", "content", "odds"]])
+            parts = [best]
+            for slot, key, model, giver, taker in slots:
+                given, taken = batch[f"odds_{giver}"], batch[f"odds_{taker}"]
+                label, band, sure = graded(
+                    given.to_numpy(), taken.to_numpy(), model.prior_odds()
+                )
+                part = pd.DataFrame({
+                    "slot": slot, "label": label, "band": band, "content": batch["content"],
+                    "sure": sure,
+                })
+                parts.append(part[(label >= 0) & ~part["content"].isin(had[key])])
+            rows = pd.concat([p for p in parts if p is not None])
+            rows = rows.sort_values(["sure", "content"], ascending=[False, True])
+            best = rows.groupby(["slot", "label", "band"]).head(most)
+        if best is not None:
+            yield from in_portions(best)
 
     odds = [c for c in unlabelled.columns if c.startswith("odds_")]
     distinct = unlabelled.groupBy("content").agg(*(F.first(c).alias(c) for c in odds))
-    found = distinct.mapInPandas(tops, "slot int, content long, odds double").toPandas()
+    held = distinct.mapInPandas(tops, "slot int, label int, band int, content long, sure double")
+    best_first = Window.partitionBy("slot", "label", "band").orderBy(F.desc("sure"), "content")
+    allowed = F.lit(0)
+    for slot, _, model, *_ in slots:
+        for one, wanted in enumerate(model.wanted(exchanged)):
+            own = (F.col("slot") == slot) & (F.col("label") == one)
+            allowed = F.when(own, quota(wanted)).otherwise(allowed)
+    found = (
+        held.withColumn("place", F.row_number().over(best_first))
+        .where((F.col("place") <= most) & (F.col("place") <= allowed)).toPandas()
+    )
     chosen = {}
-    for slot, key, wanted, _ in slots:
-        rows, pseudo = pick(found[found["slot"] == slot], wanted)
-        chosen[key] = rows["content"].to_numpy(np.int64), pseudo
+    for slot, key, *_ in slots:
+        rows = found[found["slot"] == slot].sort_values("content")
+        chosen[key] = rows["content"].to_numpy(np.int64), rows["label"].to_numpy(float)
     return chosen
 
 
@@ -389,7 +466,9 @@ def fit(
     if pool is not None:
         columns = columns.where(_drawn("pool", pool / max(1, docs.count())))
     had = {(t, taker): np.zeros(0, np.int64) for t in learning for _, taker in EXCHANGES}
-    for _ in range(rounds if learning else 0):
+    for _ in range(rounds):
+        if not learning:
+            break
         unlabelled = _all_odds(columns, learning).join(known.select("doc_id"), "doc_id", "left_anti")
         chosen = _surest_contents(unlabelled, learning, exchanged, had)
         places, views = _views_of(columns, np.unique(np.concatenate([c for c, _ in chosen.values()])))
@@ -397,8 +476,7 @@ def fit(
             at = np.array([places[c] for c in contents.tolist()], dtype=int)
             lessons[target].give(taker, views[taker][at], pseudo)
             had[target, taker] = np.r_[had[target, taker], contents]
-        for target, model in learning.items():
-            model.learn(lessons[target])
+        learning = {t: m for t, m in learning.items() if m.improve(lessons[t])}
     return models
 
 

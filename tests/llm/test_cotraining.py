@@ -12,19 +12,68 @@ def area(truth, score):
     return (rank[truth == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(truth) - ones))
 
 
-def test_held_out_area(spark):
+def test_held_out_areas_of_the_defaults(spark):
+    """What ships, against the same views without any exchange."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
-    models = co.fit(docs, labels.where(~held), labelled=1200, pool=800)
     some = docs.where(held).join(labels.select("doc_id"), "doc_id", "left_semi")
-    rows = co.scores(some, models).toPandas().merge(
-        labels.toPandas().rename(columns={"quality": "y", "toxic": "t"}), on="doc_id"
+    truth = labels.toPandas().rename(columns={"quality": "y", "toxic": "t"})
+    areas = []
+    for options in ({"rounds": 0}, {}):
+        models = co.fit(docs, labels.where(~held), **options)
+        rows = co.scores(some, models).toPandas().merge(truth, on="doc_id")
+        assert rows.drop(columns="doc_id").stack().between(0, 1).all()
+        areas.append([area(rows[a].to_numpy(), rows[b]) for a, b in (
+            ("y", "quality"), ("t", "toxic"), ("y", "quality_by_text"),
+        )])
+    alone, together = areas
+    assert together[0] > 0.999 and together[1] > 0.94 and together[2] > 0.99
+    assert all(b >= a - 1e-4 for a, b in zip(alone, together))
+
+
+def test_a_view_that_tells_nothing_hands_nothing_over():
+    draw = np.random.default_rng(4)
+    truth = (draw.random(2000) < 0.1).astype(float)
+    text = draw.poisson(1, (2000, 8))
+    text[:, 0] += (5 * truth).astype(int)
+    meta = draw.normal(size=(2000, 5))
+    given = []
+    real = co.Lessons.give
+    co.Lessons.give = lambda self, taker, rows, pseudo: (
+        given.append((taker, len(rows))), real(self, taker, rows, pseudo)
     )
-    assert area(rows["y"].to_numpy(), rows["quality"]) > 0.97
-    assert area(rows["t"].to_numpy(), rows["toxic"]) > 0.75
-    assert area(rows["y"].to_numpy(), rows["quality_by_text"]) > 0.9
-    assert rows.drop(columns="doc_id").stack().between(0, 1).all()
+    try:
+        text = co.prepared_text(text)
+        calibration = np.arange(600) % 5 == 0
+        model = co.CoTrained(text, meta, truth[:600], calibration)
+    finally:
+        co.Lessons.give = real
+    assert given and all(n == 0 for taker, n in given if taker == 0)
+    alone = co.CoTrained(text, meta, truth[:600], calibration, rounds=0)
+    score = lambda m: area(truth[600:], m.score(text[600:], meta[600:])[0])
+    assert score(model) >= score(alone) - 0.005
+
+
+def test_surest_by_bands_against_brute_force():
+    draw = np.random.default_rng(5)
+    for _ in range(50):
+        n = draw.integers(0, 200)
+        given, taken = draw.normal(0, 4, n).round(1), draw.normal(0, 2, n)
+        prior, wanted = float(draw.normal()), (int(draw.integers(0, 30)), int(draw.integers(0, 30)))
+        rows, pseudo = co.surest(given, taken, prior, wanted)
+        want = []
+        for one in (1, 0):
+            for low, high in zip((0, *co.BANDS), (*co.BANDS, 1.1)):
+                held = [
+                    i for i in range(n)
+                    if low < 1 / (1 + np.exp(-taken[i])) <= high
+                    and (given[i] if one else -given[i]) >= np.log(9)
+                    and (given[i] - prior if one else prior - given[i]) >= 1
+                ]
+                held.sort(key=lambda i: (-abs(given[i]), i))
+                want += [(i, one) for i in held[: -(-wanted[one] // 5)]]
+        assert list(zip(rows, pseudo)) == want
 
 
 def test_views_exchange_labels():
@@ -82,9 +131,12 @@ def test_surest_of_all_unlabelled_documents_are_exchanged(spark, monkeypatch):
         for t, l, s in zip(others["text"], others["lang"], others["source"])
     ])
     assert len(others) > co.EXCHANGED
-    odds = first.view_odds(text, meta)
+    odds = first.calibrated(text, meta)
+    assert any(len(rows) for _, rows, _ in given)
     for (giver, taker), (to, rows, pseudo) in zip(co.EXCHANGES, given):
-        want, labelled = co.surest(odds[giver], first.wanted(co.EXCHANGED))
+        want, labelled = co.surest(
+            odds[giver], odds[taker], first.prior_odds(), first.wanted(co.EXCHANGED)
+        )
         assert to == taker and sorted(pseudo) == sorted(labelled)
         sums = lambda x: np.sort(x.sum(axis=1))
         assert np.allclose(sums(rows), sums((text, meta)[taker][want]), rtol=1e-4)
