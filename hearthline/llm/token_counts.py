@@ -7,7 +7,8 @@ in no piece of the vocabulary. No merge can reach over such a position, so the e
 two sides do not depend on each other, and the pieces of a chunk between two stable boundaries
 are those of the whole text. Where an overlap has no stable boundary, or the two encodings do
 not both begin a piece there, the overlap is doubled, at the worst to the whole text. Memory is
-bounded by the chunk, not by the document.
+bounded by the chunk where stable boundaries occur, as in any text with spaces; a text without one
+is encoded whole, as its pieces may depend on all of it.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows are counted each;
 an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.

@@ -80,3 +80,36 @@ def test_short_texts_of_other_terms_differ():
         assert max(fp.likeness(parts[0], other) for other in parts[1:]) == 0.0
     ten = fp.parts_of(" ".join(sorted(terms)[:10]), terms)
     assert sum(p != fp._NONE for p in ten[:7]) >= 5
+
+
+def test_parts_and_likeness_against_their_definition(small):
+    """Parts by sets and hashes written out here, not by the operator's own functions."""
+    texts = [t for _, t in pairs(small)][:60] + ["", "one two", "Ä ß x", "same words same"]
+    lexicon = frozenset(brute_lexicon(texts, 0.02, 0.4))
+    rates = [1, 2, 2, 4, 4, 8, 8] + [2**k for k in range(4, 12) for _ in range(4)]
+    assert list(fp.SUBSETS) == rates
+    want = []
+    for text in texts:
+        terms = set()
+        for word in "".join(c if c.isalnum() or c == "_" else " " for c in text.lower()).split():
+            terms.add(word)
+        groups = [
+            sorted(t for t in terms & lexicon if xxhash.xxh64(t.encode(), seed=i).intdigest() % r == 0)
+            for i, r in enumerate(rates)
+        ]
+        if not any(groups):
+            groups = [sorted(terms)] * len(rates)
+            want.append([hashlib.blake2b("\n".join(g).encode(), digest_size=8).hexdigest() for g in groups])
+        else:
+            want.append([
+                hashlib.blake2b("\n".join(g).encode(), digest_size=8).hexdigest() if g else "0" * 16
+                for g in groups
+            ])
+    plain = [k for k, t in enumerate(texts) if all(c.isascii() or c.isalpha() for c in t)]
+    for k in plain:
+        assert fp.parts_of(texts[k], lexicon) == want[k]
+    for a in plain[:25]:
+        for b in plain[:25]:
+            both = [x == y for x, y in zip(want[a], want[b]) if (x, y) != ("0" * 16, "0" * 16)]
+            share = 1.0 if want[a] == want[b] else both.count(True) / len(both)
+            assert fp.likeness(want[a], want[b]) == share
