@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -125,8 +126,9 @@ def fingerprints(docs: DataFrame, terms: frozenset[str], subsets=SUBSETS) -> Dat
 def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
     """Rows in stretches of the order of ids, each closed by the first row of the next stretch.
 
-    Only the first ids of the stretches come to the driver. The texts are shuffled once,
-    compressed (``packed_text``).
+    Rows of one id, or of none, are ordered by the hash of their text, so that many of them spread
+    over stretches too; only rows equal in both stay together. Only the first id and hash of each
+    stretch come to the driver. The texts are shuffled once, compressed (``packed_text``).
     """
 
     @F.pandas_udf("binary")
@@ -140,26 +142,35 @@ def in_stretches(docs: DataFrame, stretch: int = STRETCH) -> DataFrame:
     # Any number gives the same pairs; a few per shuffle partition keep their sizes even.
     most = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = max(1, min(-(-docs.count() // stretch), most))
+    text_hash = F.xxhash64(whole_text())
     firsts = (
-        docs.select(order.alias("place")).repartitionByRange(count, "place")
-        .groupBy(F.spark_partition_id().alias("part")).agg(F.min("place").alias("first"))
-        .orderBy("first").select("first").toPandas()["first"].to_numpy(dtype=np.int64)
+        docs.select(order.alias("place"), text_hash.alias("text_hash"))
+        .repartitionByRange(count, "place", "text_hash")
+        .groupBy(F.spark_partition_id().alias("part"))
+        .agg(F.min(F.struct("place", "text_hash")).alias("first"))
+        .select("first.*").orderBy("place", "text_hash").toPandas()
     )
+    first_places = firsts["place"].to_numpy(dtype=np.int64)
+    first_hashes = firsts["text_hash"].astype("int64").tolist()
 
     @F.pandas_udf("array<struct<stretch: int, closing: boolean>>")
-    def stretches(places: pd.Series) -> pd.Series:
-        values = places.to_numpy()
-        found = np.searchsorted(firsts, values, side="right") - 1
-        return pd.Series([
-            [{"stretch": s, "closing": False}] + (
-                [{"stretch": (s - 1) % len(firsts), "closing": True}] if firsts[s] == v else []
-            )
-            for s, v in zip(found.tolist(), values.tolist())
-        ])
+    def stretches(places: pd.Series, hashes: pd.Series) -> pd.Series:
+        values, result = places.to_numpy(), []
+        lows = np.searchsorted(first_places, values, side="left").tolist()
+        highs = np.searchsorted(first_places, values, side="right").tolist()
+        for low, high, text_hash in zip(lows, highs, hashes.tolist()):
+            # Among the stretches that begin with this very id the hash decides.
+            s = bisect_right(first_hashes, text_hash, low, high) - 1
+            found = [{"stretch": s, "closing": False}]
+            if s >= low and first_hashes[s] == text_hash:
+                found.append({"stretch": (s - 1) % len(first_hashes), "closing": True})
+            result.append(found)
+        return pd.Series(result)
 
     rows = docs.select(
-        "doc_id", order.alias("place"), F.xxhash64(whole_text()).alias("text_hash"),
-        compressed(whole_text()).alias("packed_text"), stretches(order).alias("stretches"),
+        "doc_id", order.alias("place"), text_hash.alias("text_hash"),
+        compressed(whole_text()).alias("packed_text"),
+        stretches(order, text_hash).alias("stretches"),
     )
     # Every row has a stretch; unlike inline, inline_outer adds no filter that runs the function
     # again in a Python worker of its own.
@@ -198,7 +209,7 @@ def beside_edited(
                 if before is not None and before[0].stretch != row.stretch:
                     before = None
                 if before is not None and before[0].closing:
-                    # Further rows with the id that closes the stretch.
+                    # Further rows equal to the one that closes the stretch.
                     continue
                 text = unpack(row.packed_text).decode()
                 parts = parts_of(text, terms, subsets)

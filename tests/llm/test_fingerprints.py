@@ -113,3 +113,15 @@ def test_parts_and_likeness_against_their_definition(small):
             both = [x == y for x, y in zip(want[a], want[b]) if (x, y) != ("0" * 16, "0" * 16)]
             share = 1.0 if want[a] == want[b] else both.count(True) / len(both)
             assert fp.likeness(want[a], want[b]) == share
+
+
+def test_rows_of_one_id_spread_over_stretches(spark):
+    rows = [(None, f"null {k}") for k in range(40)] + [(7, f"seven {k % 30}") for k in range(60)]
+    rows += [(k, f"own {k}") for k in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    terms = frozenset(["null", "seven", "own"])
+    for stretch in (5, 13, 1000):
+        check_neighbours(frame, terms, stretch)
+    spread = fp.in_stretches(frame, 10).where("not closing")
+    held = {tuple(r) for r in spread.select("doc_id", "stretch").distinct().collect()}
+    assert len([s for i, s in held if i == 7]) > 2 and len([s for i, s in held if i is None]) > 2
