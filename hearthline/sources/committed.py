@@ -109,23 +109,24 @@ class CommittedTable:
         return found.select(*whole.names)
 
     def stage(
-        self, df: DataFrame, query_id: str, batch_id: int, by: str | None = None
+        self, df: DataFrame, query_id: str, batch_id: int, by: str | None = None, few: bool = False
     ) -> Row:
         """Writes a batch's rows and returns the record that would make them count.
 
         With ``by`` there is a directory per value of that column; those of ``bucket`` are parts
-        of their own, gathered into few files each.
+        of their own, gathered into few files each. ``few`` rows go to one task per bucket; else
+        Spark splits buckets by their size.
         """
         labelled = df.withColumns({
             "query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast(BIG),
         })
-        return _record(self.name, self._write(labelled, by), [], query_id, batch_id)
+        return _record(self.name, self._write(labelled, by, few), [], query_id, batch_id)
 
-    def _write(self, df: DataFrame, by: str | None) -> list[str]:
+    def _write(self, df: DataFrame, by: str | None, few: bool = False) -> list[str]:
         part = f"write={uuid.uuid4().hex}"
         place = f"{self.root}/{part}"
         if by == BUCKET:
-            df = df.hint("rebalance", BUCKET)
+            df = df.repartition(BUCKET) if few else df.hint("rebalance", BUCKET)
         writer = df.write.partitionBy(by) if by else df.write
         writer.parquet(place)
         if by != BUCKET:

@@ -128,13 +128,14 @@ def stage_absent(
     live = table.live(spark, records)
     if any(int(part.rsplit("=", 1)[1]) >= buckets for part in live):
         raise ValueError(f"the table has more than {buckets} buckets")
+    keys = needed.select(key)
+    summary = key_summary(keys, key, buckets)
     if live:
-        keys = needed.select(key)
-        summary = key_summary(keys, key, buckets)
         stored = table.read(spark, rows.schema, in_buckets(live, summary["buckets"]))
         rows = absent_rows(rows, stored, key, keys, summary)
     return table.stage(
-        rows.withColumn(BUCKET, bucket_of(key, buckets)), query_id, batch_id, by=BUCKET
+        rows.withColumn(BUCKET, bucket_of(key, buckets)), query_id, batch_id, by=BUCKET,
+        few=summary["n_bytes"] <= KEY_SET_BYTES,
     )
 
 
