@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,54 +76,99 @@ def _joined() -> Column:
 
 
 def _after(df: DataFrame, cursor: tuple[str, str] | None) -> DataFrame:
-    if cursor is None:
-        return df
-    day, key = cursor
-    later = (F.col("_received") == day) & (F.col("_key") > key)
-    return df.where((F.col("_received") > day) | later)
+    return df if cursor is None else df.where(_joined() > F.lit(_MARK.join(cursor)))
 
 
-def _until(df: DataFrame, last: tuple[str, str]) -> DataFrame:
-    day, key = last
-    no_later = (F.col("_received") == day) & (F.col("_key") <= key)
-    return df.where((F.col("_received") < day) | no_later)
+class PageBounds(NamedTuple):
+    """Rows of the next page, the day of the first one, (received, key) of the last one, and
+    whether no row is left behind it."""
 
+    rows: int
+    first_day: str
+    last: tuple[str, str]
+    ends: bool
 
-def page_end(rows: DataFrame, limit: int, buckets: int = 4096) -> tuple[str, str] | None:
-    """(received, key) of the row at ``limit`` in their order; None where no more rows are left.
+
+def page_bounds(rows: DataFrame, limit: int, buckets: int = 4096) -> PageBounds | None:
+    """Bounds of the first ``limit`` rows and those that repeat the last one's values.
 
     Texts are read as numbers, ``_DIGITS`` bytes behind what the least and the greatest have in
     common. Each pass counts ``buckets`` equal ranges of these numbers and goes on with the one
-    that holds the wanted row, until it holds one text, or few enough rows to sort.
+    that holds the wanted row, until it holds one text, or few enough rows to look at each.
+    None where there are no rows.
     """
-    text = _joined()
-    found = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.min(text).alias("lo"), F.max(text).alias("hi")
-    ).first()
-    if found["n"] <= limit:
-        return None
-    entry, skipped = found, 0
-    while entry["lo"] != entry["hi"]:
-        rows = rows.where(text.between(F.lit(entry["lo"]), F.lit(entry["hi"])))
-        if entry["n"] <= PAGE_ROWS:
-            # Few rows, whatever the size of the table.
-            held = rows.orderBy("_received", "_key").limit(limit - skipped)
-            return tuple(held.agg(F.max(F.struct("_received", "_key"))).first()[0])
-        low, high = entry["lo"].encode(), entry["hi"].encode()
+    texts, skipped, first_day = rows.select(_joined().alias("_at")), 0, None
+    while True:
+        found = texts.agg(
+            F.count(F.lit(1)).alias("n"), F.min("_at").alias("lo"), F.max("_at").alias("hi")
+        ).first()
+        if not found["n"]:
+            return None
+        if first_day is None:
+            total, first_day = found["n"], _split(found["lo"])[0]
+            limit = min(limit, total)
+        if found["lo"] == found["hi"] or skipped + found["n"] == limit:
+            last, n = found["hi"], skipped + found["n"]
+            break
+        low, high = found["lo"].encode(), found["hi"].encode()
         common = len(os.path.commonprefix([low, high]))
 
         def number(value: bytes) -> int:
             return int.from_bytes(value[common : common + _DIGITS].ljust(_DIGITS, b"\0"))
 
-        behind = F.substring(text.cast("binary"), common + 1, _DIGITS)
+        behind = F.substring(F.col("_at").cast("binary"), common + 1, _DIGITS)
         digits = F.conv(F.rpad(F.hex(behind), 2 * _DIGITS, "0"), 16, 10).cast("long")
-        entries = range_counts(rows, digits, text, number(low), number(high), buckets)
-        at, before = entry_at(entries, limit - 1 - skipped)
-        entry, skipped = entries[at], skipped + before
-    day, key = entry["lo"].split(_MARK, 1)
+        numbered = texts.select("_at", digits.alias("_digits"))
+        at = F.col("_digits")
+        entries = range_counts(numbered, at, at, number(low), number(high), buckets)
+        i, before = entry_at(entries, limit - 1 - skipped)
+        skipped += before
+        texts = numbered.where(at.between(entries[i]["lo"], entries[i]["hi"])).select("_at")
+        if entries[i]["n"] <= PAGE_ROWS:
+            # Few rows, whatever the size of the table. UTF-8 sorts like code points.
+            held = sorted(r["_at"] for r in texts.collect())
+            last = held[limit - 1 - skipped]
+            n = skipped + bisect_right(held, last)
+            break
+    return PageBounds(n, first_day, _split(last), n == total)
+
+
+def _split(text: str) -> tuple[str, str]:
+    day, key = text.split(_MARK, 1)
     return day, key
 
 
+def page_end(rows: DataFrame, limit: int, buckets: int = 4096) -> tuple[str, str] | None:
+    """(received, key) of the row at ``limit`` in their order; None where no more rows are left."""
+    found = page_bounds(rows, limit, buckets)
+    return None if found is None or found.rows <= limit and found.ends else found.last
+
+
+def bounded_page(
+    df: DataFrame, ts: str, key: str, cursor: tuple[str, str] | None, limit: int = PAGE_ROWS
+) -> tuple[DataFrame, PageBounds | None]:
+    """The next page as ``next_page`` gives it, with its bounds; None for an empty one.
+
+    A page of up to ``PAGE_ROWS`` rows is held in memory until its caller unpersists it.
+    """
+    fresh = _after(with_cursor(df, ts, key), cursor)
+    if limit > PAGE_ROWS:
+        found = page_bounds(fresh, limit)
+        if found is None or found.ends:
+            return fresh, found
+        return fresh.where(_joined() <= F.lit(_MARK.join(found.last))), found
+    page = fresh.orderBy("_received", "_key").limit(limit).persist()
+    found = page.agg(
+        F.count(F.lit(1)).alias("n"), F.min("_received").alias("first_day"),
+        F.max(F.struct("_received", "_key")).alias("last"),
+    ).first()
+    if not found["n"]:
+        return page, None
+    return page, PageBounds(
+        found["n"], found["first_day"], tuple(found["last"]), found["n"] < limit
+    )
+
+
 def next_page(
     df: DataFrame, ts: str, key: str, cursor: tuple[str, str] | None, limit: int = PAGE_ROWS
 ) -> DataFrame:
@@ -132,11 +179,10 @@ def next_page(
     are the first ones of a sort; for larger ones the last row is found by counting, and the page
     is a range filter on the table.
     """
-    fresh = _after(with_cursor(df, ts, key), cursor)
     if limit <= PAGE_ROWS:
+        fresh = _after(with_cursor(df, ts, key), cursor)
         return fresh.orderBy("_received", "_key").limit(limit)
-    last = page_end(fresh, limit)
-    return fresh if last is None else _until(fresh, last)
+    return bounded_page(df, ts, key, cursor, limit)[0]
 
 
 def load_cursor(spark: SparkSession, path: str) -> tuple[str, str] | None:

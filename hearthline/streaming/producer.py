@@ -49,19 +49,15 @@ def poll(
     spark = current.sparkSession
     received = "date_reception_dpe"
     cursor = incremental.load_cursor(spark, state)
-    page = incremental.next_page(current, received, KEY, cursor, limit).persist()
+    page, found = incremental.bounded_page(current, received, KEY, cursor, limit)
     try:
-        found = page.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("_received").alias("first_day"),
-            F.max(F.struct("_received", "_key")).alias("last"),
-        ).first()
-        if found["n"]:
-            publish(normalise(None, page.drop("_received", "_key")), options, KEY, sink)
-            day, key = found["last"]
-            inside = found["n"] >= limit and found["first_day"] == day
-            incremental.save_cursor(spark, state, (day, key if inside else ""))
-        return found["n"]
+        if found is None:
+            return 0
+        publish(normalise(None, page.drop("_received", "_key")), options, KEY, sink)
+        day, key = found.last
+        inside = found.rows >= limit and found.first_day == day
+        incremental.save_cursor(spark, state, (day, key if inside else ""))
+        return found.rows
     finally:
         page.unpersist()
 
