@@ -305,6 +305,12 @@ def test_page_end_by_range_counts_against_a_sort(spark, monkeypatch):
         for buckets in (4, 4096):
             assert incremental.page_end(cursored, limit, buckets) == order[limit - 1]
     assert incremental.page_end(cursored, 400) is None
+    for limit in (1, 77, 399, 400, 500):
+        bounds = incremental.page_bounds(cursored, limit)
+        last = order[min(limit, 400) - 1]
+        n = sum(found <= last for found in order)
+        assert bounds == (n, order[0][0], last, n == 400)
+    assert incremental.page_bounds(cursored.where("false"), 5) is None
 
     cursor, seen = None, []
     while True:
