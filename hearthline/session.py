@@ -62,14 +62,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    The name is taken as ``checkpoint()`` takes it: without a scheme it lies in the default
+    file system, which may be a share mounted on every machine. Only a local session without
+    that setting gets a temporary folder.
     """
     named = spark.conf.get(_SHARED, None)
-    context = spark.sparkContext
     if named:
-        if "://" not in named and not context.master.startswith("local"):
-            raise RuntimeError(f"{_SHARED} must name a shared file system, not {named!r}")
         return named
+    context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
         if not context.master.startswith("local"):
