@@ -16,6 +16,7 @@ from hearthline import scratch_path, shared_dir  # noqa: E402
 KEEPING = [
     "csv_roundtrip",
     "csv_text_gzip",
+    "enforce_constraints",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
