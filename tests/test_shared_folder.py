@@ -17,6 +17,7 @@ KEEPING = [
     "csv_roundtrip",
     "csv_text_gzip",
     "enforce_constraints",
+    "expectations",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
