@@ -18,6 +18,7 @@ KEEPING = [
     "csv_text_gzip",
     "enforce_constraints",
     "expectations",
+    "flatten_pages",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
