@@ -19,6 +19,7 @@ KEEPING = [
     "enforce_constraints",
     "expectations",
     "flatten_pages",
+    "insert_if_absent",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
