@@ -20,6 +20,7 @@ KEEPING = [
     "expectations",
     "flatten_pages",
     "insert_if_absent",
+    "insert_null_keys",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
