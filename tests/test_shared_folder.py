@@ -21,6 +21,7 @@ KEEPING = [
     "flatten_pages",
     "insert_if_absent",
     "insert_null_keys",
+    "page_completeness",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
