@@ -22,6 +22,7 @@ KEEPING = [
     "insert_if_absent",
     "insert_null_keys",
     "page_completeness",
+    "poll_to_end",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
