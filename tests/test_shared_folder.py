@@ -23,6 +23,7 @@ KEEPING = [
     "insert_null_keys",
     "page_completeness",
     "poll_to_end",
+    "raw_lines_copy",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
