@@ -24,6 +24,7 @@ KEEPING = [
     "page_completeness",
     "poll_to_end",
     "raw_lines_copy",
+    "stream_after_failure",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
