@@ -25,6 +25,7 @@ KEEPING = [
     "poll_to_end",
     "raw_lines_copy",
     "stream_after_failure",
+    "stream_audit",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
