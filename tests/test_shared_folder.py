@@ -26,6 +26,7 @@ KEEPING = [
     "raw_lines_copy",
     "stream_after_failure",
     "stream_audit",
+    "stream_batch_log",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
