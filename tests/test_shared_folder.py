@@ -27,6 +27,7 @@ KEEPING = [
     "stream_after_failure",
     "stream_audit",
     "stream_batch_log",
+    "stream_compacted",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
