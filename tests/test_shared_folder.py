@@ -28,6 +28,7 @@ KEEPING = [
     "stream_audit",
     "stream_batch_log",
     "stream_compacted",
+    "stream_many_batches",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
