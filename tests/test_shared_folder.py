@@ -29,6 +29,7 @@ KEEPING = [
     "stream_batch_log",
     "stream_compacted",
     "stream_many_batches",
+    "stream_on_trigger",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
