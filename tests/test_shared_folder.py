@@ -30,6 +30,7 @@ KEEPING = [
     "stream_compacted",
     "stream_many_batches",
     "stream_on_trigger",
+    "stream_pipeline",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
