@@ -31,6 +31,7 @@ KEEPING = [
     "stream_many_batches",
     "stream_on_trigger",
     "stream_pipeline",
+    "stream_processing_time",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
