@@ -32,6 +32,7 @@ KEEPING = [
     "stream_on_trigger",
     "stream_pipeline",
     "stream_processing_time",
+    "stream_quarantine",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
