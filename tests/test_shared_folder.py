@@ -33,6 +33,7 @@ KEEPING = [
     "stream_pipeline",
     "stream_processing_time",
     "stream_quarantine",
+    "stream_raw_and_clean",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
