@@ -34,6 +34,7 @@ KEEPING = [
     "stream_processing_time",
     "stream_quarantine",
     "stream_raw_and_clean",
+    "stream_rule_nullified",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
