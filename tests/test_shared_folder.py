@@ -35,6 +35,7 @@ KEEPING = [
     "stream_quarantine",
     "stream_raw_and_clean",
     "stream_rule_nullified",
+    "stream_rule_quarantine",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
