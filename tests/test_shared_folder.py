@@ -36,6 +36,7 @@ KEEPING = [
     "stream_raw_and_clean",
     "stream_rule_nullified",
     "stream_rule_quarantine",
+    "stream_silver",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
