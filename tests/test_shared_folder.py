@@ -37,6 +37,7 @@ KEEPING = [
     "stream_rule_nullified",
     "stream_rule_quarantine",
     "stream_silver",
+    "strict_cast_aborts",
     "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
