@@ -177,8 +177,9 @@ _CONSTRAINTS = {
 def _submitted(spark, sf_dir):
     """Events as landed: stored before the checks, which read them several times."""
     path = scratch_path(spark, "submitted")
-    _undecided(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    rows = _undecided(spark, sf_dir)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _undecided(spark, sf_dir):

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 _SHARED = "spark.checkpoint.dir"
 _SCRATCH: dict[str, list[str]] = {}
+#: Folders that were tried out, by application and the name they were given.
+_PROVEN: dict[tuple[str, str | None], str] = {}
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -50,7 +55,7 @@ def configure(spark: SparkSession) -> SparkSession:
     if context.getCheckpointDir() is None:
         named = spark.conf.get(_SHARED, None)
         if named:
-            context.setCheckpointDir(shared_dir(spark))
+            context.setCheckpointDir(named)
         elif local:
             shared_dir(spark)
     if not local and spark.conf.get(_INITIAL, None) is None:
@@ -63,20 +68,53 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     The name is taken as ``checkpoint()`` takes it: without a scheme it lies in the default
-    file system, which may be a share mounted on every machine. Only a local session without
-    that setting gets a temporary folder.
+    file system, which may be a share mounted on every machine. On a cluster it is tried out
+    once: where executors write to disks of their own, files would be missing from what is read
+    back, often without an error. Then the folder the context checkpoints to or the warehouse is
+    taken, and ``checkpoint()`` goes there too. Only a local session without that setting gets
+    a temporary folder.
     """
     named = spark.conf.get(_SHARED, None)
-    if named:
-        return named
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    local = context.master.startswith("local")
+    if not named and context.getCheckpointDir() is None:
+        if not local:
+            raise RuntimeError(f"set {_SHARED} to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="hearthline-"))
-        current = context.getCheckpointDir()
-    return current
+    current = context.getCheckpointDir()
+    if local and not context.master.startswith("local-cluster"):
+        return named or current
+    tried = (context.applicationId, named)
+    if tried not in _PROVEN:
+        folders = [named, current, spark.conf.get("spark.sql.warehouse.dir")]
+        folders = list(dict.fromkeys(f for f in folders if f))
+        found = next((f for f in folders if _is_shared(spark, f)), None)
+        if found is None:
+            raise RuntimeError(f"set {_SHARED} to a folder shared by all executors, not {folders}")
+        if found not in (named, current):
+            warnings.warn(f"executors do not share {folders[0]}; {found} is used", stacklevel=2)
+            context.setCheckpointDir(found)
+        _PROVEN[tried] = found
+    return _PROVEN[tried]
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether what a task on every core writes below ``folder`` is read back whole."""
+    tasks = max(2, spark.sparkContext.defaultParallelism)
+    path = f"{folder.rstrip('/')}/hearthline/probe-{uuid.uuid4().hex}"
+    try:
+        spark.range(0, tasks, 1, tasks).write.mode("overwrite").parquet(path)
+        found = spark.read.schema("id bigint").parquet(path).count()
+        _remove(spark, path)
+    except (Py4JJavaError, PySparkException):
+        return False
+    return found == tasks
+
+
+def _remove(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -89,9 +127,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def release_scratch(spark: SparkSession) -> int:
     """Remove the scratch tables of this application; frames that read them end with them."""
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        removed += path.getFileSystem(conf).delete(path, True)
-    return removed
+    return sum(_remove(spark, name) for name in paths)

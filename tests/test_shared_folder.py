@@ -1,7 +1,10 @@
 """Queries that keep tables in the shared folder, on a cluster that names it by a plain path."""
 
 import datetime
+import importlib.util
+import json
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -11,7 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "too
 
 from compare import compare  # noqa: E402
 
-from hearthline import scratch_path, shared_dir  # noqa: E402
+from hearthline import scratch_path, session, shared_dir  # noqa: E402
 
 KEEPING = [
     "csv_roundtrip",
@@ -40,6 +43,10 @@ KEEPING = [
     "strict_cast_aborts",
     "warehouse_load",
 ]
+#: Those tried on a cluster whose executors do not share the folder that is named.
+UNSHARED = [
+    "enforce_constraints",
+]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
     "nation": (
@@ -114,3 +121,46 @@ def test_query_keeps_its_tables_in_a_shared_folder_without_scheme(cluster, table
     place, con = tables
     outcome = compare(cluster, con, place, name)
     assert outcome.startswith("ok (") and "EMPTY" not in outcome, outcome
+
+
+@pytest.fixture(scope="module")
+def unshared(tables, tmp_path_factory):
+    """What becomes of the queries where each executor has a named folder of its own."""
+    place, root = tables[0], tmp_path_factory.mktemp("unshared")
+    for folder in ("home/work", "driver", "local", "tmp"):
+        (root / folder).mkdir(parents=True)
+    # Executors run in folders below Spark's home, so that the named folder differs.
+    package = os.path.dirname(importlib.util.find_spec("pyspark").origin)
+    for name in os.listdir(package):
+        if name != "work":
+            (root / "home" / name).symlink_to(os.path.join(package, name))
+    here = os.path.dirname(os.path.abspath(__file__))
+    env = os.environ | {
+        "SPARK_HOME": f"{root}/home", "SPARK_LOCAL_DIRS": f"{root}/local",
+        "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1",
+        "PYSPARK_PYTHON": sys.executable, "PYTHONPATH": os.path.dirname(here),
+        "PYSPARK_SUBMIT_ARGS":
+            f"--driver-memory 1g --driver-java-options -Djava.io.tmpdir={root}/tmp pyspark-shell",
+    }
+    said = root / "said.json"
+    child = os.path.join(here, "cluster_child.py")
+    with (root / "log").open("w") as log:
+        subprocess.run(
+            [sys.executable, child, place, str(root), str(said), *UNSHARED],
+            cwd=root / "driver", env=env, stdout=log, stderr=log, timeout=900,
+        )
+    assert said.exists(), (root / "log").read_text()[-2000:]
+    return json.loads(said.read_text())
+
+
+@pytest.mark.parametrize("name", UNSHARED)
+def test_query_is_whole_where_the_named_folder_is_not_shared(unshared, name):
+    outcome = unshared[name]
+    assert outcome.startswith("ok (") and "EMPTY" not in outcome, outcome
+
+
+def test_folders_that_lose_files_are_refused(cluster, monkeypatch):
+    monkeypatch.setattr(session, "_PROVEN", {})
+    monkeypatch.setattr(session, "_is_shared", lambda spark, folder: False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(cluster)
