@@ -46,6 +46,7 @@ KEEPING = [
 #: Those tried on a cluster whose executors do not share the folder that is named.
 UNSHARED = [
     "enforce_constraints",
+    "expectations",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
