@@ -75,7 +75,7 @@ def _landed_pages(spark, sf_dir):
 def _read_landed(spark, sf_dir):
     """The pages as written to files and read again."""
     path = scratch_path(spark, "pages")
-    _landed_pages(spark, sf_dir).write.json(path)
+    _landed_pages(spark, sf_dir).write.mode("overwrite").json(path)
     return pages.read_pages(spark, path, LIVE_EVENT_COLUMNS, one_page_per_file=False)
 
 

@@ -47,6 +47,7 @@ KEEPING = [
 UNSHARED = [
     "enforce_constraints",
     "expectations",
+    "flatten_pages",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
