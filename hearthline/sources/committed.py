@@ -128,7 +128,7 @@ class CommittedTable:
         if by == BUCKET:
             df = df.repartition(BUCKET) if few else df.hint("rebalance", BUCKET)
         writer = df.write.partitionBy(by) if by else df.write
-        writer.parquet(place)
+        writer.mode("overwrite").parquet(place)
         if by != BUCKET:
             return [part]
         return [f"{part}/{child}" for child in _children(df.sparkSession, place)]

@@ -48,6 +48,7 @@ UNSHARED = [
     "enforce_constraints",
     "expectations",
     "flatten_pages",
+    "insert_if_absent",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
