@@ -49,6 +49,7 @@ UNSHARED = [
     "expectations",
     "flatten_pages",
     "insert_if_absent",
+    "insert_null_keys",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
