@@ -12,7 +12,7 @@ from hearthline.bindings import tables as t
 from hearthline.bindings.registry import instant, query
 from hearthline.functions import has_key
 from hearthline.operators.ordering import with_dense_ids
-from hearthline.schemas import EVENT, LIVE_EVENT_COLUMNS, TRANSACTION
+from hearthline.schemas import EVENT, LIVE_EVENT_COLUMNS, TEXT, TRANSACTION, struct
 from hearthline.session import scratch_path
 from hearthline.sources import files, incremental, keyed_table, messages, pages, tables
 from hearthline.streaming import producer
@@ -172,6 +172,9 @@ def insert_null_keys(spark, sf_dir):
     return keyed_table.read_keyed(spark, path, lines.schema).select(*lines.columns)
 
 
+_TOPIC = struct(key=TEXT, value=TEXT)
+
+
 @query("poll_to_end", """
 SELECT CAST(event_id AS VARCHAR) AS numero_dpe,
        CASE WHEN event_id % 10 <> 0 THEN
@@ -195,8 +198,10 @@ def poll_to_end(spark, sf_dir):
     )
     page = max(1, -(-rows.count() // 9))
     state, sent = scratch_path(spark, "cursor"), scratch_path(spark, "topic")
+    tables.create_table(spark, state, incremental.CURSOR)
+    tables.create_table(spark, sent, _TOPIC)
     producer.poll_to_end(rows, state, {"path": sent}, "parquet", page)
-    topic = spark.read.parquet(sent).select(F.from_json("value", EVENT).alias("event"))
+    topic = tables.read_table(spark, sent, _TOPIC).select(F.from_json("value", EVENT).alias("event"))
     return topic.select("event.numero_dpe", "event.date_reception_dpe").distinct()
 
 

@@ -51,6 +51,7 @@ UNSHARED = [
     "insert_if_absent",
     "insert_null_keys",
     "page_completeness",
+    "poll_to_end",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
