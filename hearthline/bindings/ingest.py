@@ -289,7 +289,8 @@ SELECT CAST(s_suppkey AS VARCHAR) || ',' || s_name AS line FROM supplier""")
 def raw_lines_copy(spark, sf_dir):
     source, lake = scratch_path(spark, "source"), scratch_path(spark, "raw")
     supplier = t.read(spark, sf_dir, "supplier")
-    supplier.select(F.concat_ws(",", "s_suppkey", "s_name").alias("value")).write.text(source)
+    lines = supplier.select(F.concat_ws(",", "s_suppkey", "s_name").alias("value"))
+    lines.write.mode("overwrite").text(source)
     return files.land_raw_lines(spark, source, lake).select("line")
 
 

@@ -62,4 +62,4 @@ def land_raw_lines(spark: SparkSession, source: str, path: str) -> DataFrame:
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file")
     )
     lines.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)

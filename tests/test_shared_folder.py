@@ -52,6 +52,7 @@ UNSHARED = [
     "insert_null_keys",
     "page_completeness",
     "poll_to_end",
+    "raw_lines_copy",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
