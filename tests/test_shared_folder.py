@@ -54,6 +54,7 @@ UNSHARED = [
     "poll_to_end",
     "raw_lines_copy",
     "stream_after_failure",
+    "stream_audit",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
