@@ -55,6 +55,7 @@ UNSHARED = [
     "raw_lines_copy",
     "stream_after_failure",
     "stream_audit",
+    "stream_batch_log",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
