@@ -56,6 +56,7 @@ UNSHARED = [
     "stream_after_failure",
     "stream_audit",
     "stream_batch_log",
+    "stream_compacted",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
