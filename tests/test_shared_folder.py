@@ -59,6 +59,7 @@ UNSHARED = [
     "stream_compacted",
     "stream_many_batches",
     "stream_on_trigger",
+    "stream_pipeline",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
