@@ -65,6 +65,11 @@ UNSHARED = [
     "stream_raw_and_clean",
     "stream_rule_nullified",
     "stream_rule_quarantine",
+    "stream_silver",
+    "csv_roundtrip",
+    "csv_text_gzip",
+    "strict_cast_aborts",
+    "warehouse_load",
 ]
 DAY = datetime.datetime(2024, 1, 1)
 TABLES = {
