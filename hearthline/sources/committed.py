@@ -32,9 +32,11 @@ def _path(spark: SparkSession, name: str):
 
 
 def _children(spark: SparkSession, name: str) -> list[str]:
-    """Names of the directories below ``name``."""
+    """Names of the directories below ``name``; none where a store keeps no empty directory."""
     path = _path(spark, name)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
     return [s.getPath().getName() for s in system.listStatus(path) if s.isDirectory()]
 
 

@@ -1,7 +1,9 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from hearthline.schemas import COMMUNE, EVENT, LIVE_EVENT_COLUMNS, struct, TEXT, seed_tables
@@ -169,6 +171,32 @@ def test_empty_batch_inserts_nothing(spark, tmp_path, rows):
     assert stored(spark, path, rows) == [("a", "x")]
 
 
+def test_a_batch_without_new_keys_on_a_store_without_empty_folders(
+    spark, tmp_path, rows, monkeypatch
+):
+    write, gone = DataFrameWriter.parquet, []
+
+    def parquet(self, path, *args, **options):
+        write(self, path, *args, **options)
+        if not os.listdir(path):
+            os.rmdir(path)
+            gone.append(path)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        path = str(tmp_path / "clean")
+        batch = keyed(spark, [("a", 1, "x"), ("b", 1, "y")])
+        assert keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 0).count() == 2
+        assert keyed_table.insert_if_absent(batch, path, "k", ["ord"], "q", 1).count() == 0
+        fresh = keyed(spark, [("a", 2, "late"), ("c", 1, "z")])
+        assert keyed_table.insert_if_absent(fresh, path, "k", ["ord"], "q", 2).count() == 1
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert len(gone) == 1
+    assert stored(spark, path, rows) == [("a", "x"), ("b", "y"), ("c", "z")]
+
+
 def test_stored_keys_are_scanned_without_a_shuffle(spark, tmp_path):
     from conftest import plan_of
 
